@@ -57,7 +57,7 @@ def materialize(df: DataFrame, label: str, *, partition_by: tuple[str, ...] = ()
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of ``df``; an upper bound for scans with filters."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(stats.sizeInBytes().toString())
+    return int(str(stats.sizeInBytes()))
 
 
 def broadcast_limit(spark: SparkSession) -> int:

@@ -9,11 +9,16 @@ from tierline.functions.formats import spark_pattern
 
 # Fixed value: what counts as a number in a text cell.
 NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# Fixed value: the characters Python's str.strip() removes.
+WHITESPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def stripped(value: Column) -> Column:
     """``value`` without leading and trailing whitespace of any kind."""
-    return F.regexp_replace(value, r"^\s+|\s+$", "")
+    return F.btrim(value, F.lit(WHITESPACE))
 
 
 def blank_to_null(value: Column) -> Column:
