@@ -20,9 +20,29 @@ class NoMatchingFiles(ValueError):
         self.unmatched = unmatched
 
 
-def list_files(spark: SparkSession, path: str, *, recursive: bool = False) -> DataFrame:
+def _empty_files(spark: SparkSession, paths: list[str], recursive: bool) -> DataFrame:
+    """Files of zero length, which Spark's file sources leave out of their listing."""
+    jvm = spark._jvm
+    rows = []
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(folder, recursive)
+        while found.hasNext():
+            status = found.next()
+            if status.getLen() == 0:
+                at = status.getPath()
+                encoded = jvm.org.apache.spark.paths.SparkPath.fromPath(at).urlEncoded()
+                rows.append((encoded, at.getName(), at.toString(), status.getModificationTime()))
+    visible = [r for r in rows if not r[1].startswith(("_", "."))]
+    made = spark.createDataFrame(visible, "file_path string, file_name string, path string, millis long")
+    return made.select(
+        "file_path", "file_name", "path", F.timestamp_millis("millis").alias("modified_at"), F.lit(0).cast("long").alias("length")
+    )
+
+
+def list_files(spark: SparkSession, path: str | list[str], *, recursive: bool = False) -> DataFrame:
     """One row per file. Reads no content: only the listing columns are selected."""
-    return (
+    listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", recursive)
         .load(path)
@@ -34,6 +54,7 @@ def list_files(spark: SparkSession, path: str, *, recursive: bool = False) -> Da
             "length",
         )
     )
+    return listed.unionByName(_empty_files(spark, [path] if isinstance(path, str) else path, recursive))
 
 
 def pattern_regex(file_pattern: str) -> str:
