@@ -235,7 +235,10 @@ def run_batch(
 
     found = materialize(discover(spark, feed, path, strict=strict_names), "found")
     sums = file_checksums(spark, [r.path for r in found.select("path").collect()])
-    hashed = materialize(found.join(sums, FILE_PATH, "left"), "hashed")
+    empty = F.when(F.col("length") == 0, F.sha2(F.lit(""), 256))
+    hashed = materialize(
+        found.join(sums, FILE_PATH, "left").withColumn(FILE_CHECKSUM, F.coalesce(FILE_CHECKSUM, empty)), "hashed"
+    )
     # A repeated batch must not count as known content, so its own rows are left out.
     landed = None
     if feed.skip_known_content and FILE_CHECKSUM in feed.metadata and path_exists(spark, house.bronze(feed.name)):
@@ -316,9 +319,11 @@ def _run_layers(
 
     # Bronze
     steps.current, steps.running = "raw", passed
-    passed_paths = [r.path for r in passed.select("path").collect()]
-    if not passed_paths:
+    if passed.isEmpty():
         return finish(rejected)
+    passed_paths = [r.path for r in passed.filter("length > 0").select("path").collect()]
+    if not passed_paths:
+        raise ValueError(f"{feed.name}: the files hold no data")
     steps.lineage(passed, "raw", "START", F.col(FILE_PATH), raw_name)
     rows = read_records(spark, feed.fmt, passed_paths, **feed.reader)
     bronze = land_bronze(rows, passed, house.bronze(feed.name), batch_id=batch_id, now=now, metadata=feed.metadata)
