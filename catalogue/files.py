@@ -1 +1,407 @@
-"""placeholder"""
+"""Readers, file selection, gates, landing and file watching.
+
+The queries write a test table out as feed files into the shared folder, read them
+back through the library and compare with the table itself.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from catalogue.registry import money, query, table
+from tierline.functions.spread import materialize, new_folder
+from tierline.operators.alerts import gate_alerts
+from tierline.operators.bronze import checksum_dedup, file_checksums, land_bronze, run_dedup
+from tierline.operators.checks import Rule
+from tierline.operators.gates import control_gates, line_counts
+from tierline.operators.rows import with_row_index
+from tierline.plans.ingest import Feed, Warehouse, run_batch
+from tierline.sources import (
+    list_files, read_csv, read_delimited, read_fixed_width, read_json_records, read_xml_records, sample_table,
+    select_files, unmatched_files,
+)
+from tierline.sources.files import file_sort_key, match_file_pattern
+from tierline.streaming.watch import watch_and_ingest
+
+NOW = "2026-01-31 12:00:00"
+
+ORDER_CELLS = """CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer,
+    CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS price, strftime(o_orderdate, '%Y%m%d') AS ordered_on, o_orderpriority AS priority"""
+
+
+def order_cells(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "orders").select(
+        F.col("o_orderkey").cast("string").alias("order_id"), F.col("o_custkey").cast("string").alias("customer"),
+        money("o_totalprice").cast("string").alias("price"), F.date_format("o_orderdate", "yyyyMMdd").alias("ordered_on"),
+        F.col("o_orderpriority").alias("priority"),
+    )
+
+
+_ORDERS = ["order_id", "customer", "price", "ordered_on", "priority"]
+
+
+@query("src_csv", f"SELECT {ORDER_CELLS} FROM orders")
+def src_csv(spark: SparkSession, folder: str) -> DataFrame:
+    out = new_folder(spark, "csv")
+    order_cells(spark, folder).write.option("header", True).csv(out)
+    return read_csv(spark, out).select(*_ORDERS)
+
+
+@query("src_delimited", f"SELECT {ORDER_CELLS} FROM orders")
+def src_delimited(spark: SparkSession, folder: str) -> DataFrame:
+    out = new_folder(spark, "delimited")
+    order_cells(spark, folder).write.option("sep", "|").csv(out)
+    rows = read_delimited(spark, out, sep="|", header=False)
+    return rows.select(*[F.col(f"column_{i}").alias(n) for i, n in enumerate(_ORDERS, 1)])
+
+
+WIDTHS = [("cust_id", 1, 10), ("segment", 11, 22), ("balance", 23, 34)]
+
+
+def customer_files(spark: SparkSession, folder: str) -> str:
+    """Customers as fixed-width files, one per nation and block of keys, ordered by key."""
+    out = new_folder(spark, "fixed")
+    lines = table(spark, folder, "customer").select(
+        F.concat(
+            F.rpad(F.col("c_custkey").cast("string"), 10, " "), F.rpad("c_mktsegment", 12, " "),
+            F.lpad(money("c_acctbal").cast("string"), 12, " "),
+        ).alias("value"),
+        F.col("c_nationkey").alias("nation"), F.floor(F.col("c_custkey") / 100000).alias("block"), "c_custkey",
+    )
+    (
+        lines.repartition("nation", "block").sortWithinPartitions("nation", "block", "c_custkey").drop("c_custkey")
+        .write.partitionBy("nation", "block").text(out)
+    )
+    return out
+
+
+def nation_of(path: Column) -> Column:
+    return F.regexp_extract(path, r"nation=(\d+)", 1).cast("int")
+
+
+@query(
+    "src_fixed_width",
+    "SELECT CAST(c_custkey AS VARCHAR) AS cust_id, c_mktsegment AS segment, CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS balance FROM customer",
+)
+def src_fixed_width(spark: SparkSession, folder: str) -> DataFrame:
+    return read_fixed_width(spark, customer_files(spark, folder), WIDTHS).select("cust_id", "segment", "balance")
+
+
+@query(
+    "row_index",
+    """SELECT c_custkey AS cust_id, c_nationkey AS nation,
+              row_number() OVER (PARTITION BY c_nationkey, c_custkey // 100000 ORDER BY c_custkey) - 1 AS row_index FROM customer""",
+)
+def row_index(spark: SparkSession, folder: str) -> DataFrame:
+    rows = materialize(read_fixed_width(spark, customer_files(spark, folder), WIDTHS), "rows")
+    return with_row_index(rows).select(
+        F.col("cust_id").cast("long").alias("cust_id"), nation_of(F.col("file_path")).alias("nation"),
+        F.col("_row_index").alias("row_index"),
+    )
+
+
+@query("src_json_lines", "SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, CAST(user_id AS VARCHAR) AS user_id, props FROM events")
+def src_json_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """JSON lines with a nested object, which stays JSON text."""
+    out = new_folder(spark, "jsonl")
+    line = F.concat(
+        F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(', "event_type": "'), F.col("event_type"),
+        F.lit('", "user_id": '), F.col("user_id").cast("string"), F.lit(', "props": '), F.col("props"), F.lit("}"),
+    )
+    table(spark, folder, "events").select(line.alias("value")).write.text(out)
+    return read_json_records(spark, out, lines=True).select("event_id", "event_type", "user_id", "props")
+
+
+def documents_of(rows: DataFrame, record: Column, key: Column, head: str, tail: str, out: str, per_file: int = 5000) -> str:
+    """Whole documents of ``per_file`` keys each: a head line, record lines and a tail line."""
+    lines = rows.select(F.floor(key / per_file).alias("part"), key.alias("at"), record.alias("value"))
+    parts = lines.select("part").distinct()
+    ends = parts.select("part", F.lit(-1).alias("at"), F.lit(head).alias("value")).unionByName(
+        parts.select("part", F.lit(2**62).alias("at"), F.lit(tail).alias("value"))
+    )
+    (
+        lines.unionByName(ends).repartition("part").sortWithinPartitions("part", "at").drop("at")
+        .write.partitionBy("part").text(out)
+    )
+    return out
+
+
+@query("src_json_records", f"SELECT {ORDER_CELLS} FROM orders")
+def src_json_records(spark: SparkSession, folder: str) -> DataFrame:
+    """JSON documents with the records below ``data.orders``."""
+    orders = order_cells(spark, folder)
+    out = documents_of(
+        orders, F.concat(F.to_json(F.struct(*_ORDERS)), F.lit(",")), F.col("order_id").cast("long"),
+        '{"source": "shop", "data": {"orders": [', '{"order_id": null}]}}', new_folder(spark, "json"),
+    )
+    rows = read_json_records(spark, out, record_path="data.orders")
+    return rows.filter("order_id IS NOT NULL").select(*_ORDERS)
+
+
+@query(
+    "src_xml",
+    """SELECT 'p' || o_orderkey AS "@id", CAST(o_orderkey AS VARCHAR) AS UniqueID, 'C' || o_custkey AS "Identifiers.Customer",
+              CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS "TotalValue.Amount", 'USD' AS "TotalValue.Amount@ccy",
+              CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END AS Status FROM orders""",
+)
+def src_xml(spark: SparkSession, folder: str) -> DataFrame:
+    """Nested XML elements and attributes as dotted text columns."""
+    orders = table(spark, folder, "orders")
+    record = F.concat(
+        F.lit('<Position id="p'), F.col("o_orderkey").cast("string"), F.lit('"><UniqueID>'), F.col("o_orderkey").cast("string"),
+        F.lit("</UniqueID><Identifiers><Customer>C"), F.col("o_custkey").cast("string"),
+        F.lit('</Customer></Identifiers><TotalValue><Amount ccy="USD"> '), money("o_totalprice").cast("string"),
+        F.lit(" </Amount></TotalValue><Status>"), F.when(F.col("o_orderstatus") == "P", "  ").otherwise(F.col("o_orderstatus")),
+        F.lit("</Status></Position>"),
+    )
+    out = documents_of(orders, record, F.col("o_orderkey"), "<Positions>", "</Positions>", new_folder(spark, "xml"))
+    names = ["@id", "UniqueID", "Identifiers.Customer", "TotalValue.Amount", "TotalValue.Amount@ccy", "Status"]
+    return read_xml_records(spark, out, ".//Position").select(*[F.col(f"`{n}`") for n in names])
+
+
+# Files of a feed, as a listing would show them: one per day and priority.
+_LISTING = """SELECT DISTINCT o_orderpriority AS feed, 'ORDERS_' || strftime(o_orderdate, '%Y%m%d') ||
+              CASE WHEN o_orderstatus = 'P' AND o_orderkey % 5 = 0 THEN '.xlsx' ELSE '.txt' END AS file_name,
+              strftime(o_orderdate, '%Y%m%d') AS token FROM orders"""
+
+
+def listing(spark: SparkSession, folder: str) -> DataFrame:
+    suffix = F.when((F.col("o_orderstatus") == "P") & (F.col("o_orderkey") % 5 == 0), ".xlsx").otherwise(".txt")
+    return table(spark, folder, "orders").select(
+        F.col("o_orderpriority").alias("feed"),
+        F.concat(F.lit("ORDERS_"), F.date_format("o_orderdate", "yyyyMMdd"), suffix).alias("file_name"),
+    ).distinct().withColumn("file_path", F.concat("feed", F.lit("/"), "file_name"))
+
+
+@query(
+    "file_select_latest",
+    f"WITH t AS ({_LISTING}) SELECT feed, max(token) AS token, 'ORDERS_' || max(token) || '.txt' AS file_name FROM t WHERE file_name LIKE '%.txt' GROUP BY feed",
+)
+def file_select_latest(spark: SparkSession, folder: str) -> DataFrame:
+    manifest = file_sort_key(
+        listing(spark, folder), "ORDERS_{date}.txt", order_by="filename_timestamp", ts_format="%Y%m%d", strict=True
+    )
+    return select_files(manifest, "latest", feed=["feed"]).select("feed", "token", "file_name")
+
+
+@query(
+    "file_select_earliest",
+    f"WITH t AS ({_LISTING}) SELECT feed, CAST(min(strptime(token, '%Y%m%d')) AS DATE) AS day FROM t WHERE file_name LIKE '%.txt' GROUP BY feed",
+)
+def file_select_earliest(spark: SparkSession, folder: str) -> DataFrame:
+    manifest = file_sort_key(
+        listing(spark, folder), "ORDERS_{date}.txt", order_by="filename_timestamp", ts_format="%Y%m%d", strict=False
+    )
+    return select_files(manifest, "earliest", feed=["feed"]).select("feed", F.to_date("sort_key").alias("day"))
+
+
+@query("file_select_all", f"WITH t AS ({_LISTING}) SELECT feed, token FROM t WHERE file_name LIKE '%.txt'")
+def file_select_all(spark: SparkSession, folder: str) -> DataFrame:
+    manifest = file_sort_key(
+        listing(spark, folder), "ORDERS_{date}.txt", order_by="filename_timestamp", ts_format="%Y%m%d", strict=False
+    )
+    return select_files(manifest, "all", "desc", feed=["feed"]).select("feed", "token")
+
+
+@query("file_unmatched", f"WITH t AS ({_LISTING}) SELECT feed, file_name FROM t WHERE file_name LIKE '%.xlsx'")
+def file_unmatched(spark: SparkSession, folder: str) -> DataFrame:
+    return unmatched_files(listing(spark, folder), "ORDERS_{date}.txt").select("feed", "file_name")
+
+
+@query("file_pattern", f"WITH t AS ({_LISTING}) SELECT token, count(*) AS n FROM t WHERE file_name LIKE '%.txt' GROUP BY token")
+def file_pattern(spark: SparkSession, folder: str) -> DataFrame:
+    token = match_file_pattern(F.col("file_name"), "ORDERS_{date}.txt").alias("token")
+    return listing(spark, folder).select(token).filter("token IS NOT NULL").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+
+
+_GATES = """WITH f AS (SELECT c_nationkey AS nation, c_custkey // 100000 AS block, count(*) AS row_count, count(*) * 35 AS bytes
+                       FROM customer GROUP BY 1, 2),
+     g AS (SELECT *, concat_ws('; ',
+       CASE WHEN bytes < 2000 THEN 'file_size ' || bytes || ' below min_bytes 2000' END,
+       CASE WHEN bytes > 100000 THEN 'file_size ' || bytes || ' above max_bytes 100000' END,
+       CASE WHEN row_count < 60 THEN 'row_count ' || row_count || ' below min_rows 60' END,
+       CASE WHEN row_count > 70 THEN 'row_count ' || row_count || ' above max_rows 70' END) AS failures FROM f) """
+
+
+def gated_customers(spark: SparkSession, folder: str, *, exact: bool = False) -> DataFrame:
+    out = customer_files(spark, folder)
+    files = list_files(spark, f"{out}/*/*").filter("file_name LIKE 'part-%'")
+    return control_gates(
+        files, line_counts(spark, out), size=(2000, 100000), rows=(60, 70), fmt="fixed_width", columns=WIDTHS, exact=exact
+    )
+
+
+@query("gates_fixed_width", _GATES + "SELECT nation, row_count, bytes AS length, failures, failures = '' AS passed FROM g")
+def gates_fixed_width(spark: SparkSession, folder: str) -> DataFrame:
+    return gated_customers(spark, folder).select(
+        nation_of(F.col("file_path")).alias("nation"), "row_count", "length", F.array_join("failures", "; ").alias("failures"), "passed"
+    )
+
+
+@query("gates_exact_rows", _GATES + "SELECT nation, row_count, failures = '' AS passed FROM g")
+def gates_exact_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return gated_customers(spark, folder, exact=True).select(nation_of(F.col("file_path")).alias("nation"), "row_count", "passed")
+
+
+@query(
+    "gates_header",
+    "SELECT o_orderpriority AS priority, o_orderkey // 100000 AS block, count(*) AS row_count FROM orders GROUP BY 1, 2",
+)
+def gates_header(spark: SparkSession, folder: str) -> DataFrame:
+    """Counted lines less the header."""
+    out = new_folder(spark, "csv")
+    orders = order_cells(spark, folder).withColumn("file", F.col("priority")).withColumn("block", F.floor(F.col("order_id").cast("long") / 100000))
+    orders.repartition("file", "block").write.option("header", True).partitionBy("file", "block").csv(out)
+    files = list_files(spark, f"{out}/*/*").filter("file_name LIKE 'part-%'")
+    gated = control_gates(files, line_counts(spark, out), size=(0, 2**40), rows=(0, 2**40), fmt="csv", header=True)
+    name = F.regexp_extract(F.col("path"), "file=([^/]+)", 1)
+    return gated.select(
+        name.alias("priority"), F.regexp_extract("path", r"block=(\d+)", 1).cast("long").alias("block"), "row_count"
+    )
+
+
+@query("gates_alerts", _GATES + "SELECT nation, 'file quarantined at control gate - ' || failures AS message FROM g WHERE failures <> ''")
+def gates_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    gated = gated_customers(spark, folder).withColumn("file_name", nation_of(F.col("file_path")).cast("string"))
+    return gate_alerts(gated).select(
+        F.col("file_name").cast("int").alias("nation"), F.regexp_replace("message", "^[0-9]+: ", "").alias("message")
+    )
+
+
+_TEXT_FILES = """WITH f AS (SELECT doc_id, source, lang, sha256(text) AS file_checksum FROM documents) """
+
+
+def text_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as files: their text is the content, their number the order of arrival."""
+    return table(spark, folder, "documents").select(
+        F.col("doc_id").alias("sort_key"), F.col("doc_id").cast("string").alias("file_path"), "source", "lang",
+        F.sha2("text", 256).alias("file_checksum"),
+    )
+
+
+@query(
+    "bronze_dedup",
+    _TEXT_FILES + """SELECT min(doc_id) AS doc_id, file_checksum FROM f WHERE lang <> 'en'
+                     AND file_checksum NOT IN (SELECT file_checksum FROM f WHERE lang = 'en') GROUP BY file_checksum""",
+)
+def bronze_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """English texts are landed; of the others each new content is taken once."""
+    files = text_files(spark, folder)
+    landed = files.filter("lang = 'en'").select("file_checksum")
+    return checksum_dedup(files.filter("lang <> 'en'"), landed).select(F.col("sort_key").alias("doc_id"), "file_checksum")
+
+
+@query("bronze_dedup_in_batch", _TEXT_FILES + "SELECT min(doc_id) AS doc_id, file_checksum FROM f GROUP BY file_checksum")
+def bronze_dedup_in_batch(spark: SparkSession, folder: str) -> DataFrame:
+    return checksum_dedup(text_files(spark, folder), None).select(F.col("sort_key").alias("doc_id"), "file_checksum")
+
+
+@query(
+    "run_dedup",
+    _TEXT_FILES + """, r AS (SELECT lang, file_checksum, min(doc_id) AS run_id FROM f WHERE source < 'src5' GROUP BY 1, 2)
+       SELECT f.doc_id, r.run_id FROM f JOIN r USING (lang, file_checksum)""",
+)
+def run_dedup_query(spark: SparkSession, folder: str) -> DataFrame:
+    """A trigger for content a pipeline has run before gets the existing run."""
+    files = text_files(spark, folder).withColumnRenamed("lang", "pipeline_name")
+    runs = files.filter("source < 'src5'").select(
+        "pipeline_name", "file_checksum", F.col("sort_key").alias("run_id"), F.col("sort_key").alias("started_at")
+    )
+    _, known = run_dedup(files, runs)
+    return known.select(F.col("sort_key").alias("doc_id"), "run_id")
+
+
+@query(
+    "file_checksums",
+    """SELECT c_nationkey AS nation, c_custkey // 100000 AS block,
+              sha256(string_agg(rpad(CAST(c_custkey AS VARCHAR), 10, ' ') || rpad(c_mktsegment, 12, ' ')
+                     || lpad(CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR), 12, ' ') || chr(10), '' ORDER BY c_custkey)) AS file_checksum
+       FROM customer GROUP BY 1, 2""",
+)
+def file_checksums_query(spark: SparkSession, folder: str) -> DataFrame:
+    sums = file_checksums(spark, customer_files(spark, folder))
+    return sums.select(
+        nation_of(F.col("file_path")).alias("nation"), F.regexp_extract("file_path", r"block=(\d+)", 1).cast("long").alias("block"),
+        "file_checksum",
+    )
+
+
+@query(
+    "bronze_land",
+    """SELECT c_nationkey AS nation, count(*) AS n_rows, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance,
+              count(DISTINCT c_custkey // 100000) AS files, 'b1' AS batch_id FROM customer GROUP BY 1""",
+)
+def bronze_land(spark: SparkSession, folder: str) -> DataFrame:
+    """Landing the same batch twice leaves it in bronze once."""
+    out, bronze = customer_files(spark, folder), new_folder(spark, "bronze")
+    files = list_files(spark, f"{out}/*/*").filter("file_name LIKE 'part-%'")
+    manifest = materialize(files.join(file_checksums(spark, out), "file_path"), "manifest")
+    rows = read_fixed_width(spark, out, WIDTHS)
+    for _ in range(2):
+        landed = land_bronze(rows, manifest, bronze, batch_id="b1", now=NOW)
+    return landed.groupBy(nation_of(F.col("file_path")).alias("nation"), "batch_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("balance").cast("decimal(18,2)")).cast("double").alias("balance"),
+        F.count_distinct("file_checksum").alias("files"),
+    )
+
+
+@query("sample_table", "SELECT least(500, count(*)) AS n_rows, least(500, count(DISTINCT l_orderkey || '-' || l_partkey || '-' || l_suppkey)) AS n_distinct FROM lineitem")
+def sample_table_query(spark: SparkSession, folder: str) -> DataFrame:
+    sample = sample_table(table(spark, folder, "lineitem"), 500, seed=7)
+    return sample.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("l_orderkey", "l_partkey", "l_suppkey").alias("n_distinct"))
+
+
+# The batch pipeline and the watcher over orders as CSV files -------------------
+
+ORDER_FEED = Feed(
+    name="orders", fmt="csv", file_pattern="part-{rest}.csv", write_mode="upsert", business_key=("order_id",),
+    rules=(
+        Rule("order_id", ("not_null", "is_numeric")), Rule("price", ("not_null", "is_numeric", {"less_than": 450000}), "decimal", 18, 2),
+        Rule("ordered_on", ("not_null", "valid_date"), "date", format="%Y%m%d"),
+    ),
+)
+_STAGED = """SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer,
+                    CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS price, CAST(o_orderdate AS DATE) AS ordered_on, o_orderpriority AS priority
+             FROM orders WHERE CAST(o_totalprice AS DECIMAL(18,2)) < 450000"""
+
+
+def staged(house: Warehouse) -> DataFrame:
+    return house.stage("orders").read().select("order_id", "customer", F.col("price").cast("double").alias("price"), "ordered_on", "priority")
+
+
+def order_files(spark: SparkSession, folder: str) -> str:
+    out = new_folder(spark, "feed")
+    order_cells(spark, folder).write.option("header", True).csv(out)
+    return out
+
+
+@query("ingest_batch", _STAGED)
+def ingest_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """Files through gate, bronze, checks and silver."""
+    house = Warehouse(spark, new_folder(spark, "house"))
+    run_batch(spark, ORDER_FEED, order_files(spark, folder), house, now=NOW, batch_id="b1")
+    return staged(house)
+
+
+@query(
+    "ingest_quarantine",
+    """SELECT 'orders' AS pipeline_name, CAST(o_orderkey AS VARCHAR) AS order_id, 'price: less_than' AS reasons
+       FROM orders WHERE CAST(o_totalprice AS DECIMAL(18,2)) >= 450000""",
+)
+def ingest_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    house = Warehouse(spark, new_folder(spark, "house"))
+    run_batch(spark, ORDER_FEED, order_files(spark, folder), house, now=NOW, batch_id="b1")
+    return house.control("quarantine").select(
+        "pipeline_name", F.col("row_data")["order_id"].alias("order_id"), F.array_join("reasons", ";").alias("reasons")
+    )
+
+
+@query("watch_stream", _STAGED)
+def watch_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The same files picked up by the file stream; a second start finds nothing new."""
+    house, source = Warehouse(spark, new_folder(spark, "house")), order_files(spark, folder)
+    checkpoint = new_folder(spark, "stream")
+    for _ in range(2):
+        watch_and_ingest(spark, ORDER_FEED, source, house, checkpoint, clock=lambda: NOW).awaitTermination()
+    return staged(house)

@@ -25,11 +25,14 @@ def _empty_files(spark: SparkSession, paths: list[str], recursive: bool) -> Data
     jvm = spark._jvm
     rows = []
     for path in paths:
-        folder = jvm.org.apache.hadoop.fs.Path(path)
-        found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(folder, recursive)
-        while found.hasNext():
-            status = found.next()
-            if status.getLen() == 0:
+        pattern = jvm.org.apache.hadoop.fs.Path(path)
+        fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+        for place in fs.globStatus(pattern) or []:
+            found = fs.listFiles(place.getPath(), recursive)
+            while found.hasNext():
+                status = found.next()
+                if status.getLen() > 0:
+                    continue
                 at = status.getPath()
                 encoded = jvm.org.apache.spark.paths.SparkPath.fromPath(at).urlEncoded()
                 rows.append((encoded, at.getName(), at.toString(), status.getModificationTime()))
