@@ -34,10 +34,13 @@ def _number(df: DataFrame, name: str) -> Column:
 
 
 def _metric(df: DataFrame, column: str, suffix: str, approximate: bool) -> Column:
-    if suffix == "_sum":
-        return F.coalesce(F.sum(_number(df, column)), F.lit(0.0))
-    if suffix == "_avg":
-        return F.coalesce(F.avg(_number(df, column)), F.lit(0.0))
+    if suffix in ("_sum", "_avg"):
+        # Decimals are added up exactly, so the result does not depend on the row order.
+        exact = isinstance(df.schema[column].dataType, T.DecimalType)
+        total = F.sum(col(column)).cast("double") if exact else F.sum(_number(df, column))
+        if suffix == "_avg":
+            total = F.try_divide(total, F.count(col(column) if exact else _number(df, column)))
+        return F.coalesce(total, F.lit(0.0))
     nulls = F.count_if(col(column).isNull())
     if suffix == "_null_rate":
         return F.coalesce(F.try_divide(nulls, F.count(F.lit(1))), F.lit(0.0)).cast("double")
