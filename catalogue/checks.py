@@ -216,7 +216,7 @@ def dq_strict(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("dq_blocked_files", _STRICT + "SELECT file_path, count(*) AS n_rows, count_if(bad) AS failing FROM t GROUP BY 1 HAVING bool_or(bad)")
+@query("dq_blocked_files", _STRICT + "SELECT file_path, count(*) AS n_rows, count(*) FILTER (WHERE bad) AS failing FROM t GROUP BY 1 HAVING bool_or(bad)")
 def dq_blocked_files(spark: SparkSession, folder: str) -> DataFrame:
     blocked = blocked_files(check_rows(shipments_by_month(spark, folder), STRICT_RULES))
     return blocked.select("file_path", F.col("_dq_rows").alias("n_rows"), F.col("_dq_bad").alias("failing"))
@@ -225,7 +225,7 @@ def dq_blocked_files(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "dq_alerts_strict",
     _STRICT + """SELECT 'F' || file_path AS file_name, 'F' || file_path || ': entire file quarantined (strict integrity_mode) - '
-                 || count_if(bad) || ' row(s) failed DQ' AS message FROM t GROUP BY file_path HAVING bool_or(bad)""",
+                 || count(*) FILTER (WHERE bad) || ' row(s) failed DQ' AS message FROM t GROUP BY file_path HAVING bool_or(bad)""",
 )
 def dq_alerts_strict(spark: SparkSession, folder: str) -> DataFrame:
     checked = check_rows(shipments_by_month(spark, folder), STRICT_RULES)
@@ -247,7 +247,7 @@ def dq_alerts_rows(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "dq_lookup",
     """SELECT user_id, event_type, count(*) AS n_rows,
-              count_if(NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = e.user_id AND c.c_acctbal > 2000)) AS misses
+              count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = e.user_id AND c.c_acctbal > 2000)) AS misses
        FROM events e GROUP BY 1, 2""",
 )
 def dq_lookup(spark: SparkSession, folder: str) -> DataFrame:
@@ -284,14 +284,14 @@ def dq_lookup_large(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "dq_summary",
     f"WITH t AS ({ORDERS_TEXT}), " + r"""
-    s AS (SELECT 'customer' AS column_name, 'not_nullable' AS check_name, count(*) AS element_count, count_if(customer IS NULL) AS missing_count, count_if(customer IS NULL) AS unexpected_count FROM t
-     UNION ALL SELECT 'customer', 'non_empty', count(*), count_if(customer IS NULL), count_if(customer = '') FROM t
-     UNION ALL SELECT 'price', 'not_nullable', count(*), count_if(price IS NULL), count_if(price IS NULL) FROM t
-     UNION ALL SELECT 'price', 'is_numeric', count(*), count_if(price IS NULL), count_if(NOT regexp_full_match(price, '-?[0-9]+\.?[0-9]*')) FROM t
-     UNION ALL SELECT 'price', 'greater_than_or_equal', count(*), count_if(price IS NULL),
-                      count_if(price IS NOT NULL AND NOT regexp_full_match(price, '[0-9]+\.?[0-9]*')) FROM t
-     UNION ALL SELECT 'ordered_on', 'not_nullable', count(*), count_if(ordered_on IS NULL), count_if(ordered_on IS NULL) FROM t
-     UNION ALL SELECT 'ordered_on', 'valid_date', count(*), count_if(ordered_on IS NULL), count_if(try_strptime(ordered_on, '%Y%m%d') IS NULL) FROM t)
+    s AS (SELECT 'customer' AS column_name, 'not_nullable' AS check_name, count(*) AS element_count, count(*) FILTER (WHERE customer IS NULL) AS missing_count, count(*) FILTER (WHERE customer IS NULL) AS unexpected_count FROM t
+     UNION ALL SELECT 'customer', 'non_empty', count(*), count(*) FILTER (WHERE customer IS NULL), count(*) FILTER (WHERE customer = '') FROM t
+     UNION ALL SELECT 'price', 'not_nullable', count(*), count(*) FILTER (WHERE price IS NULL), count(*) FILTER (WHERE price IS NULL) FROM t
+     UNION ALL SELECT 'price', 'is_numeric', count(*), count(*) FILTER (WHERE price IS NULL), count(*) FILTER (WHERE NOT regexp_full_match(price, '-?[0-9]+\.?[0-9]*')) FROM t
+     UNION ALL SELECT 'price', 'greater_than_or_equal', count(*), count(*) FILTER (WHERE price IS NULL),
+                      count(*) FILTER (WHERE price IS NOT NULL AND NOT regexp_full_match(price, '[0-9]+\.?[0-9]*')) FROM t
+     UNION ALL SELECT 'ordered_on', 'not_nullable', count(*), count(*) FILTER (WHERE ordered_on IS NULL), count(*) FILTER (WHERE ordered_on IS NULL) FROM t
+     UNION ALL SELECT 'ordered_on', 'valid_date', count(*), count(*) FILTER (WHERE ordered_on IS NULL), count(*) FILTER (WHERE try_strptime(ordered_on, '%Y%m%d') IS NULL) FROM t)
     SELECT column_name, check_name, element_count, missing_count, unexpected_count,
            round(unexpected_count * 100.0 / element_count, 6)::DOUBLE AS unexpected_percent, unexpected_count = 0 AS success FROM s""",
 )

@@ -35,7 +35,7 @@ _PROFILE = """WITH e AS (SELECT event_type AS pipeline_name, CAST(ts AS DATE) AS
                          CASE WHEN value < 100 THEN value END AS big FROM events),
      p AS (SELECT pipeline_name, run_date, count(*) AS row_count, CAST(sum(value) AS DOUBLE) AS value_sum,
                   CAST(sum(value) AS DOUBLE) / count(*) AS value_avg, CAST(count(DISTINCT user_id) AS DOUBLE) AS user_id_distinct_count,
-                  CAST(count_if(big IS NULL) AS DOUBLE) / count(*) AS big_null_rate FROM e GROUP BY 1, 2),
+                  CAST(count(*) FILTER (WHERE big IS NULL) AS DOUBLE) / count(*) AS big_null_rate FROM e GROUP BY 1, 2),
      m AS (SELECT pipeline_name, run_date, 'row_count' AS metric, CAST(row_count AS DOUBLE) AS value FROM p
            UNION ALL SELECT pipeline_name, run_date, 'value_sum', value_sum FROM p
            UNION ALL SELECT pipeline_name, run_date, 'value_avg', value_avg FROM p
@@ -485,8 +485,8 @@ def customer_text(spark: SparkSession, folder: str) -> DataFrame:
     "suggest_profile",
     _CUSTOMER_TEXT + """, u AS (SELECT 'id' AS column_name, id AS v FROM t UNION ALL SELECT 'name', name FROM t UNION ALL SELECT 'balance', balance FROM t
                       UNION ALL SELECT 'since', since FROM t UNION ALL SELECT 'segment', segment FROM t)
-    SELECT column_name, count(*) AS row_count, count_if(v IS NULL) AS null_count, count_if(v = '') AS empty_count,
-           count_if(regexp_full_match(v, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)')) AS numeric_count,
+    SELECT column_name, count(*) AS row_count, count(*) FILTER (WHERE v IS NULL) AS null_count, count(*) FILTER (WHERE v = '') AS empty_count,
+           count(*) FILTER (WHERE regexp_full_match(v, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)')) AS numeric_count,
            min(CASE WHEN regexp_full_match(v, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)') THEN TRY_CAST(v AS DOUBLE) END) AS min_number FROM u GROUP BY 1""",
 )
 def suggest_profile(spark: SparkSession, folder: str) -> DataFrame:
@@ -497,8 +497,8 @@ def suggest_profile(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "suggest_rules",
-    _CUSTOMER_TEXT + """, s AS (SELECT column_name, count(*) AS n, count(v) AS filled, count_if(v = '') AS empty,
-           count_if(regexp_full_match(v, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)')) AS num, count_if(try_strptime(v, '%m/%d/%Y') IS NOT NULL) AS dates,
+    _CUSTOMER_TEXT + """, s AS (SELECT column_name, count(*) AS n, count(v) AS filled, count(*) FILTER (WHERE v = '') AS empty,
+           count(*) FILTER (WHERE regexp_full_match(v, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)')) AS num, count(*) FILTER (WHERE try_strptime(v, '%m/%d/%Y') IS NOT NULL) AS dates,
            coalesce(min(CASE WHEN regexp_full_match(v, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)') THEN TRY_CAST(v AS DOUBLE) END), -1) AS least
          FROM (SELECT 'id' AS column_name, id AS v FROM t UNION ALL SELECT 'name', name FROM t UNION ALL SELECT 'balance', balance FROM t
                UNION ALL SELECT 'since', since FROM t UNION ALL SELECT 'segment', segment FROM t) GROUP BY 1),
