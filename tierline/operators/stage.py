@@ -55,11 +55,15 @@ def insert_missing(target: DataFrame | None, seed: DataFrame, key: list[str]) ->
 
 
 def write_stage(
-    df: DataFrame, table: SnapshotTable, mode: str, *, key: list[str] | None = None, order: list[Column] | None = None
+    df: DataFrame, table: SnapshotTable, mode: str, *, key: list[str] | None = None, order: list[Column] | None = None,
+    batch_id: str | None = None,
 ) -> DataFrame:
-    """``append``, ``truncate_load`` or ``upsert`` into a silver table."""
+    """``append``, ``truncate_load`` or ``upsert`` into a silver table.
+
+    A ``batch_id`` makes appends repeatable; the other modes are by themselves.
+    """
     if mode == "append":
-        table.append(df)
+        table.append(df, batch_id=batch_id)
     elif mode == "truncate_load":
         table.replace(df)
     elif mode == "upsert":

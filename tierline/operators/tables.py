@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _PREFIX = "snapshot="
+# Which batch appended a row; kept as a partition so that a repeated batch replaces
+# its own rows. Not part of the table's data.
+LOAD_BATCH = "_load_batch"
 
 
 class SnapshotTable:
@@ -14,10 +18,9 @@ class SnapshotTable:
     the old or the new state and a failed write leaves the table as it was.
     """
 
-    def __init__(self, spark: SparkSession, root: str, *, partition_by: tuple[str, ...] = ()):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.partition_by = partition_by
 
     def _fs(self, path: str):
         jpath = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -43,27 +46,42 @@ class SnapshotTable:
     def exists(self) -> bool:
         return self.current() is not None
 
+    def _load(self, folder: str) -> DataFrame:
+        df = self.spark.read.option("mergeSchema", False).parquet(folder)
+        return df.drop(LOAD_BATCH)
+
     def read(self) -> DataFrame | None:
         """The current state, or None before the first write."""
         folder = self.current()
-        return None if folder is None else self.spark.read.option("mergeSchema", False).parquet(folder)
+        return None if folder is None else self._load(folder)
 
     def replace(self, df: DataFrame) -> DataFrame:
         """Writes the next snapshot and returns it."""
         found = self.versions()
         folder = self._folder((found[-1] if found else 0) + 1)
-        self._write(df, folder, "overwrite")
-        return self.spark.read.parquet(folder)
-
-    def append(self, df: DataFrame) -> None:
-        """Adds rows to the current snapshot, creating the first one if needed."""
-        self._write(df, self.current() or self._folder(1), "append")
-
-    def _write(self, df: DataFrame, folder: str, mode: str) -> None:
-        writer = df.write.mode(mode)
-        if self.partition_by:
-            writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(folder)
+        by_batch = bool(found) and LOAD_BATCH in self.spark.read.parquet(self._folder(found[-1])).columns
+        self._create(df, folder, "merged" if by_batch else None)
+        return self._load(folder)
+
+    def _create(self, df: DataFrame, folder: str, batch_id: str | None) -> None:
+        if batch_id is None:
+            df.write.mode("overwrite").parquet(folder)
+        else:
+            df.withColumn(LOAD_BATCH, F.lit(batch_id)).write.mode("overwrite").partitionBy(LOAD_BATCH).parquet(folder)
+
+    def append(self, df: DataFrame, *, batch_id: str | None = None) -> None:
+        """Adds rows to the current snapshot, creating the first one if needed.
+
+        With a ``batch_id`` the rows form a partition of their own and appending the
+        same batch again replaces it; use it for all appends to a table or for none.
+        """
+        folder = self.current()
+        if folder is None:
+            self._create(df, self._folder(1), batch_id)
+        elif batch_id is None:
+            df.write.mode("append").parquet(folder)
+        else:
+            replace_batch(df, folder, LOAD_BATCH, batch_id)
 
     def drop_old(self, keep: int = 2) -> None:
         """Removes all but the newest ``keep`` snapshots."""
@@ -72,15 +90,17 @@ class SnapshotTable:
             fs.delete(path, True)
 
 
-def replace_batch(df: DataFrame, path: str, batch_column: str, batch_id: str) -> None:
-    """Writes one batch as its own partition; running the same batch again replaces it."""
-    from pyspark.sql import functions as F
+def replace_batch(df: DataFrame, path: str, batch_column: str, batch_id: str, **parts: str) -> None:
+    """Writes one batch as its own partition; running the same batch again replaces it.
 
+    ``parts`` adds further partition columns, for tables a batch writes to more than once.
+    """
+    fixed = {batch_column: batch_id, **parts}
     (
-        df.withColumn(batch_column, F.lit(batch_id))
+        df.withColumns({name: F.lit(value) for name, value in fixed.items()})
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(batch_column)
+        .partitionBy(*fixed)
         .parquet(path)
     )
 

@@ -5,24 +5,25 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.functions.names import FILE_CHECKSUM, FILE_PATH, METADATA, col, data_columns
+from tierline.functions.names import FILE_CHECKSUM, FILE_NAME, FILE_PATH, METADATA, col, data_columns
 from tierline.functions.spread import attach_by_key, is_small, materialize, top_per_key
 from tierline.operators import alerts as alert_ops
 from tierline.operators.anomaly import anomaly_messages, anomaly_reasons, score_history
 from tierline.operators.bronze import checksum_dedup, file_checksums, land_bronze
-from tierline.operators.checks import FAILED, REASONS, Rule, blocked_files, check_rows, distinct_reasons, split_batch
+from tierline.operators.checks import FAILED, Rule, check_rows, distinct_reasons, split_batch
 from tierline.operators.gates import Bounds, control_gates, line_counts
 from tierline.operators.lineage import raw_to_stage_edges
 from tierline.operators.monitor import layers_to_run
 from tierline.operators.profile import compute_profile
 from tierline.operators.quarantine import quarantine_files, quarantine_rows
 from tierline.operators.rows import with_row_index
-from tierline.operators.stage import latest_per_key, merge_upsert, write_stage
-from tierline.operators.tables import SnapshotTable, path_exists
+from tierline.operators.stage import latest_per_key, write_stage
+from tierline.operators.tables import SnapshotTable, path_exists, replace_batch
 from tierline.plans.gold import GoldBuild, run_gold_build
 from tierline.sources.files import file_sort_key, list_files, require_matches, select_files
 from tierline.sources.registry import read_records
@@ -86,12 +87,14 @@ class Warehouse:
     def folder(self, name: str) -> str:
         return f"{self.root}/control/{name}"
 
-    def log(self, df: DataFrame, name: str) -> None:
-        """Appends rows to a control table."""
-        df.write.mode("append").parquet(self.folder(name))
+    def log(self, df: DataFrame, name: str, batch_id: str, part: str) -> None:
+        """Adds rows of a batch to a control table; the same part again replaces them."""
+        replace_batch(df, self.folder(name), "batch_id", batch_id, part=part)
 
     def control(self, name: str) -> DataFrame | None:
-        return self.spark.read.parquet(self.folder(name)) if path_exists(self.spark, self.folder(name)) else None
+        if not path_exists(self.spark, self.folder(name)):
+            return None
+        return self.spark.read.parquet(self.folder(name)).drop("part")
 
 
 @dataclass(frozen=True)
@@ -104,12 +107,13 @@ class BatchResult:
 
 
 class _Steps:
-    """Writes step and lineage events of all files of a batch."""
+    """Step and lineage events of all files of a batch."""
 
-    def __init__(self, house: Warehouse, feed: Feed, files: DataFrame, at: Column):
-        self.house, self.feed, self.at = house, feed, at
+    def __init__(self, house: Warehouse, feed: Feed, batch_id: str, files: DataFrame, at: Column):
+        self.house, self.feed, self.batch_id, self.at = house, feed, batch_id, at
         self.order = 0
         self.current, self.running = "control_gate", files
+        self.lineage_rows: list[DataFrame] = []
 
     def event(self, files: DataFrame, step: str, target: str, status: Column, rows_in: Column, rows_out: Column) -> DataFrame:
         # Events of one batch share the batch time; the order within it is kept in microseconds.
@@ -125,22 +129,23 @@ class _Steps:
         none = F.lit(None)
         return self.event(files, step, target, F.lit("begin"), none, none)
 
-    def write(self, *events: DataFrame) -> None:
-        both = events[0]
-        for e in events[1:]:
-            both = both.unionByName(e)
-        self.house.log(both, "step_events")
+    def write(self, part: str, *events: DataFrame) -> None:
+        self.house.log(reduce(DataFrame.unionByName, events), "step_events", self.batch_id, part)
 
-    def lineage(self, files: DataFrame, step: str, state: str, source: Column, target: str) -> None:
-        self.house.log(
+    def lineage(self, files: DataFrame, step: str, state: Column, source: Column, target: str) -> None:
+        """START of a step and how it ended."""
+        ended = F.explode(F.array(F.lit("START"), state)).alias("event_type")
+        self.lineage_rows.append(
             files.select(
-                F.lit(state).alias("event_type"), self.at.alias("event_time"), "run_id",
-                F.lit(f"{self.feed.name}.{step}").alias("job"), F.array(source).alias("inputs"),
-                F.array(F.lit(target)).alias("outputs"),
-            ),
-            "lineage_events",
+                ended, self.at.alias("event_time"), "run_id", F.lit(f"{self.feed.name}.{step}").alias("job"),
+                F.array(source).alias("inputs"), F.array(F.lit(target)).alias("outputs"),
+            )
         )
 
+    def write_lineage(self) -> None:
+        if self.lineage_rows:
+            self.house.log(reduce(DataFrame.unionByName, self.lineage_rows), "lineage_events", self.batch_id, "all")
+
 
 def discover(spark: SparkSession, feed: Feed, path: str | list[str], *, strict: bool = True) -> DataFrame:
     """The files of a feed, selected and in order."""
@@ -159,10 +164,10 @@ def _with_order(rows: DataFrame, manifest: DataFrame) -> DataFrame:
     return attach_by_key(rows, narrow, [FILE_PATH], ["sort_key"], rows="length", hot_rows=1024**3)
 
 
-def _write_stage(feed: Feed, valid: DataFrame, manifest: DataFrame, table: SnapshotTable) -> None:
+def _write_stage(feed: Feed, valid: DataFrame, manifest: DataFrame, table: SnapshotTable, batch_id: str) -> None:
     names = [col(c) for c in data_columns(valid.columns)]
     if feed.write_mode == "append":
-        write_stage(valid.select(*names), table, "append")
+        write_stage(valid.select(*names), table, "append", batch_id=batch_id)
         return
     placed = _with_order(valid, manifest)
     if feed.write_mode == "truncate_load":
@@ -171,16 +176,17 @@ def _write_stage(feed: Feed, valid: DataFrame, manifest: DataFrame, table: Snaps
             placed.select(FILE_PATH, "sort_key").distinct().withColumn("__all", F.lit(0)),
             ["__all"], [F.desc("sort_key"), F.desc(FILE_PATH)],
         )
+        # One row: the path of that file.
         kept = placed.join(F.broadcast(last.select(FILE_PATH)), FILE_PATH, "left_semi")
         write_stage(kept.select(*names), table, "truncate_load")
         return
+    # The latest file wins where several carry a key.
     order = [F.desc("sort_key"), F.desc(FILE_PATH)]
-    target, key = table.read(), list(feed.business_key)
-    newest = latest_per_key(placed, key, order).select(*names)
-    table.replace(merge_upsert(target, newest, key))
+    newest = latest_per_key(placed, list(feed.business_key), order).select(*names)
+    write_stage(newest, table, "upsert", key=list(feed.business_key))
 
 
-def _anomalies(feed: Feed, valid: DataFrame, files: DataFrame, house: Warehouse, now: str) -> DataFrame | None:
+def _anomalies(feed: Feed, valid: DataFrame, files: DataFrame, house: Warehouse, now: str, batch_id: str) -> DataFrame | None:
     """Verdicts of the batch's files, each against the runs before it; history is extended."""
     policy = feed.anomaly
     if policy is None:
@@ -207,7 +213,7 @@ def _anomalies(feed: Feed, valid: DataFrame, files: DataFrame, house: Warehouse,
         known, list(policy.metrics), method=policy.method, threshold=policy.threshold, window=policy.window
     ).join(profiles.select("process_id"), "process_id", "left_semi")
     verdicts = materialize(verdicts, "verdicts")
-    house.log(profiles, "profile_history")
+    house.log(profiles, "profile_history", batch_id, "all")
     return verdicts
 
 
@@ -231,30 +237,32 @@ def run_batch(
     """
     batch_id = batch_id or uuid.uuid4().hex
     layers = layers_to_run(stop_after or feed.stop_after)
-    at = F.lit(now).cast("timestamp")
 
-    found = materialize(discover(spark, feed, path, strict=strict_names), "found")
+    found = discover(spark, feed, path, strict=strict_names)
     sums = file_checksums(spark, [r.path for r in found.select("path").collect()])
     empty = F.when(F.col("length") == 0, F.sha2(F.lit(""), 256))
     hashed = materialize(
         found.join(sums, FILE_PATH, "left").withColumn(FILE_CHECKSUM, F.coalesce(FILE_CHECKSUM, empty)), "hashed"
     )
-    # A repeated batch must not count as known content, so its own rows are left out.
-    landed = None
-    if feed.skip_known_content and FILE_CHECKSUM in feed.metadata and path_exists(spark, house.bronze(feed.name)):
-        bronze = spark.read.parquet(house.bronze(feed.name)).filter(F.col("batch_id") != batch_id)
-        landed = bronze.select(FILE_CHECKSUM).distinct()
-    new = checksum_dedup(hashed, landed) if feed.skip_known_content else hashed
+    new = hashed
+    if feed.skip_known_content:
+        landed = None
+        if FILE_CHECKSUM in feed.metadata and path_exists(spark, house.bronze(feed.name)):
+            # A repeated batch must not count as known content, so its own rows are left out.
+            bronze = spark.read.parquet(house.bronze(feed.name)).filter(F.col("batch_id") != batch_id)
+            landed = bronze.select(FILE_CHECKSUM).distinct()
+        new = checksum_dedup(hashed, landed)
     # Run ids of a batch sort like its files do.
     run_id = F.concat(
         F.lit(batch_id + "-"), F.date_format("sort_key", "yyyyMMddHHmmssSSSSSS"), F.lit("-"), F.md5(FILE_PATH)
     )
     new = materialize(new.withColumn("run_id", run_id), "files")
-    steps = _Steps(house, feed, new, at)
+    steps = _Steps(house, feed, batch_id, new, F.lit(now).cast("timestamp"))
     try:
         return _run_layers(spark, feed, new, hashed, house, steps, layers, now, batch_id, references, gold_inputs)
     except Exception:
-        steps.write(steps.event(steps.running, steps.current, "", F.lit("failed"), F.lit(None), F.lit(None)))
+        failed = steps.event(steps.running, steps.current, "", F.lit("failed"), F.lit(None), F.lit(None))
+        steps.write("failed", failed)
         raise
 
 
@@ -267,31 +275,36 @@ def _run_layers(
     raw_name, stage_name = f"bronze.{feed.name}", f"silver.{feed.name}"
     rules = list(feed.rules)
     no_reasons = F.array().cast("array<string>")
+    no_layer = F.lit(None).cast("string")
 
-    def finish(runs: DataFrame, checked: DataFrame | None = None) -> BatchResult:
-        skipped = hashed.join(new.select(FILE_PATH), FILE_PATH, "left_anti").select(
-            F.concat(F.lit(batch_id + "-known-"), F.md5(FILE_PATH)).alias("run_id"), FILE_PATH, FILE_CHECKSUM,
-            F.lit("skipped").alias("status"), F.lit(None).cast("string").alias("layer_reached"),
-            F.lit(None).cast("long").alias("rows_in"), F.lit(0).cast("long").alias("rows_out"),
-            no_reasons.alias("failure_reasons"),
+    def run_rows(files: DataFrame, status: Column, layer: Column, rows_in: Column, rows_out: Column, why: Column) -> DataFrame:
+        return files.select(
+            "run_id", FILE_PATH, FILE_CHECKSUM, status.alias("status"), layer.alias("layer_reached"),
+            rows_in.cast("long").alias("rows_in"), rows_out.cast("long").alias("rows_out"), why.alias("failure_reasons"),
+        )
+
+    def finish(*runs: DataFrame, checked: DataFrame | None = None) -> BatchResult:
+        known = hashed.join(new.select(FILE_PATH), FILE_PATH, "left_anti").withColumn(
+            "run_id", F.concat(F.lit(batch_id + "-known-"), F.md5(FILE_PATH))
+        )
+        skipped = run_rows(known, F.lit("skipped"), no_layer, F.lit(None), F.lit(0), no_reasons)
+        log = reduce(DataFrame.unionByName, [*runs, skipped]).select(
+            "*", F.lit(feed.name).alias("pipeline_name"), at.alias("started_at")
         )
-        log = runs.select(*skipped.columns).unionByName(skipped)
-        log = materialize(
-            log.select("*", F.lit(feed.name).alias("pipeline_name"), F.lit(batch_id).alias("batch_id"), at.alias("started_at")),
-            "runs",
+        house.log(log, "runs", batch_id, "all")
+        steps.write_lineage()
+        return BatchResult(batch_id, house.control("runs").filter(F.col("batch_id") == batch_id), checked)
+
+    def alert(messages: DataFrame, part: str) -> None:
+        house.log(
+            messages.select(F.lit(feed.name).alias("pipeline_name"), at.alias("alerted_at"), "file_name", "row_index", "message"),
+            "alerts", batch_id, part,
         )
-        house.log(log, "runs")
-        return BatchResult(batch_id, log, checked)
 
     # Gate
     paths = [r.path for r in new.select("path").collect()]
     if not paths:
-        return finish(new.select(
-            "run_id", FILE_PATH, FILE_CHECKSUM, F.lit("skipped").alias("status"),
-            F.lit(None).cast("string").alias("layer_reached"), F.lit(None).cast("long").alias("rows_in"),
-            F.lit(0).cast("long").alias("rows_out"), no_reasons.alias("failure_reasons"),
-        ))
-    steps.write(steps.begin(new, "control_gate", raw_name))
+        return finish()
     gated = materialize(
         control_gates(
             new, line_counts(spark, paths), size=feed.file_size, rows=feed.row_count, fmt=feed.fmt,
@@ -300,52 +313,45 @@ def _run_layers(
         ),
         "gated",
     )
-    failed_gate = gated.filter(~F.col("passed"))
     passed = gated.filter("passed")
-    if quarantine_files(spark, gated, house.folder("quarantined_files"), now=now, pipeline_name=feed.name, batch_id=batch_id):
-        house.log(
-            alert_ops.gate_alerts(gated).select(F.lit(feed.name).alias("pipeline_name"), at.alias("alerted_at"), "*"), "alerts"
-        )
-    rejected = failed_gate.select(
-        "run_id", FILE_PATH, FILE_CHECKSUM, F.lit("quarantined").alias("status"),
-        F.lit(None).cast("string").alias("layer_reached"), F.col("row_count").alias("rows_in"),
-        F.lit(0).cast("long").alias("rows_out"), F.col("failures").alias("failure_reasons"),
-    )
+    gate_state = F.when(F.col("passed"), "complete").otherwise("quarantined")
+    began = steps.begin(new, "control_gate", raw_name)
     ended = steps.event(
-        gated, "control_gate", raw_name, F.when(F.col("passed"), "complete").otherwise("quarantined"),
-        F.col("row_count"), F.when(F.col("passed"), F.col("row_count")).otherwise(0),
+        gated, "control_gate", raw_name, gate_state, F.col("row_count"), F.when(F.col("passed"), F.col("row_count")).otherwise(0)
+    )
+    steps.write("gate", began, ended, steps.begin(passed, "raw", raw_name))
+    steps.lineage(gated, "control_gate", F.when(F.col("passed"), "COMPLETE").otherwise("FAIL"), F.col(FILE_PATH), FILE_PATH)
+    if quarantine_files(spark, gated, house.folder("quarantined_files"), now=now, pipeline_name=feed.name, batch_id=batch_id):
+        alert(alert_ops.gate_alerts(gated), "gate")
+    rejected = run_rows(
+        gated.filter(~F.col("passed")), F.lit("quarantined"), no_layer, F.col("row_count"), F.lit(0), F.col("failures")
     )
-    steps.write(ended, steps.begin(passed, "raw", raw_name))
 
     # Bronze
     steps.current, steps.running = "raw", passed
-    if passed.isEmpty():
+    passed_files = passed.select("path", "length").collect()
+    if not passed_files:
         return finish(rejected)
-    passed_paths = [r.path for r in passed.filter("length > 0").select("path").collect()]
-    if not passed_paths:
+    filled = [r.path for r in passed_files if r.length > 0]
+    if not filled:
         raise ValueError(f"{feed.name}: the files hold no data")
-    steps.lineage(passed, "raw", "START", F.col(FILE_PATH), raw_name)
-    rows = read_records(spark, feed.fmt, passed_paths, **feed.reader)
+    rows = read_records(spark, feed.fmt, filled, **feed.reader)
     bronze = land_bronze(rows, passed, house.bronze(feed.name), batch_id=batch_id, now=now, metadata=feed.metadata)
-    per_file = materialize(bronze.groupBy(FILE_PATH).agg(F.count(F.lit(1)).alias("rows_in")), "landed")
-    raw_done = passed.join(per_file, FILE_PATH, "left").withColumn("rows_in", F.coalesce("rows_in", F.lit(0)))
-    steps.write(
-        steps.event(raw_done, "raw", raw_name, F.lit("complete"), F.col("rows_in"), F.col("rows_in")),
-        *([steps.begin(passed, "stage", stage_name)] if "stage" in layers else []),
-    )
-    steps.lineage(passed, "raw", "COMPLETE", F.col(FILE_PATH), raw_name)
+    landed = passed.join(bronze.groupBy(FILE_PATH).agg(F.count(F.lit(1)).alias("rows_in")), FILE_PATH, "left")
+    landed = landed.withColumn("rows_in", F.coalesce("rows_in", F.lit(0)))
+    complete = steps.event(landed, "raw", raw_name, F.lit("complete"), F.col("rows_in"), F.col("rows_in"))
+    steps.write("raw", complete, *([steps.begin(passed, "stage", stage_name)] if "stage" in layers else []))
+    steps.lineage(passed, "raw", F.lit("COMPLETE"), F.col(FILE_PATH), raw_name)
     if "stage" not in layers:
-        return finish(rejected.unionByName(raw_done.select(
-            "run_id", FILE_PATH, FILE_CHECKSUM, F.lit("succeeded").alias("status"), F.lit("raw").alias("layer_reached"),
-            "rows_in", F.col("rows_in").alias("rows_out"), no_reasons.alias("failure_reasons"),
-        )))
+        return finish(
+            rejected, run_rows(landed, F.lit("succeeded"), F.lit("raw"), F.col("rows_in"), F.col("rows_in"), no_reasons)
+        )
 
     # Silver
     steps.current = "stage"
-    steps.lineage(passed, "stage", "START", F.lit(raw_name), stage_name)
     indexed = with_row_index(bronze)
-    if "file_name" not in indexed.columns:
-        indexed = indexed.withColumn("file_name", F.substring_index(FILE_PATH, "/", -1))
+    if FILE_NAME not in indexed.columns:
+        indexed = indexed.withColumn(FILE_NAME, F.substring_index(FILE_PATH, "/", -1))
     checked = materialize(
         check_rows(
             indexed, rules, lookups=references, business_key=list(feed.business_key) or None,
@@ -354,92 +360,79 @@ def _run_layers(
         "checked", partition_by=(FAILED,),
     )
     valid, bad = split_batch(checked, rules, feed.integrity_mode)
-    house.log(quarantine_rows(bad, pipeline_name=feed.name, batch_id=batch_id, now=now), "quarantine")
-    house.log(
-        alert_ops.row_alerts(bad, feed.integrity_mode).select(F.lit(feed.name).alias("pipeline_name"), at.alias("alerted_at"), "*"),
-        "alerts",
-    )
-    _write_stage(feed, valid, passed, house.stage(feed.name))
-
-    strict = feed.integrity_mode == "strict"
-    blocked = blocked_files(checked).select(FILE_PATH, "_dq_bad")
-    each = materialize(distinct_reasons(bad, [FILE_PATH]), "reasons")
-    house.log(each.withColumn("batch_id", F.lit(batch_id)), "run_reasons")
+    each = distinct_reasons(bad, [FILE_PATH])
     # The run row names kinds of reasons, one per rule; key values stay in run_reasons.
     kinds = each.withColumn("kind", F.regexp_replace("reason", r" \(.*$", "")).select(FILE_PATH, "kind").distinct()
-    reasons = kinds.groupBy(FILE_PATH).agg(F.sort_array(F.collect_set("kind")).alias("failure_reasons"))
     outcome = materialize(
-        raw_done.join(blocked, FILE_PATH, "left").join(reasons, FILE_PATH, "left")
-        .withColumn("blocked", F.lit(strict) & F.col("_dq_bad").isNotNull())
-        .withColumn("rows_out", F.when(F.col("blocked"), 0).otherwise(F.col("rows_in") - F.coalesce("_dq_bad", F.lit(0)))),
+        passed.join(
+            checked.groupBy(FILE_PATH).agg(F.count(F.lit(1)).alias("rows_in"), F.count_if(FAILED).alias("bad")), FILE_PATH, "left"
+        )
+        .join(kinds.groupBy(FILE_PATH).agg(F.sort_array(F.collect_set("kind")).alias("why")), FILE_PATH, "left")
+        .withColumn("rows_in", F.coalesce("rows_in", F.lit(0)))
+        .withColumn("bad", F.coalesce("bad", F.lit(0)))
+        .withColumn("blocked", F.lit(feed.integrity_mode == "strict") & (F.col("bad") > 0))
+        .withColumn("rows_out", F.when(F.col("blocked"), 0).otherwise(F.col("rows_in") - F.col("bad")))
+        .withColumn("why", F.coalesce("why", no_reasons)),
         "outcome",
     )
-    promoted = outcome.filter(~F.col("blocked"))
+    if not outcome.filter("bad > 0").isEmpty():
+        house.log(
+            quarantine_rows(bad, pipeline_name=feed.name, batch_id=batch_id, now=now).drop("batch_id"), "quarantine", batch_id, "all"
+        )
+        house.log(each, "run_reasons", batch_id, "all")
+        alert(alert_ops.row_alerts(bad, feed.integrity_mode), "rows")
+    promoted, blocked = outcome.filter(~F.col("blocked")), outcome.filter("blocked")
+    # A blocked file leaves the silver table alone, also where it would replace it.
+    if not promoted.isEmpty():
+        _write_stage(feed, valid, passed, house.stage(feed.name), batch_id)
 
     # Anomalies
-    stopped = None
-    verdicts = _anomalies(feed, valid, outcome, house, now)
-    anomaly_texts = None
+    promoted = promoted.withColumn("held", F.lit(False))
+    verdicts = _anomalies(feed, valid, outcome, house, now, batch_id)
     if verdicts is not None:
         messages = anomaly_messages(verdicts)
-        house.log(
-            messages.select(
-                F.lit(feed.name).alias("pipeline_name"), at.alias("alerted_at"), F.lit(None).cast("string").alias("file_name"),
-                F.lit(None).cast("long").alias("row_index"), "message",
-            ),
-            "alerts",
-        )
+        alert(messages.select(no_layer.alias("file_name"), F.lit(None).cast("long").alias("row_index"), "message"), "anomaly")
         if feed.anomaly.on_anomaly == "quarantine":
-            anomaly_texts = anomaly_reasons(verdicts).groupBy(F.col("process_id").alias("run_id")).agg(
-                F.sort_array(F.collect_set("reason")).alias("__why")
+            texts = anomaly_reasons(verdicts).groupBy(F.col("process_id").alias("run_id")).agg(
+                F.sort_array(F.collect_set("reason")).alias("texts")
             )
-            stopped = anomaly_texts.select("run_id")
-    if anomaly_texts is not None:
-        promoted = promoted.join(anomaly_texts, "run_id", "left")
-    else:
-        promoted = promoted.withColumn("__why", F.lit(None).cast("array<string>"))
-    promoted = materialize(promoted, "promoted")
-
-    held = F.col("__why").isNotNull()
+            promoted = promoted.drop("held").join(texts, "run_id", "left").withColumn("held", F.col("texts").isNotNull())
+            promoted = promoted.withColumn("why", F.coalesce("texts", "why"))
+    held = F.col("held")
     steps.write(
-        steps.event(outcome.filter("blocked"), "stage", stage_name, F.lit("quarantined"), F.col("rows_in"), F.lit(0)),
+        "stage",
+        steps.event(blocked, "stage", stage_name, F.lit("quarantined"), F.col("rows_in"), F.lit(0)),
         steps.event(
             promoted, "stage", stage_name, F.when(held, "quarantined").otherwise("complete"), F.col("rows_in"), F.col("rows_out")
         ),
     )
-    steps.lineage(promoted, "stage", "COMPLETE", F.lit(raw_name), stage_name)
-    house.log(
-        raw_to_stage_edges(spark, rules, list(feed.business_key), raw_name, stage_name).withColumn("batch_id", F.lit(batch_id)),
-        "lineage_edges",
-    )
+    steps.lineage(blocked, "stage", F.lit("FAIL"), F.lit(raw_name), stage_name)
+    steps.lineage(promoted, "stage", F.when(held, "FAIL").otherwise("COMPLETE"), F.lit(raw_name), stage_name)
+    house.log(raw_to_stage_edges(spark, rules, list(feed.business_key), raw_name, stage_name), "lineage_edges", batch_id, "all")
 
     # Gold
     to_gold = promoted.filter(~held)
     reached = "stage"
-    if "gold" in layers and not to_gold.isEmpty():
+    if "gold" in layers and feed.gold and not to_gold.isEmpty():
         steps.current, steps.running = "gold", to_gold
         inputs = {feed.name: house.stage(feed.name).read(), **(gold_inputs or {})}
         for build in feed.gold:
-            steps.write(steps.begin(to_gold, "gold", f"gold.{build.name}"))
+            gold_name = f"gold.{build.name}"
+            began = steps.begin(to_gold, "gold", gold_name)
             run_gold_build(build, inputs, house.gold(build.name), now=now)
-            steps.write(steps.event(
-                to_gold, "gold", f"gold.{build.name}", F.lit("complete"), F.col("rows_out"), F.col("rows_out")
-            ))
-            steps.lineage(to_gold, "gold", "START", F.lit(stage_name), f"gold.{build.name}")
-            steps.lineage(to_gold, "gold", "COMPLETE", F.lit(stage_name), f"gold.{build.name}")
+            steps.write(
+                gold_name, began,
+                steps.event(to_gold, "gold", gold_name, F.lit("complete"), F.col("rows_out"), F.col("rows_out")),
+            )
+            steps.lineage(to_gold, "gold", F.lit("COMPLETE"), F.lit(stage_name), gold_name)
         reached = "gold"
 
-    done = outcome.filter("blocked").select(
-        "run_id", FILE_PATH, FILE_CHECKSUM, F.lit("quarantined").alias("status"), F.lit("raw").alias("layer_reached"),
-        "rows_in", "rows_out", F.coalesce("failure_reasons", no_reasons).alias("failure_reasons"),
-    ).unionByName(
-        promoted.select(
-            "run_id", FILE_PATH, FILE_CHECKSUM, F.when(held, "quarantined").otherwise("succeeded").alias("status"),
-            F.when(held, "stage").otherwise(reached).alias("layer_reached"), "rows_in", "rows_out",
-            F.coalesce("__why", "failure_reasons", no_reasons).alias("failure_reasons"),
-        )
+    done = run_rows(
+        promoted, F.when(held, "quarantined").otherwise("succeeded"), F.when(held, "stage").otherwise(reached),
+        F.col("rows_in"), F.col("rows_out"), F.col("why"),
     )
-    return finish(rejected.unionByName(done), checked)
+    stopped = run_rows(blocked, F.lit("quarantined"), F.lit("raw"), F.col("rows_in"), F.lit(0), F.col("why"))
+    return finish(rejected, done, stopped, checked=checked)
 
 
 def with_stop(feed: Feed, layer: str) -> Feed:
