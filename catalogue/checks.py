@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogue.registry import joined, money, query, table
+from catalogue.registry import joined, landed, money, query, table
 from tierline.operators.alerts import row_alerts
 from tierline.operators.checks import (
     FAILED, REASONS, Rule, apply_casts, blocked_files, check_rows, distinct_reasons, split_batch, unexpected_sample,
@@ -47,7 +47,7 @@ ORDERS_CHECKED = f"WITH t AS ({ORDERS_TEXT}), c AS (SELECT *, concat_ws(';', {OR
 def orders_text(spark: SparkSession, folder: str) -> DataFrame:
     key, price = F.col("o_orderkey"), money("o_totalprice").cast("string")
     cust = F.col("o_custkey")
-    return table(spark, folder, "orders").select(
+    return landed(table(spark, folder, "orders").select(
         key.alias("o_orderkey"),
         F.when(cust % 97 == 0, "").when(cust % 89 == 0, None).otherwise(cust.cast("string")).alias("customer"),
         F.when(key % 41 == 0, None).when(key % 53 == 0, F.concat(F.lit("-"), price)).when(key % 71 == 0, "n/a")
@@ -57,7 +57,7 @@ def orders_text(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderpriority").alias("priority"),
         F.lit("orders").alias("file_path"),
         key.alias("_row_index"),
-    )
+    ))
 
 
 def orders_checked(spark: SparkSession, folder: str) -> DataFrame:
@@ -128,10 +128,10 @@ def dq_comparisons(spark: SparkSession, folder: str) -> DataFrame:
 def lineitem_feed(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as two files by status; the position is the order of all columns."""
     place = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    return table(spark, folder, "lineitem").select(
+    return landed(table(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_linestatus").alias("file_path"),
         F.struct(*place).alias("_row_index"), money("l_extendedprice").cast("string").alias("price"),
-    )
+    ))
 
 
 @query(
@@ -192,10 +192,10 @@ _STRICT = """WITH t AS (SELECT strftime(l_shipdate, '%Y-%m') AS file_path, l_ext
 
 
 def shipments_by_month(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "lineitem").select(
+    return landed(table(spark, folder, "lineitem").select(
         F.date_format("l_shipdate", "yyyy-MM").alias("file_path"), F.lit("").alias("file_name"),
         money("l_extendedprice").cast("string").alias("price"), money("l_quantity").cast("string").alias("quantity"),
-    )
+    ))
 
 
 STRICT_RULES = [
@@ -209,7 +209,7 @@ STRICT_RULES = [
                  FROM t JOIN f USING (file_path) WHERE NOT blocked GROUP BY t.file_path""",
 )
 def dq_strict(spark: SparkSession, folder: str) -> DataFrame:
-    checked = check_rows(shipments_by_month(spark, folder), STRICT_RULES)
+    checked = landed(check_rows(shipments_by_month(spark, folder), STRICT_RULES))
     valid, _ = split_batch(checked, STRICT_RULES, "strict")
     return valid.groupBy("file_path").agg(
         F.count(F.lit(1)).alias("promoted"), F.sum("price").cast("double").alias("price")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogue.registry import money, query, table
+from catalogue.registry import landed, money, query, table
 from tierline.functions.spread import new_folder
 from tierline.operators.scd2 import current_versions, scd2_changes, scd2_merge
 from tierline.operators.tables import SnapshotTable
@@ -108,7 +108,7 @@ def gold_weights(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_extendedprice").cast("decimal(18,4)").alias("price"), F.lit("USD").alias("currency"),
         (1 - F.col("l_discount")).cast("decimal(4,2)").cast("decimal(10,6)").alias("fx"),
     )
-    return position_weights(stage, as_of="2026-01-31").select(
+    return position_weights(landed(stage), as_of="2026-01-31").select(
         "portfolio", "security.l_orderkey", "security.l_linenumber", "security.l_partkey", "source_date",
         F.col("market_value").cast("double").alias("market_value"), F.round("weight", 12).alias("weight"),
     )

@@ -98,10 +98,23 @@ def attach_by_key(
     outputs = [col(c) for c in df.columns] + [F.col("`__v_" + v + "`").alias(v) for v in values]
     on = same_key([col(k) for k in keys], [F.col(n) for n in names])
 
+    # Both branches use the same columns of ``per_key``, so Spark aggregates it once.
     hot = F.broadcast(lookup.filter(F.col(_ROWS) >= hot_rows))
+    hot_part = df.join(hot, on & (F.col(_ROWS) >= hot_rows), "inner").select(*outputs)
+
+    spared = hot.select(
+        *[F.col(n).alias("__hot" + n) for n in names],
+        *[F.col("`__v_" + v + "`").alias("__hot_" + v) for v in values],
+        F.col(_ROWS).alias("__hot_rows"),
+    )
+    spared_on = same_key([col(k) for k in keys], [F.col("__hot" + n) for n in names])
     cold = lookup.filter(F.col(_ROWS) < hot_rows)
-    hot_part = df.join(hot, on, "inner").select(*outputs)
-    cold_part = df.join(hot, on, "left_anti").join(cold, on, "left").select(*outputs)
+    cold_outputs = [col(c) for c in df.columns] + [
+        F.coalesce("`__hot_" + v + "`", "`__v_" + v + "`").alias(v) for v in values
+    ]
+    cold_part = (
+        df.join(spared, spared_on, "left").filter(F.col("__hot_rows").isNull()).join(cold, on, "left").select(*cold_outputs)
+    )
     return hot_part.unionByName(cold_part)
 
 

@@ -43,14 +43,28 @@ class Rule:
             raise ValueError(f"{self.column}: dates need a format")
 
 
+@dataclass(frozen=True)
+class Cell:
+    """A text value and what it parses to; each is computed once per row."""
+
+    value: Column
+    number: Column
+    date: Column | None
+
+
+def _cell(rule: Rule) -> Cell:
+    value = col(rule.column)
+    return Cell(value, as_number(value), as_date(value, rule.format) if rule.format else None)
+
+
 # Each check says when a value FAILS. NULL passes everything but not_null, which
 # the caller takes care of.
-Check = Callable[[Column, Rule], Column]
+Check = Callable[[Cell, Rule], Column]
 
 CHECKS: dict[str, Check] = {
-    "non_empty": lambda v, rule: F.length(v) == 0,
-    "valid_date": lambda v, rule: as_date(v, rule.format).isNull(),
-    "is_numeric": lambda v, rule: as_number(v).isNull(),
+    "non_empty": lambda cell, rule: F.length(cell.value) == 0,
+    "valid_date": lambda cell, rule: cell.date.isNull(),
+    "is_numeric": lambda cell, rule: cell.number.isNull(),
 }
 COMPARISONS: dict[str, Callable[[Column, float], Column]] = {
     "greater_than_or_equal": lambda n, limit: n >= limit,
@@ -60,9 +74,9 @@ COMPARISONS: dict[str, Callable[[Column, float], Column]] = {
 }
 
 
-def register_check(name: str, fails: Check) -> None:
+def register_check(name: str, fails: Callable[[Column, Rule], Column]) -> None:
     """Adds a check ``(value, rule) -> failing`` made of Spark expressions."""
-    CHECKS[name] = fails
+    CHECKS[name] = lambda cell, rule: fails(cell.value, rule)
 
 
 @dataclass(frozen=True)
@@ -76,17 +90,17 @@ class Condition:
         return f"{self.column}: {self.label}"
 
 
-def conditions(rules: list[Rule]) -> list[Condition]:
+def conditions(rules: list[Rule], cells: list[Cell] | None = None) -> list[Condition]:
     """One failing condition per check, in rule order."""
     out = []
-    for rule in rules:
-        value = col(rule.column)
+    for rule, cell in zip(rules, cells or [_cell(r) for r in rules]):
+        value = cell.value
         for check in rule.checks:
             if isinstance(check, str):
                 if check == "not_null":
                     out.append(Condition(rule.column, "not_nullable", value.isNull()))
                 elif check in CHECKS:
-                    fails = F.coalesce(CHECKS[check](value, rule), F.lit(False))
+                    fails = F.coalesce(CHECKS[check](cell, rule), F.lit(False))
                     out.append(Condition(rule.column, check, value.isNotNull() & fails))
                 else:
                     raise ValueError(f"unknown check {check!r} on column {rule.column!r}")
@@ -96,11 +110,15 @@ def conditions(rules: list[Rule]) -> list[Condition]:
             (op, limit), = check.items()
             if op not in COMPARISONS:
                 raise ValueError(f"unsupported comparison {op!r} on column {rule.column!r}")
-            holds = F.coalesce(COMPARISONS[op](as_number(value), F.lit(float(limit))), F.lit(False))
+            holds = F.coalesce(COMPARISONS[op](cell.number, F.lit(float(limit))), F.lit(False))
             out.append(Condition(rule.column, op, value.isNotNull() & ~holds))
     return out
 
 
+def _decimal(rule: Rule) -> str:
+    return f"decimal({rule.precision or 38},{rule.scale or 0})"
+
+
 def cast_value(rule: Rule) -> Column | None:
     """The typed value of a rule's column, NULL where the text does not fit the type."""
     if rule.cast_to == "date":
@@ -116,26 +134,74 @@ def apply_casts(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.select(*[casts[c].alias(c) if c in casts else col(c) for c in df.columns])
 
 
-def _no_reasons() -> Column:
-    return F.array().cast("array<string>")
+_FLAGS_PER_COLUMN = 60
 
 
-def own_reasons(rules: list[Rule], columns: list[str]) -> Column:
-    """Reasons a row carries by itself: its checks, or a cast its text does not fit."""
-    checks = conditions(rules)
-    unknown = sorted({c.column for c in checks} - set(columns))
+def _flags(fails: list[Column]) -> list[Column]:
+    """The conditions as bits of as few numbers as possible."""
+    out = []
+    for start in range(0, len(fails), _FLAGS_PER_COLUMN):
+        bits = [F.when(f, F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")) for i, f in enumerate(fails[start : start + _FLAGS_PER_COLUMN])]
+        out.append(reduce(lambda a, b: a + b, bits))
+    return out
+
+
+def _flagged(names: list[str], n: int) -> list[Column]:
+    return [
+        F.col(names[i // _FLAGS_PER_COLUMN]).bitwiseAND(F.lit(1 << (i % _FLAGS_PER_COLUMN)).cast("long")) != 0 for i in range(n)
+    ]
+
+
+def with_own_reasons(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Adds the reasons a row carries by itself: its checks, or a cast its text does not fit.
+
+    Three projections: parse every cell once, test every condition once into bits,
+    and build lists for the rows that have a bit set.
+    """
+    unknown = sorted({r.column for r in rules if r.checks} - set(df.columns))
     if unknown:
         raise ValueError(f"rules name columns that are not in the data: {unknown}")
-    # The comparison of flags comes first, so lists are only built for failing rows.
-    casts = [(r, cast_value(r)) for r in rules if r.cast_to and r.column in columns]
-    misfit = [(f"{r.column}: cast_failed", col(r.column).isNotNull() & v.isNull()) for r, v in casts]
-    result = _no_reasons()
-    for group in (misfit, [(c.reason, c.fails) for c in checks]):
-        if group:
-            any_fails = reduce(lambda a, b: a | b, (f for _, f in group))
-            listed = F.array_compact(F.array(*[F.when(f, F.lit(reason)) for reason, f in group]))
-            result = F.when(any_fails, listed).otherwise(result)
-    return result
+    known = [r for r in rules if r.column in df.columns]
+    parsed: dict[str, Column] = {}
+    cells = []
+    for i, rule in enumerate(known):
+        raw = _cell(rule)
+        parsed[f"__num{i}"] = raw.number
+        if raw.date is not None:
+            parsed[f"__date{i}"] = raw.date
+        cells.append(Cell(raw.value, F.col(f"__num{i}"), F.col(f"__date{i}") if raw.date is not None else None))
+
+    checks = conditions(known, cells)
+    misfits = []
+    for rule, cell in zip(known, cells):
+        if rule.cast_to == "date":
+            misfits.append((f"{rule.column}: cast_failed", cell.value.isNotNull() & cell.date.isNull()))
+        elif rule.cast_to == "decimal":
+            # A number that is none already failed its check where there is one.
+            fits = cell.number.isNotNull() & cell.value.try_cast(_decimal(rule)).isNotNull()
+            misfits.append((f"{rule.column}: cast_failed", cell.value.isNotNull() & ~fits))
+
+    flags = {f"__flags{i}": c for i, c in enumerate(_flags([c.fails for c in checks]))}
+    misfit_flags = {f"__misfit{i}": c for i, c in enumerate(_flags([f for _, f in misfits]))}
+    tested = df.withColumns(parsed).withColumns({**flags, **misfit_flags})
+
+    result, failed = F.array().cast("array<string>"), F.lit(False)
+    for names, reasons in ((list(misfit_flags), [r for r, _ in misfits]), (list(flags), [c.reason for c in checks])):
+        if names:
+            hit = reduce(lambda a, b: a | b, (F.col(n) != 0 for n in names))
+            listed = F.array_compact(
+                F.array(*[F.when(f, F.lit(r)) for f, r in zip(_flagged(names, len(reasons)), reasons)])
+            )
+            result, failed = F.when(hit, listed).otherwise(result), hit | failed
+    # The flag does not go through the list: a filter on it stays cheap when it is pushed down.
+    return tested.select(*[col(c) for c in df.columns], result.alias(REASONS), failed.alias(FAILED))
+
+
+def _add_reason(df: DataFrame, when: Column, reason: Column) -> DataFrame:
+    """Appends a reason to the rows where ``when`` holds."""
+    kept = [col(c) for c in df.columns if c not in (REASONS, FAILED)]
+    listed = F.when(when, F.concat(REASONS, F.array(reason))).otherwise(F.col(REASONS))
+    return df.select(*kept, listed.alias(REASONS), (F.col(FAILED) | when).alias(FAILED))
 
 
 def duplicate_keys(df: DataFrame, key: list[str], *, scope: list[str], order: str) -> DataFrame:
@@ -185,7 +251,7 @@ def check_rows(
     """
     scope = [FILE_PATH] if file_columns is None else file_columns
     columns = df.columns
-    out = df.withColumn(REASONS, own_reasons(rules, columns))
+    out = with_own_reasons(df, rules)
     joined = False
 
     for rule in rules:
@@ -197,10 +263,7 @@ def check_rows(
         if joined:
             out, joined = materialize(out, "checked"), False
         out, joined = _flag_missing_reference(out, rule.column, reference, key, hot_rows)
-        miss = F.array(F.lit(f"{rule.column}: sql_lookup"))
-        out = out.withColumn(
-            REASONS, F.when(F.coalesce("_dq_miss", F.lit(False)), F.concat(REASONS, miss)).otherwise(F.col(REASONS))
-        ).drop("_dq_miss")
+        out = _add_reason(out, F.coalesce("_dq_miss", F.lit(False)), F.lit(f"{rule.column}: sql_lookup")).drop("_dq_miss")
 
     if business_key and all(c in columns for c in business_key):
         if joined:
@@ -210,17 +273,14 @@ def check_rows(
         joined = True
         shown = F.concat(F.lit("duplicate business key: "), described_key([(c, col(c)) for c in business_key]))
         later = F.coalesce(col(row_index) > F.col("_dq_first"), F.lit(False))
-        out = out.withColumn(
-            REASONS, F.when(later, F.concat(REASONS, F.array(shown))).otherwise(F.col(REASONS))
-        ).drop("_dq_first")
+        out = _add_reason(out, later, shown).drop("_dq_first")
 
     if group_by and all(c in columns for c in group_by):
         if joined:
             out, joined = materialize(out, "checked"), False
-        fails = F.size(REASONS) > 0
         bad_groups = (
             out.groupBy(*[col(c) for c in scope + group_by])
-            .agg(F.bool_or(fails).alias("_dq_group"), F.count(F.lit(1)).alias("_dq_rows"))
+            .agg(F.bool_or(FAILED).alias("_dq_group"), F.count(F.lit(1)).alias("_dq_rows"))
             .filter("_dq_group")
         )
         out = attach_by_key(out, bad_groups, scope + group_by, ["_dq_group"], rows="_dq_rows", hot_rows=hot_rows)
@@ -228,10 +288,10 @@ def check_rows(
             F.lit("quarantined with group "), described_key([(c, col(c)) for c in group_by]),
             F.lit(" - another row in this group failed DQ"),
         )
-        swept = F.coalesce("_dq_group", F.lit(False)) & ~fails
-        out = out.withColumn(REASONS, F.when(swept, F.array(shown)).otherwise(F.col(REASONS))).drop("_dq_group")
+        swept = F.coalesce("_dq_group", F.lit(False)) & ~F.col(FAILED)
+        out = _add_reason(out, swept, shown).drop("_dq_group")
 
-    return out.withColumn(FAILED, F.size(REASONS) > 0)
+    return out.select(*[col(c) for c in columns], REASONS, FAILED)
 
 
 def blocked_files(checked: DataFrame, *, file_columns: list[str] | None = None) -> DataFrame:
