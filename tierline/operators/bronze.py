@@ -137,8 +137,27 @@ def read_batch(spark: SparkSession, path: str, batch_id: str) -> DataFrame:
     return spark.read.option("mergeSchema", False).parquet(path).filter(F.col(BATCH_ID) == batch_id)
 
 
-def landed_checksums(spark: SparkSession, path: str) -> DataFrame | None:
-    """The contents bronze holds already, or None before the first batch."""
+def landed_checksums(spark: SparkSession, path: str, file_log: DataFrame | None, *, batch_id: str) -> DataFrame | None:
+    """The contents that other batches landed, or None before the first batch.
+
+    ``file_log`` has one row per landed file (``file_checksum, batch_id``), so bronze
+    itself is not scanned. Only batches that stopped before they were logged are
+    looked up there, each of them one partition.
+    """
     if not path_exists(spark, path):
         return None
-    return spark.read.parquet(path).select(FILE_CHECKSUM).distinct()
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [s.getPath().getName() for s in root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)]
+    present = {n.split("=", 1)[1] for n in names if n.startswith(BATCH_ID + "=")}
+    logged: set[str] = set()
+    found = None
+    if file_log is not None:
+        others = file_log.filter(F.col(BATCH_ID) != batch_id)
+        # One id per batch, as many as there are partition folders.
+        logged = {r[0] for r in others.select(BATCH_ID).distinct().collect()}
+        found = others.select(FILE_CHECKSUM)
+    open_batches = sorted(present - logged - {batch_id})
+    if open_batches:
+        rest = spark.read.parquet(path).filter(F.col(BATCH_ID).isin(open_batches)).select(FILE_CHECKSUM).distinct()
+        found = rest if found is None else found.unionByName(rest)
+    return found

@@ -39,7 +39,7 @@ def fixed_width_rows(length: Column, record_length: int, lines: Column, line_byt
 
 def control_gates(
     manifest: DataFrame,
-    counts: DataFrame,
+    counts: DataFrame | None,
     *,
     size: Bounds,
     rows: Bounds,
@@ -50,13 +50,19 @@ def control_gates(
 ) -> DataFrame:
     """The manifest with ``row_count``, ``failures`` and ``passed`` per file.
 
-    ``counts`` comes from :func:`line_counts`. Fixed-width rows follow from the file
+    ``counts`` comes from :func:`line_counts`; with None only sizes are tested. Fixed-width rows follow from the file
     size unless ``exact`` asks for counted lines; a header counts for delimited text
     only. All bounds are tested, so one file can carry several messages.
     """
     if size[0] > size[1] or rows[0] > rows[1]:
         raise ValueError("gate bounds need lower <= upper")
-    joined = manifest.join(counts, "file_path", "left")
+    if counts is None:
+        joined = manifest.select(
+            "*", F.lit(None).cast("long").alias("lines"), F.lit(None).cast("long").alias("line_bytes"),
+            F.lit(None).cast("boolean").alias("first_has_cr"),
+        )
+    else:
+        joined = manifest.join(counts, "file_path", "left")
     lines = F.coalesce("lines", F.lit(0))
     if fmt == "fixed_width" and not exact:
         if not columns:
@@ -70,6 +76,8 @@ def control_gates(
     else:
         counted = lines
     counted = F.when(F.col("length") == 0, F.lit(0)).otherwise(counted).cast("long")
+    if counts is None:
+        counted = F.lit(None).cast("long")
     size_col, rows_col = F.col("length"), F.col("row_count")
     failures = F.array_compact(
         F.array(

@@ -14,7 +14,7 @@ from tierline.functions.names import FILE_CHECKSUM, FILE_NAME, FILE_PATH, METADA
 from tierline.functions.spread import attach_by_key, is_small, materialize, top_per_key
 from tierline.operators import alerts as alert_ops
 from tierline.operators.anomaly import anomaly_messages, anomaly_reasons, score_history
-from tierline.operators.bronze import checksum_dedup, file_checksums, land_bronze
+from tierline.operators.bronze import checksum_dedup, file_checksums, land_bronze, landed_checksums
 from tierline.operators.checks import FAILED, Rule, check_rows, distinct_reasons, split_batch
 from tierline.operators.gates import Bounds, control_gates, line_counts
 from tierline.operators.lineage import raw_to_stage_edges
@@ -59,12 +59,21 @@ class Feed:
     group_by: tuple[str, ...] = ()
     write_mode: str = "append"
     metadata: tuple[str, ...] = METADATA
+    # Only has an effect with the checksum among the metadata.
     skip_known_content: bool = True
     anomaly: AnomalyPolicy | None = None
     gold: tuple[GoldBuild, ...] = ()
     stop_after: str = "stage"
 
 
+    def __post_init__(self) -> None:
+        if self.skip_known_content and FILE_CHECKSUM not in self.metadata:
+            object.__setattr__(self, "skip_known_content", False)
+        layers_to_run(self.stop_after)
+        if self.write_mode == "upsert" and not self.business_key:
+            raise ValueError(f"{self.name}: upsert needs a business key")
+
+
 class Warehouse:
     """Where the tables of all feeds live, as folders below one root."""
 
@@ -239,19 +248,18 @@ def run_batch(
     layers = layers_to_run(stop_after or feed.stop_after)
 
     found = discover(spark, feed, path, strict=strict_names)
-    sums = file_checksums(spark, [r.path for r in found.select("path").collect()])
-    empty = F.when(F.col("length") == 0, F.sha2(F.lit(""), 256))
-    hashed = materialize(
-        found.join(sums, FILE_PATH, "left").withColumn(FILE_CHECKSUM, F.coalesce(FILE_CHECKSUM, empty)), "hashed"
-    )
-    new = hashed
+    if feed.skip_known_content or FILE_CHECKSUM in feed.metadata:
+        sums = file_checksums(spark, [r.path for r in found.select("path").collect()])
+        empty = F.when(F.col("length") == 0, F.sha2(F.lit(""), 256))
+        found = found.join(sums, FILE_PATH, "left").withColumn(FILE_CHECKSUM, F.coalesce(FILE_CHECKSUM, empty))
+    else:
+        found = found.withColumn(FILE_CHECKSUM, F.lit(None).cast("string"))
+    hashed = new = materialize(found, "hashed")
     if feed.skip_known_content:
-        landed = None
-        if FILE_CHECKSUM in feed.metadata and path_exists(spark, house.bronze(feed.name)):
-            # A repeated batch must not count as known content, so its own rows are left out.
-            bronze = spark.read.parquet(house.bronze(feed.name)).filter(F.col("batch_id") != batch_id)
-            landed = bronze.select(FILE_CHECKSUM).distinct()
-        new = checksum_dedup(hashed, landed)
+        log = house.control("landed_files")
+        log = None if log is None else log.filter(F.col("pipeline_name") == feed.name)
+        # A repeated batch must not count as known content, so its own files are left out.
+        new = checksum_dedup(hashed, landed_checksums(spark, house.bronze(feed.name), log, batch_id=batch_id))
     # Run ids of a batch sort like its files do.
     run_id = F.concat(
         F.lit(batch_id + "-"), F.date_format("sort_key", "yyyyMMddHHmmssSSSSSS"), F.lit("-"), F.md5(FILE_PATH)
@@ -305,9 +313,11 @@ def _run_layers(
     paths = [r.path for r in new.select("path").collect()]
     if not paths:
         return finish()
+    # Without bounds on the rows the files are not read for counting.
+    counts = line_counts(spark, paths) if feed.row_count != _ANY else None
     gated = materialize(
         control_gates(
-            new, line_counts(spark, paths), size=feed.file_size, rows=feed.row_count, fmt=feed.fmt,
+            new, counts, size=feed.file_size, rows=feed.row_count, fmt=feed.fmt,
             columns=feed.reader.get("columns") if feed.fmt == "fixed_width" else None,
             header=bool(feed.reader.get("header", True)),
         ),
@@ -337,6 +347,9 @@ def _run_layers(
         raise ValueError(f"{feed.name}: the files hold no data")
     rows = read_records(spark, feed.fmt, filled, **feed.reader)
     bronze = land_bronze(rows, passed, house.bronze(feed.name), batch_id=batch_id, now=now, metadata=feed.metadata)
+    house.log(
+        passed.select(F.lit(feed.name).alias("pipeline_name"), FILE_PATH, FILE_CHECKSUM, "length"), "landed_files", batch_id, "all"
+    )
     landed = passed.join(bronze.groupBy(FILE_PATH).agg(F.count(F.lit(1)).alias("rows_in")), FILE_PATH, "left")
     landed = landed.withColumn("rows_in", F.coalesce("rows_in", F.lit(0)))
     complete = steps.event(landed, "raw", raw_name, F.lit("complete"), F.col("rows_in"), F.col("rows_in"))
