@@ -121,6 +121,17 @@ def test_stop_after_raw_and_truncate_load(spark, house, tmp_path, rows_of):
         run_batch(spark, feed, src, house, now=NOW, stop_after="platinum")
 
 
+def test_partitioned_upsert_feed(spark, house, tmp_path, rows_of):
+    feed = Feed(name="p", fmt="csv", file_pattern="P_{d}.csv", rules=(Rule("day", ("valid_date",), "date", format="%Y%m%d"),),
+                business_key=("k", "day"), write_mode="upsert", partition_by=("day",), order_by="filename_timestamp", ts_format="%Y%m%d")
+    src = land(tmp_path / "in", "P_20260101.csv", "k,day,v\na,20260101,1\na,20260102,1\n")
+    run_batch(spark, feed, src, house, now=NOW)
+    src = land(tmp_path / "in2", "P_20260102.csv", "k,day,v\na,20260102,2\nb,20260102,3\n")
+    run_batch(spark, feed, src, house, now=NOW)
+    assert [(k, str(d), v) for k, d, v in rows_of(house.stage("p").read(), "k", "day", "v")] == [
+        ("a", "2026-01-01", "1"), ("a", "2026-01-02", "2"), ("b", "2026-01-02", "3")]
+
+
 def test_failure_is_recorded(spark, house, tmp_path):
     feed = Feed(name="f", fmt="csv", file_pattern="F.csv", rules=(Rule("gone", ("not_null",)),), business_key=("k",))
     src = land(tmp_path / "in", "F.csv", "k\na\n")

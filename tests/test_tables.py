@@ -11,7 +11,7 @@ from tierline.operators.scd2 import current_versions, scd2_changes, scd2_merge
 from tierline.operators.stage import insert_missing, merge_upsert, stage_type, upsert_partitions, write_stage
 from tierline.operators.tables import SnapshotTable
 from tierline.sources import list_files, read_csv
-from tierline.functions.spread import materialize
+from tierline.functions.spread import materialize, scratch_folders
 
 
 def kv(spark, rows):
@@ -45,14 +45,25 @@ def test_merge_takes_the_latest_of_several_files(spark, rows_of):
 
 def test_partitioned_upsert_rewrites_touched_partitions(spark, tmp_path, rows_of):
     path = f"file:{tmp_path}/p"
-    first = spark.createDataFrame([("d1", "a", 1), ("d2", "a", 1)], "d string, k string, v int")
+    first = spark.createDataFrame([(1, "a", 1), (2, "a", 1)], "d int, k string, v int")
     upsert_partitions(first, path, ["d", "k"], ["d"])
-    before = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "p" / "d=d1").glob("*.parquet")}
-    upsert_partitions(spark.createDataFrame([("d2", "a", 5), ("d2", "b", 6)], first.schema), path, ["d", "k"], ["d"])
-    assert rows_of(spark.read.parquet(path), "d", "k", "v") == [("d1", "a", 1), ("d2", "a", 5), ("d2", "b", 6)]
-    assert before == {p.name: p.stat().st_mtime_ns for p in (tmp_path / "p" / "d=d1").glob("*.parquet")}
-    with pytest.raises(ValueError):
-        upsert_partitions(first, path, ["k"], ["d"])
+    before = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "p" / "d=1").glob("*.parquet")}
+    upsert_partitions(spark.createDataFrame([(2, "a", 5), (2, "b", 6)], first.schema), path, ["d", "k"], ["d"])
+    assert rows_of(spark.read.parquet(path), "d", "k", "v") == [(1, "a", 1), (2, "a", 5), (2, "b", 6)]
+    assert before == {p.name: p.stat().st_mtime_ns for p in (tmp_path / "p" / "d=1").glob("*.parquet")}
+    for parts in (["v"], ["k"]):
+        with pytest.raises(ValueError):
+            upsert_partitions(first, path, ["d", "k"], parts)
+
+
+def test_scratch_is_removed(spark):
+    import os
+
+    with scratch_folders(spark):
+        kept = materialize(kv(spark, [("a", 1)]), "x")
+        folder = kept.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert os.path.isdir(folder)
+    assert not os.path.isdir(folder)
 
 
 def test_insert_missing_and_currencies(spark, tmp_path, rows_of):

@@ -11,6 +11,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -21,6 +24,7 @@ from tierline.functions.names import col
 HOT_ROWS = 1_000_000
 _KEY = "__key_{}"
 _ROWS = "__key_rows"
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -36,7 +40,26 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/tierline/{label}-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/tierline/{label}-{uuid.uuid4().hex}"
+    made = _made.get()
+    if made is not None:
+        made.append(folder)
+    return folder
+
+
+@contextmanager
+def scratch_folders(spark: SparkSession) -> Iterator[None]:
+    """Removes the intermediate tables written inside the block when it ends."""
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        conf = spark._jsc.hadoopConfiguration()
+        for folder in made:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str, *, partition_by: tuple[str, ...] = ()) -> DataFrame:

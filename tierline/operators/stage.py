@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.functions.names import col
-from tierline.functions.spread import materialize, top_per_key
+from tierline.functions.spread import materialize, scratch_folders, top_per_key
 from tierline.operators.tables import SnapshotTable, path_exists
 
 # Widths a silver table may use for incoming native types.
@@ -88,16 +88,20 @@ def upsert_partitions(
     spark = df.sparkSession
     if not set(partition_by) <= set(key):
         raise ValueError("partition columns must belong to the business key")
+    odd = [p for p in partition_by if not isinstance(df.schema[p].dataType, (T.DateType, T.IntegerType, T.LongType))]
+    if odd:
+        # Folder names carry no types; texts such as 007 would come back as numbers.
+        raise ValueError(f"partition columns must be dates or whole numbers: {odd}")
     merged = latest_per_key(df, key, order) if order else df
-    if path_exists(spark, path):
-        current = spark.read.parquet(path)
-        touched = merged.select(*[col(p) for p in partition_by]).distinct()
-        merged = merge_upsert(current.join(touched, partition_by, "left_semi"), merged, key)
-    merged = materialize(merged, "upsert")
-    (
-        merged.repartition(*[col(p) for p in partition_by])
-        if _fits_partitions(merged, partition_by) else merged
-    ).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    with scratch_folders(spark):
+        if path_exists(spark, path):
+            current = spark.read.parquet(path)
+            touched = merged.select(*[col(p) for p in partition_by]).distinct()
+            merged = merge_upsert(current.join(touched, partition_by, "left_semi"), merged, key)
+        merged = materialize(merged, "upsert")
+        if _fits_partitions(merged, partition_by):
+            merged = merged.repartition(*[col(p) for p in partition_by])
+        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
 def _fits_partitions(df: DataFrame, partition_by: list[str], limit: int = 5_000_000) -> bool:

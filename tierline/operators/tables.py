@@ -83,6 +83,10 @@ class SnapshotTable:
         else:
             replace_batch(df, folder, LOAD_BATCH, batch_id)
 
+    def create_partitioned(self, df: DataFrame, partition_by: list[str]) -> None:
+        """Writes the first snapshot with partitions that later merges rewrite one by one."""
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(self._folder(1))
+
     def drop_old(self, keep: int = 2) -> None:
         """Removes all but the newest ``keep`` snapshots."""
         for version in self.versions()[:-keep]:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.functions.names import FILE_CHECKSUM, FILE_NAME, FILE_PATH, METADATA, col, data_columns
-from tierline.functions.spread import attach_by_key, is_small, materialize, top_per_key
+from tierline.functions.spread import attach_by_key, is_small, materialize, scratch_folders, top_per_key
 from tierline.operators import alerts as alert_ops
 from tierline.operators.anomaly import anomaly_messages, anomaly_reasons, score_history
 from tierline.operators.bronze import checksum_dedup, file_checksums, land_bronze, landed_checksums
@@ -22,7 +22,7 @@ from tierline.operators.monitor import layers_to_run
 from tierline.operators.profile import compute_profile
 from tierline.operators.quarantine import quarantine_files, quarantine_rows
 from tierline.operators.rows import with_row_index
-from tierline.operators.stage import latest_per_key, write_stage
+from tierline.operators.stage import latest_per_key, upsert_partitions, write_stage
 from tierline.operators.tables import SnapshotTable, path_exists, replace_batch
 from tierline.plans.gold import GoldBuild, run_gold_build
 from tierline.sources.files import file_sort_key, list_files, require_matches, select_files
@@ -58,6 +58,8 @@ class Feed:
     integrity_mode: str = "row_level"
     group_by: tuple[str, ...] = ()
     write_mode: str = "append"
+    # Upserts then rewrite only the touched partitions of the silver table.
+    partition_by: tuple[str, ...] = ()
     metadata: tuple[str, ...] = METADATA
     # Only has an effect with the checksum among the metadata.
     skip_known_content: bool = True
@@ -112,7 +114,6 @@ class BatchResult:
 
     batch_id: str
     runs: DataFrame
-    checked: DataFrame | None = None
 
 
 class _Steps:
@@ -192,7 +193,14 @@ def _write_stage(feed: Feed, valid: DataFrame, manifest: DataFrame, table: Snaps
     # The latest file wins where several carry a key.
     order = [F.desc("sort_key"), F.desc(FILE_PATH)]
     newest = latest_per_key(placed, list(feed.business_key), order).select(*names)
-    write_stage(newest, table, "upsert", key=list(feed.business_key))
+    if feed.partition_by:
+        parts, folder = list(feed.partition_by), table.current()
+        if folder is None:
+            table.create_partitioned(newest, parts)
+        else:
+            upsert_partitions(newest, folder, list(feed.business_key), parts)
+    else:
+        write_stage(newest, table, "upsert", key=list(feed.business_key))
 
 
 def _anomalies(feed: Feed, valid: DataFrame, files: DataFrame, house: Warehouse, now: str, batch_id: str) -> DataFrame | None:
@@ -244,8 +252,18 @@ def run_batch(
     Content that bronze already holds is skipped in every layer. Repeating a batch id
     replaces its own bronze rows. A failing step is recorded as ``failed`` and raised.
     """
-    batch_id = batch_id or uuid.uuid4().hex
     layers = layers_to_run(stop_after or feed.stop_after)
+    with scratch_folders(spark):
+        return _run_batch(
+            spark, feed, path, house, layers, now=now, batch_id=batch_id or uuid.uuid4().hex, references=references,
+            gold_inputs=gold_inputs, strict_names=strict_names,
+        )
+
+
+def _run_batch(
+    spark: SparkSession, feed: Feed, path: str | list[str], house: Warehouse, layers: tuple[str, ...], *, now: str, batch_id: str,
+    references: Mapping[str, tuple[DataFrame, str]] | None, gold_inputs: Mapping[str, DataFrame] | None, strict_names: bool,
+) -> BatchResult:
 
     found = discover(spark, feed, path, strict=strict_names)
     if feed.skip_known_content or FILE_CHECKSUM in feed.metadata:
@@ -291,7 +309,7 @@ def _run_layers(
             rows_in.cast("long").alias("rows_in"), rows_out.cast("long").alias("rows_out"), why.alias("failure_reasons"),
         )
 
-    def finish(*runs: DataFrame, checked: DataFrame | None = None) -> BatchResult:
+    def finish(*runs: DataFrame) -> BatchResult:
         known = hashed.join(new.select(FILE_PATH), FILE_PATH, "left_anti").withColumn(
             "run_id", F.concat(F.lit(batch_id + "-known-"), F.md5(FILE_PATH))
         )
@@ -301,7 +319,7 @@ def _run_layers(
         )
         house.log(log, "runs", batch_id, "all")
         steps.write_lineage()
-        return BatchResult(batch_id, house.control("runs").filter(F.col("batch_id") == batch_id), checked)
+        return BatchResult(batch_id, house.control("runs").filter(F.col("batch_id") == batch_id))
 
     def alert(messages: DataFrame, part: str) -> None:
         house.log(
@@ -445,7 +463,7 @@ def _run_layers(
         F.col("rows_in"), F.col("rows_out"), F.col("why"),
     )
     stopped = run_rows(blocked, F.lit("quarantined"), F.lit("raw"), F.col("rows_in"), F.lit(0), F.col("why"))
-    return finish(rejected, done, stopped, checked=checked)
+    return finish(rejected, done, stopped)
 
 
 def with_stop(feed: Feed, layer: str) -> Feed:
