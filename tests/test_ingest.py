@@ -139,6 +139,9 @@ def test_failure_is_recorded(spark, house, tmp_path):
         run_batch(spark, feed, src, house, now=NOW)
     view = monitor_view(house.control("step_events"))
     assert {(r.step, r.status) for r in view.collect()} == {("control_gate", "complete"), ("raw", "complete"), ("stage", "failed")}
+    events = house.control("lineage_events")
+    assert events.filter("job = 'f.stage' and event_type = 'FAIL'").count() == 1
+    assert [r.target_table for r in edges_from_events(events).collect()] == []
 
 
 def test_anomaly_blocks_gold(spark, house, tmp_path, refs):

@@ -289,6 +289,9 @@ def _run_batch(
     except Exception:
         failed = steps.event(steps.running, steps.current, "", F.lit("failed"), F.lit(None), F.lit(None))
         steps.write("failed", failed)
+        layer = {"raw": "bronze", "stage": "silver", "gold": "gold"}.get(steps.current, "bronze")
+        steps.lineage(steps.running, steps.current, F.lit("FAIL"), F.col(FILE_PATH), f"{layer}.{feed.name}")
+        steps.write_lineage()
         raise
 
 
