@@ -6,7 +6,7 @@ import importlib
 
 from tierline.llm.common import QUERIES, SQL
 
-for _module in ("decontamination", "suffixes"):
+for _module in ("decontamination", "near_dedup", "suffixes"):
     importlib.import_module(f"tierline.llm.{_module}")
 
 __all__ = ["QUERIES", "SQL"]
