@@ -13,7 +13,7 @@ with a pivot, the member that shares most buckets with others, and join what is
 components; only members of different components meet in later rounds, which take sixteen times
 the pivots of the round before, until no pair of different components in a bucket is left.
 So a group of thousands of near copies costs a few comparisons per member. From the second
-round on signatures of 1024 minima sort out members that are only loosely alike.
+round on signatures of 4096 minima sort out members that are only loosely alike.
 
 A pair at the threshold shares none of the 24 bands of 4 with probability 2e-8, and its
 estimate falls short with probability 2e-6.
@@ -61,7 +61,8 @@ class Signature:
 
 
 COARSE = Signature(BANDS * ROWS, 2, 0.2)
-FINE = Signature(1024, 1, 0.08)
+FINE = Signature(4096, 1, 0.04)
+FINE_HEAD = Signature(512, 1, 0.11)
 
 
 def shingle_sets(column: pa.Array, shingle: int) -> list[np.ndarray]:
@@ -136,16 +137,18 @@ def _texts(documents: DataFrame) -> DataFrame:
 
 def estimate(x: Column, y: Column, plan: Signature) -> Column:
     """Similarity from the slots whose bits are all equal, less those equal by chance."""
-    words = -(-plan.slots // 64)
-    differ = []
-    for w in range(words):
-        unequal = F.lit(0).cast("long")
-        for b in range(plan.bits):
-            unequal = unequal.bitwiseOR(F.get(x, F.lit(b * words + w)).bitwiseXOR(F.get(y, F.lit(b * words + w))))
-        differ.append(F.bit_count(unequal))
-    share = 1 - sum(differ[1:], differ[0]) / plan.slots
+    if plan.bits == 1:
+        differ = F.aggregate(F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, d: n + d)
+    else:
+        words = -(-plan.slots // 64)
+        differ = F.lit(0)
+        for w in range(words):
+            unequal = F.lit(0).cast("long")
+            for b in range(plan.bits):
+                unequal = unequal.bitwiseOR(F.get(x, F.lit(b * words + w)).bitwiseXOR(F.get(y, F.lit(b * words + w))))
+            differ = differ + F.bit_count(unequal)
     chance = 1 / 2**plan.bits
-    return (share - chance) / (1 - chance)
+    return (1 - differ / plan.slots - chance) / (1 - chance)
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, *, shingle: int, percent: int) -> DataFrame:
@@ -215,15 +218,17 @@ def near_duplicates(
     counts = buckets.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = materialize(buckets.join(counts, ["band", "bucket"]), "buckets")
 
-    def near(p: Column, q: Column, plan: Signature) -> Column:
-        sizes = 100 * F.least(p["n"], q["n"]) >= percent * F.greatest(p["n"], q["n"])
-        return sizes & (estimate(p["bits"], q["bits"], plan) >= percent / 100 - plan.slack)
+    def close(x: Column, y: Column, plan: Signature) -> Column:
+        return estimate(x, y, plan) >= percent / 100 - plan.slack
+
+    def near(p: Column, q: Column) -> Column:
+        return (100 * F.least(p["n"], q["n"]) >= percent * F.greatest(p["n"], q["n"])) & close(p["bits"], q["bits"], COARSE)
 
     # Buckets with the same members are one bucket.
     grouped = shared.filter(F.col("n") <= all_pairs).groupBy("band", "bucket").agg(F.sort_array(F.collect_list(F.struct("id", "s"))).alias("m"))
     alike = grouped.select(F.col("m"), F.col("m.id").alias("ids")).groupBy("ids").agg(F.first("m").alias("m"))
     pair = alike.select(F.posexplode("m").alias("i", "p"), "m").select("p", F.explode(F.slice("m", F.col("i") + 2, F.size("m"))).alias("q"))
-    small = pair.filter(near(F.col("p.s"), F.col("q.s"), COARSE)).select(F.col("p.id").alias("x"), F.col("q.id").alias("y")).distinct()
+    small = pair.filter(near(F.col("p.s"), F.col("q.s"))).select(F.col("p.id").alias("x"), F.col("q.id").alias("y")).distinct()
     small = materialize(small, "pairs")
     labels = materialize(members.select("id", F.col("id").alias("label")).distinct(), "labels")
 
@@ -234,9 +239,13 @@ def near_duplicates(
     tested = links.limit(0)
     labels = materialize(components(links, labels), "labels")
     left = materialize(
-        large.join(large.groupBy("id").agg(F.sum("n").alias("degree")), "id").select("band", "bucket", "id", "s", "degree"), "large"
+        large.join(large.groupBy("id").agg(F.sum("n").alias("degree")), "id").select("band", "bucket", "id", "s", F.array().cast("array<long>").alias("fine"), "degree"), "large"
     )
     pivots_a_round = 1
+
+    def place(id_: str) -> Column:
+        return F.struct((-F.col("degree")).alias("d"), F.hash(id_).alias("h"), F.col(id_).alias("i"))
+
     while True:
         labelled = left.join(labels, "id")
         mixed = labelled.groupBy("band", "bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
@@ -245,14 +254,17 @@ def near_duplicates(
             break
         if pivots_a_round == 16:
             finer = signatures(texts.join(left.select(F.col("id").alias("doc_id")).distinct(), "doc_id"), shingle, FINE)
-            finer = finer.select(F.col("doc_id").alias("id"), F.struct(F.col("signature").alias("bits"), F.col("n_shingles").alias("n")).alias("s"))
-            left = materialize(left.drop("s").join(finer, "id"), "large")
-        first = Window.partitionBy("band", "bucket").orderBy(F.desc("degree"), F.hash("id"), "id")
+            finer = finer.select(F.col("doc_id").alias("id"), F.col("signature").alias("fine"))
+            left = materialize(left.drop("fine").join(finer, "id"), "large")
+        first = Window.partitionBy("band", "bucket").orderBy(place("id"))
         pivots = left.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= pivots_a_round)
         pivots = materialize(
-            pivots.select("band", "bucket", F.col("id").alias("x"), F.col("s").alias("xs"), F.col("label").alias("xl")), "pivots"
+            pivots.select("band", "bucket", F.col("id").alias("x"), F.col("s").alias("xs"), F.col("fine").alias("xf"), F.col("label").alias("xl"), place("id").alias("xp")), "pivots"
         )
-        asked = left.join(pivots, ["band", "bucket"]).filter((F.col("label") != F.col("xl")) & near(F.col("s"), F.col("xs"), FINE if pivots_a_round > 1 else COARSE))
+        head = lambda c: F.slice(c, 1, FINE_HEAD.slots // 64)
+        finer_too = F.lit(True) if pivots_a_round == 1 else close(head("fine"), head("xf"), FINE_HEAD) & close(F.col("fine"), F.col("xf"), FINE)
+        # Two pivots meet once: the one that comes first asks the other.
+        asked = left.join(pivots, ["band", "bucket"]).filter((F.col("xp") < place("id")) & (F.col("label") != F.col("xl")) & near(F.col("s"), F.col("xs")) & finer_too)
         asked = asked.select("x", F.col("id").alias("y")).distinct()
         asked = materialize(asked.join(tested, ["x", "y"], "left_anti"), "asked")
         tested = tested.unionByName(asked)
