@@ -37,6 +37,8 @@ MARGIN = 0.5
 TRAINING_DOCUMENTS = 2000
 #: Generated random strings of each form among the labelled samples.
 RANDOM_SAMPLES = 2000
+#: Weight of a character's own frequency against the pairs seen after another one.
+BACKOFF = 5.0
 IDENTIFIER = r"[A-Za-z][A-Za-z0-9_-]{5,}"
 _CODES = 128
 _CHUNK = 512
@@ -106,8 +108,11 @@ def train(samples: DataFrame) -> Markov:
     seen = sorted({c for n in counts.values() for i, x in enumerate(n) if x for c in divmod(i, _CODES)})
 
     def logs(n: list[int]) -> list[float]:
-        totals = [sum(n[a * _CODES : (a + 1) * _CODES]) for a in range(_CODES)]
-        return [math.log((x + 0.5) / (totals[i // _CODES] + 0.5 * max(len(seen), 1))) for i, x in enumerate(n)]
+        """Pairs smoothed with how often their second character occurs at all."""
+        first = [sum(n[a * _CODES : (a + 1) * _CODES]) for a in range(_CODES)]
+        second = [sum(n[b::_CODES]) for b in range(_CODES)]
+        whole = sum(second) + 0.5 * max(len(seen), 1)
+        return [math.log((x + BACKOFF * (second[i % _CODES] + 0.5) / whole) / (first[i // _CODES] + BACKOFF)) for i, x in enumerate(n)]
 
     random, ordinary = logs(counts[True]), logs(counts[False])
     known = set(seen)
