@@ -129,7 +129,8 @@ def labelled_samples(documents: DataFrame, limit: int = TRAINING_DOCUMENTS, gene
         F.concat(F.conv(F.substring(digest, 1, 15), 16, 36), F.conv(F.substring(digest, 16, 15), 16, 36)),
     )
     random = spark.range(generated).select(F.explode(forms).alias("sample"), F.lit(True).alias("random"))
-    chosen = documents.orderBy(F.xxhash64("doc_id"), "doc_id").select("text").limit(limit)
+    ids = documents.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)  # ``limit`` numbers
+    chosen = documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")
     clean = F.regexp_replace(F.regexp_replace(text_of(), ASSIGN, " "), f"{ACCESS}|{HEX}", " ")
     words = chosen.select(F.explode(F.regexp_extract_all(clean, F.lit(f"({IDENTIFIER})"), F.lit(1))).alias("sample"), F.lit(False).alias("random"))
     return random.unionByName(words)
