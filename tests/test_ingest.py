@@ -10,7 +10,7 @@ from tierline.operators.quarantine import corrections_from, list_quarantine, qua
 from tierline.plans.gold import GoldBuild, latest_rates, fx_view
 from tierline.plans.ingest import AnomalyPolicy, Feed, run_batch
 from tierline.sources.files import NoMatchingFiles
-from tierline.streaming.watch import archive_files, should_archive, stream_lineage_edges, watch_and_ingest
+from tierline.streaming.watch import stream_lineage_edges, watch_and_ingest
 
 NOW = "2026-09-20 10:00:00"
 COLUMNS = [("account_id", 1, 12), ("security_id", 13, 24), ("as_of_date", 25, 32), ("quantity", 33, 47), ("market_value", 48, 62), ("currency", 63, 65)]
@@ -71,7 +71,9 @@ def test_holdings_end_to_end(spark, house, tmp_path, refs, rows_of):
     assert {n: (r.status, r.layer_reached) for n, r in runs.items()} == {
         "HOLDINGS_20260301.txt": ("succeeded", "stage"), "HOLDINGS_20260302.txt": ("succeeded", "stage"), "HOLDINGS_20260303.txt": ("quarantined", None)}
     assert (runs["HOLDINGS_20260301.txt"].rows_in, runs["HOLDINGS_20260301.txt"].rows_out) == (4, 1)
-    assert runs["HOLDINGS_20260301.txt"].failure_reasons == ["currency: sql_lookup", "quantity: greater_than_or_equal", "quarantined with group"]
+    assert runs["HOLDINGS_20260301.txt"].failure_reasons == ["currency: sql_lookup", "quantity: greater_than_or_equal",
+        "quarantined with group (account_id='A2', as_of_date='20260301') - another row in this group failed DQ",
+    ]
     assert runs["HOLDINGS_20260303.txt"].failure_reasons == ["file_size 4 below min_bytes 60", "row_count 0 below min_rows 1"]
     # The later file wins on the shared key; the batch date of A1 exists twice.
     assert [(a, str(d), str(m)) for a, d, m in rows_of(house.stage("holdings").read(), "account_id", "as_of_date", "market_value")] == [
@@ -218,12 +220,3 @@ def test_watch_processes_each_file_once(spark, house, tmp_path, refs, rows_of):
     assert rows_of(edges.select("source_table", "target_table").distinct()) == [("bronze.fx_rates", "silver.fx_rates"), ("silver.fx_rates", "gold.fx_rates_gold")]
     assert rows_of(edges, "run_id", "job", "target_table") == rows_of(edges_from_events(house.control("lineage_events")), "run_id", "job", "target_table")
 
-
-def test_archive(spark, tmp_path):
-    src = land(tmp_path / "in", "a.csv", "1")
-    first = archive_files(spark, [f"{src}/a.csv"], f"file:{tmp_path}/done", "20260101", "101010")
-    land(tmp_path / "in", "a.csv", "2")
-    second = archive_files(spark, [f"{src}/a.csv"], f"file:{tmp_path}/done", "20260101", "101010")
-    assert first[0].endswith("20260101/a.csv") and second[0].endswith("20260101/a__101010.csv")
-    assert sorted(p for p in os.listdir(tmp_path / "done" / "20260101") if not p.startswith(".")) == ["a.csv", "a__101010.csv"]
-    assert should_archive("succeeded", "gold", "gold") and not should_archive("succeeded", "raw", "gold")

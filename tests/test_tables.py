@@ -8,7 +8,7 @@ from tierline.operators.export import export_table
 from tierline.operators.gates import control_gates, line_counts
 from tierline.operators.reference import CURRENCIES, ensure_currencies
 from tierline.operators.scd2 import current_versions, scd2_changes, scd2_merge
-from tierline.operators.stage import insert_missing, merge_upsert, stage_type, upsert_partitions, write_stage
+from tierline.operators.stage import insert_missing, merge_upsert, upsert_partitions, write_stage
 from tierline.operators.tables import SnapshotTable
 from tierline.sources import list_files, read_csv
 from tierline.functions.spread import materialize, scratch_folders
@@ -76,11 +76,6 @@ def test_insert_missing_and_currencies(spark, tmp_path, rows_of):
     assert t.read().filter("currency_code = 'USD'").first().currency_name == "my dollar"
 
 
-def test_stage_types():
-    assert stage_type("uint64") == "decimal(20,0)" and stage_type("decimal", 12, 2) == "decimal(12,2)"
-    assert stage_type("whatever") == "string"
-
-
 def test_checksums_and_dedup(spark, tmp_path):
     import hashlib
 
@@ -181,3 +176,11 @@ def test_scd2_three_runs(spark, rows_of):
         scd2_merge(run1, kv(spark, [(None, 1)]), ["k"], ["v"], "2026-01-02 00:00:00").collect()
     with pytest.raises(ValueError):
         scd2_merge(run1, run1, ["k"], ["k"], "2026-01-02 00:00:00")
+
+
+def test_partitioned_upsert_keeps_rows_of_the_null_partition(spark, tmp_path, rows_of):
+    path = f"file:{tmp_path}/silver"
+    make = lambda rows: spark.createDataFrame(rows, "k string, day int, v int")
+    upsert_partitions(make([("a", None, 1), ("b", None, 2), ("d", 3, 3)]), path, ["k", "day"], ["day"])
+    upsert_partitions(make([("c", None, 4), ("d", 3, 5)]), path, ["k", "day"], ["day"])
+    assert rows_of(spark.read.parquet(path), "k", "v") == [("a", 1), ("b", 2), ("c", 4), ("d", 5)]

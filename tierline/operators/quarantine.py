@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tierline.functions.names import FILE_NAME, FILE_PATH, ROW_INDEX, col, data_columns
 from tierline.operators.checks import FAILED, REASONS, Rule, apply_casts, check_rows, original_row
 from tierline.operators.stage import merge_upsert
-from tierline.operators.tables import SnapshotTable
+from tierline.operators.tables import SnapshotTable, replace_batch
 
 _BINARY_BYTES = 512 * 1024 * 1024
 
@@ -58,15 +58,14 @@ def quarantine_files(
     key = F.col("_metadata.file_path").alias(FILE_PATH)
     if small:
         content = spark.read.format("binaryFile").load(small).select(key, "content")
-        record.join(content, FILE_PATH, "inner").write.mode("append").parquet(f"{path}/files")
+        replace_batch(record.join(content, FILE_PATH, "inner"), f"{path}/files", "batch_id", batch_id)
     if large:
         lines = spark.read.option("lineSep", "\n").text(large).select(
             key, F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value"
         )
-        lines.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(f"{path}/lines")
-        record.filter(F.col(FILE_PATH).isNotNull()).join(
-            gated.filter(F.col("length") > _BINARY_BYTES).select(FILE_PATH), FILE_PATH, "left_semi"
-        ).write.mode("append").parquet(f"{path}/large_files")
+        replace_batch(lines, f"{path}/lines", "batch_id", batch_id)
+        large_records = record.join(gated.filter(F.col("length") > _BINARY_BYTES).select(FILE_PATH), FILE_PATH, "left_semi")
+        replace_batch(large_records, f"{path}/large_files", "batch_id", batch_id)
     return len(names)
 
 

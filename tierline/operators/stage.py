@@ -7,23 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.functions.names import col
-from tierline.functions.spread import materialize, scratch_folders, top_per_key
+from tierline.functions.spread import materialize, same_key, scratch_folders, top_per_key
 from tierline.operators.tables import SnapshotTable, path_exists
 
-# Widths a silver table may use for incoming native types.
-STAGE_TYPES: dict[str, str] = {
-    "utf8": "string", "boolean": "boolean", "int8": "smallint", "int16": "smallint", "int32": "int",
-    "int64": "bigint", "uint8": "smallint", "uint16": "int", "uint32": "bigint", "uint64": "decimal(20,0)",
-    "float32": "float", "float64": "double", "date": "date", "datetime": "timestamp",
-}
-
-
-def stage_type(name: str, precision: int | None = None, scale: int | None = None) -> str:
-    """The Spark type of a silver column; anything unknown is text."""
-    if name.lower() == "decimal":
-        return f"decimal({precision or 38},{scale or 0})"
-    return STAGE_TYPES.get(name.lower(), "string")
-
 
 def latest_per_key(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     """One row per key, the last one in ``order``. NULL keys never match, so all of them stay."""
@@ -96,8 +82,10 @@ def upsert_partitions(
     with scratch_folders(spark):
         if path_exists(spark, path):
             current = spark.read.parquet(path)
-            touched = merged.select(*[col(p) for p in partition_by]).distinct()
-            merged = merge_upsert(current.join(touched, partition_by, "left_semi"), merged, key)
+            # NULL is a partition like any other and is overwritten as one.
+            touched = merged.select(*[col(p).alias(f"__touched_{i}") for i, p in enumerate(partition_by)]).distinct()
+            on = same_key([col(p) for p in partition_by], [F.col(f"__touched_{i}") for i in range(len(partition_by))])
+            merged = merge_upsert(current.join(touched, on, "left_semi"), merged, key)
         merged = materialize(merged, "upsert")
         if _fits_partitions(merged, partition_by):
             merged = merged.repartition(*[col(p) for p in partition_by])
@@ -117,10 +105,3 @@ def merge_into(df: DataFrame, table: str, key: list[str]) -> None:
     builder = df.alias("s").mergeInto(table, F.expr(" AND ".join(f"{table}.`{k}` = s.`{k}`" for k in key)))
     builder.whenMatched().update(updates).whenNotMatched().insert(columns).merge()
 
-
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns in the order and types of a silver table; a missing one stops the load."""
-    missing = [f.name for f in schema.fields if f.name not in df.columns]
-    if missing:
-        raise ValueError(f"columns missing for the silver table: {missing}")
-    return df.select(*[col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

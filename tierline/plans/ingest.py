@@ -340,7 +340,7 @@ def _run_layers(
         control_gates(
             new, counts, size=feed.file_size, rows=feed.row_count, fmt=feed.fmt,
             columns=feed.reader.get("columns") if feed.fmt == "fixed_width" else None,
-            header=bool(feed.reader.get("header", True)),
+            header=bool(feed.reader.get("header", False)),  # only a header that was stated is no row
         ),
         "gated",
     )
@@ -395,13 +395,11 @@ def _run_layers(
     )
     valid, bad = split_batch(checked, rules, feed.integrity_mode)
     each = distinct_reasons(bad, [FILE_PATH])
-    # The run row names kinds of reasons, one per rule; key values stay in run_reasons.
-    kinds = each.withColumn("kind", F.regexp_replace("reason", r" \(.*$", "")).select(FILE_PATH, "kind").distinct()
     outcome = materialize(
         passed.join(
             checked.groupBy(FILE_PATH).agg(F.count(F.lit(1)).alias("rows_in"), F.count_if(FAILED).alias("bad")), FILE_PATH, "left"
         )
-        .join(kinds.groupBy(FILE_PATH).agg(F.sort_array(F.collect_set("kind")).alias("why")), FILE_PATH, "left")
+        .join(each.groupBy(FILE_PATH).agg(F.sort_array(F.collect_set("reason")).alias("why")), FILE_PATH, "left")
         .withColumn("rows_in", F.coalesce("rows_in", F.lit(0)))
         .withColumn("bad", F.coalesce("bad", F.lit(0)))
         .withColumn("blocked", F.lit(feed.integrity_mode == "strict") & (F.col("bad") > 0))

@@ -7,6 +7,7 @@ seen; bronze is partitioned by batch, so a replayed micro-batch replaces its own
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable, Mapping
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tierline.operators.lineage import edges_from_events
-from tierline.operators.tables import path_exists, replace_batch
+from tierline.operators.tables import replace_batch
 from tierline.plans.ingest import Feed, Warehouse, run_batch
 from tierline.sources.files import match_file_pattern
 
@@ -61,14 +62,17 @@ def stream_ingest(
 ) -> StreamingQuery:
     """Calls ``process(paths, batch_id)`` for every micro-batch of files.
 
-    The batch id is the query name and the micro-batch number, the same on a replay.
+    The batch id is the query name, a digest of the checkpoint and the micro-batch number: the
+    same on a replay, another one for another checkpoint.
     Paths are listing metadata: Spark's own file source keeps them on the driver too.
     """
 
+    origin = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+
     def handle(batch: DataFrame, number: int) -> None:
         paths = [r.path for r in batch.select("path").orderBy("path").collect()]
         if paths:
-            process(paths, f"{query_name}-{number:08d}")
+            process(paths, f"{query_name}-{origin}-{number:08d}")
 
     writer = files.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).queryName(query_name)
     trigger = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=f"{poll_seconds} seconds")
@@ -124,30 +128,3 @@ def stream_lineage_edges(
     writer = writer.option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")).start()
 
-
-def archive_files(spark: SparkSession, paths: list[str], folder: str, day: str, stamp: str) -> list[str]:
-    """Moves successfully processed files into ``folder/day`` by renaming; never overwrites.
-
-    Contents do not pass through Spark. A name that is taken gets ``stamp`` before its
-    extension.
-    """
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path
-    conf = spark._jsc.hadoopConfiguration()
-    target = f"{folder.rstrip('/')}/{day}"
-    fs_path(target).getFileSystem(conf).mkdirs(fs_path(target))
-    moved = []
-    for path in paths:
-        name = path.rsplit("/", 1)[-1]
-        if path_exists(spark, f"{target}/{name}"):
-            stem, dot, ext = name.rpartition(".")
-            name = f"{stem}__{stamp}.{ext}" if dot else f"{name}__{stamp}"
-        fs = fs_path(path).getFileSystem(conf)
-        if not fs.rename(fs_path(path), fs_path(f"{target}/{name}")):
-            raise OSError(f"could not move {path} to {target}/{name}")
-        moved.append(f"{target}/{name}")
-    return moved
-
-
-def should_archive(status: str, layer_reached: str | None, stop_after: str) -> bool:
-    """Only files that succeeded up to the layer they were meant to reach are moved."""
-    return status == "succeeded" and layer_reached == stop_after
