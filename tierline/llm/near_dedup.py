@@ -238,8 +238,9 @@ def near_duplicates(
     links = materialize(confirm(small, texts, shingle=shingle, percent=percent), "links")
     tested = links.limit(0)
     labels = materialize(components(links, labels), "labels")
+    degrees = large.groupBy("id").agg(F.sum("n").alias("degree"))
     left = materialize(
-        large.join(large.groupBy("id").agg(F.sum("n").alias("degree")), "id").select("band", "bucket", "id", "s", F.array().cast("array<long>").alias("fine"), "degree"), "large"
+        large.join(degrees, "id").join(labels, "id").select("band", "bucket", "id", "s", F.array().cast("array<long>").alias("fine"), "degree", "label"), "large"
     )
     pivots_a_round = 1
 
@@ -247,9 +248,8 @@ def near_duplicates(
         return F.struct((-F.col("degree")).alias("d"), F.hash(id_).alias("h"), F.col(id_).alias("i"))
 
     while True:
-        labelled = left.join(labels, "id")
-        mixed = labelled.groupBy("band", "bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
-        left = materialize(labelled.join(mixed.drop("lo", "hi"), ["band", "bucket"]), "large")
+        mixed = left.groupBy("band", "bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
+        left = materialize(left.join(mixed.drop("lo", "hi"), ["band", "bucket"]), "large")
         if left.isEmpty():
             break
         if pivots_a_round == 16:
@@ -270,8 +270,9 @@ def near_duplicates(
         tested = tested.unionByName(asked)
         links = materialize(confirm(asked, texts, shingle=shingle, percent=percent), "links")
         labels = materialize(components(links, labels), "labels")
-        # A pivot has met all others of other components and leaves the bucket.
+        # A pivot has met all others of other components and leaves the bucket. Written, because the next round reads it twice.
         left = left.drop("label").join(pivots.select("band", "bucket", F.col("x").alias("id")), ["band", "bucket", "id"], "left_anti")
+        left = materialize(left.join(labels, "id"), "remaining")
         pivots_a_round *= 16
     of_class = members.join(labels, "id").select("class", F.col("label").alias("component_id"))
     return signed.select("doc_id", "n_shingles", "class").join(of_class, "class", "left").select(
