@@ -220,3 +220,45 @@ def test_watch_processes_each_file_once(spark, house, tmp_path, refs, rows_of):
     assert rows_of(edges.select("source_table", "target_table").distinct()) == [("bronze.fx_rates", "silver.fx_rates"), ("silver.fx_rates", "gold.fx_rates_gold")]
     assert rows_of(edges, "run_id", "job", "target_table") == rows_of(edges_from_events(house.control("lineage_events")), "run_id", "job", "target_table")
 
+
+
+PLAIN = Feed(
+    name="plain", fmt="csv", file_pattern="P_{date}.csv", order_by="filename_timestamp", ts_format="%Y%m%d",
+    rules=(Rule("k", ("not_null", "is_numeric")), Rule("c", ("not_null",), lookup="currencies")), business_key=("k",),
+)
+
+
+def test_failed_batch_is_finished_from_bronze(spark, house, tmp_path, refs):
+    src = land(tmp_path / "in", "P_20260301.csv", "k,c\n1,USD\n2,EUR\n")
+    with pytest.raises(Exception):
+        run_batch(spark, PLAIN, src, house, now=NOW, references={"currencies": (refs["currencies"][0], "nowhere")})
+    land(tmp_path / "in", "P_20260302.csv", "k,c\n3,USD\n")
+    runs = by_file(run_batch(spark, PLAIN, src, house, now=NOW, references=refs))
+    assert {n: (r.status, r.layer_reached, r.rows_out) for n, r in runs.items()} == {
+        "P_20260301.csv": ("succeeded", "stage", 2), "P_20260302.csv": ("succeeded", "stage", 1)}
+    assert sorted(r.k for r in house.stage("plain").read().collect()) == ["1", "2", "3"]
+    assert spark.read.parquet(house.bronze("plain")).count() == 3
+    again = by_file(run_batch(spark, PLAIN, src, house, now=NOW, references=refs))
+    assert {n: (r.status, r.run_id) for n, r in again.items()} == {n: ("skipped", r.run_id) for n, r in runs.items()}
+    assert house.stage("plain").read().count() == 3
+
+
+def test_landed_content_goes_on_to_later_layers(spark, house, tmp_path, refs):
+    src = land(tmp_path / "in", "FX_RATES_202609200900.csv", fx_file(("20260920", "USD", "INR", "100", "R"), ("20260920", "USD", "EUR", "0.9", "R")))
+    ids = set()
+    for layer in ("raw", "stage", "gold"):
+        (run,) = run_batch(spark, FX, src, house, now=NOW, references=refs, stop_after=layer).runs.collect()
+        assert (run.status, run.layer_reached, run.rows_out) == ("succeeded", layer, 2)
+        ids.add(run.run_id)
+    assert len(ids) == 1 and house.stage("fx_rates").read().count() == 2 and house.gold("fx_rates_gold").read().count() == 2
+    assert spark.read.parquet(house.bronze("fx_rates")).count() == 2
+
+
+def test_first_append_without_valid_rows(spark, house, tmp_path, refs):
+    src = land(tmp_path / "in", "P_20260301.csv", "k,c\nx,USD\n")
+    (run,) = run_batch(spark, PLAIN, src, house, now=NOW, references=refs).runs.collect()
+    assert (run.status, run.rows_in, run.rows_out) == ("succeeded", 1, 0)
+    assert house.stage("plain").read().count() == 0
+    land(tmp_path / "in", "P_20260302.csv", "k,c\n3,USD\n")
+    run_batch(spark, PLAIN, src, house, now=NOW, references=refs)
+    assert [r.k for r in house.stage("plain").read().collect()] == ["3"]

@@ -184,3 +184,12 @@ def test_partitioned_upsert_keeps_rows_of_the_null_partition(spark, tmp_path, ro
     upsert_partitions(make([("a", None, 1), ("b", None, 2), ("d", 3, 3)]), path, ["k", "day"], ["day"])
     upsert_partitions(make([("c", None, 4), ("d", 3, 5)]), path, ["k", "day"], ["day"])
     assert rows_of(spark.read.parquet(path), "k", "v") == [("a", 1), ("b", 2), ("c", 4), ("d", 5)]
+
+
+def test_replaced_partitioned_table_stays_partitioned(spark, tmp_path):
+    table = SnapshotTable(spark, f"file:{tmp_path}/t")
+    rows = lambda *r: spark.createDataFrame(list(r), "k string, day int, v int")
+    table.create_partitioned(rows(("a", 1, 1), ("b", None, 2)), ["day"])
+    table.replace(merge_upsert(table.read(), rows(("a", 1, 9)), ["k", "day"]))
+    upsert_partitions(rows(("c", None, 3), ("d", 1, 4)), table.current(), ["k", "day"], ["day"])
+    assert sorted((r.k, r.day, r.v) for r in table.read().collect() if r.k != "x") == [("a", 1, 9), ("b", None, 2), ("c", None, 3), ("d", 1, 4)]

@@ -62,7 +62,8 @@ def write_stage(
 
 
 def upsert_partitions(
-    df: DataFrame, path: str, key: list[str], partition_by: list[str], *, order: list[Column] | None = None
+    df: DataFrame, path: str, key: list[str], partition_by: list[str], *, order: list[Column] | None = None,
+    current: DataFrame | None = None,
 ) -> None:
     """Upsert that rewrites only the partitions the batch touches.
 
@@ -80,8 +81,8 @@ def upsert_partitions(
         raise ValueError(f"partition columns must be dates or whole numbers: {odd}")
     merged = latest_per_key(df, key, order) if order else df
     with scratch_folders(spark):
-        if path_exists(spark, path):
-            current = spark.read.parquet(path)
+        if current is not None or path_exists(spark, path):
+            current = spark.read.parquet(path) if current is None else current
             # NULL is a partition like any other and is overwritten as one.
             touched = merged.select(*[col(p).alias(f"__touched_{i}") for i, p in enumerate(partition_by)]).distinct()
             on = same_key([col(p) for p in partition_by], [F.col(f"__touched_{i}") for i in range(len(partition_by))])

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _PREFIX = "snapshot="
+_SCHEMA = "schema.json"
 # Which batch appended a row; kept as a partition so that a repeated batch replaces
 # its own rows. Not part of the table's data.
 LOAD_BATCH = "_load_batch"
@@ -47,8 +51,28 @@ class SnapshotTable:
         return self.current() is not None
 
     def _load(self, folder: str) -> DataFrame:
-        df = self.spark.read.option("mergeSchema", False).parquet(folder)
-        return df.drop(LOAD_BATCH)
+        fs, path = self._fs(f"{self.root}/{_SCHEMA}")
+        reader = self.spark.read
+        if not self._has_rows(folder) and fs.exists(path):
+            # Partitioned writes of no rows leave no file to take the schema from.
+            text = self.spark.read.text(f"{self.root}/{_SCHEMA}", wholetext=True).first().value
+            reader = reader.schema(StructType.fromJson(json.loads(text)))
+        return reader.option("mergeSchema", False).parquet(folder).drop(LOAD_BATCH)
+
+    def _has_rows(self, folder: str) -> bool:
+        """Whether a snapshot has any data file or partition."""
+        fs, path = self._fs(folder)
+        return any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(path))
+
+    def partition_columns(self, folder: str) -> list[str]:
+        """The columns a snapshot is partitioned by, from the names of its folders."""
+        names: list[str] = []
+        while True:
+            fs, path = self._fs("/".join([folder, *names]))
+            inner = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory() and "=" in s.getPath().getName()]
+            if not inner:
+                return [n.split("=", 1)[0] for n in names]
+            names.append(inner[0])
 
     def read(self) -> DataFrame | None:
         """The current state, or None before the first write."""
@@ -56,18 +80,24 @@ class SnapshotTable:
         return None if folder is None else self._load(folder)
 
     def replace(self, df: DataFrame) -> DataFrame:
-        """Writes the next snapshot and returns it."""
+        """Writes the next snapshot, partitioned like the one before, and returns it."""
         found = self.versions()
         folder = self._folder((found[-1] if found else 0) + 1)
-        by_batch = bool(found) and LOAD_BATCH in self.spark.read.parquet(self._folder(found[-1])).columns
-        self._create(df, folder, "merged" if by_batch else None)
+        parts = self.partition_columns(self._folder(found[-1])) if found else []
+        own = [p for p in parts if p != LOAD_BATCH]
+        self._create(df, folder, "merged" if LOAD_BATCH in parts else None, own)
         return self._load(folder)
 
-    def _create(self, df: DataFrame, folder: str, batch_id: str | None) -> None:
-        if batch_id is None:
-            df.write.mode("overwrite").parquet(folder)
-        else:
-            df.withColumn(LOAD_BATCH, F.lit(batch_id)).write.mode("overwrite").partitionBy(LOAD_BATCH).parquet(folder)
+    def _create(self, df: DataFrame, folder: str, batch_id: str | None, partition_by: list[str] | None = None) -> None:
+        parts = list(partition_by or [])
+        fs, path = self._fs(f"{self.root}/{_SCHEMA}")
+        out = fs.create(path, True)
+        out.write(bytearray(df.schema.json(), "utf-8"))
+        out.close()
+        if batch_id is not None:
+            df, parts = df.withColumn(LOAD_BATCH, F.lit(batch_id)), [LOAD_BATCH, *parts]
+        writer = df.write.mode("overwrite")
+        (writer.partitionBy(*parts) if parts else writer).parquet(folder)
 
     def append(self, df: DataFrame, *, batch_id: str | None = None) -> None:
         """Adds rows to the current snapshot, creating the first one if needed.
@@ -85,7 +115,7 @@ class SnapshotTable:
 
     def create_partitioned(self, df: DataFrame, partition_by: list[str]) -> None:
         """Writes the first snapshot with partitions that later merges rewrite one by one."""
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(self._folder(1))
+        self._create(df, self._folder(1), None, partition_by)
 
     def drop_old(self, keep: int = 2) -> None:
         """Removes all but the newest ``keep`` snapshots."""

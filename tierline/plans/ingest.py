@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
-from dataclasses import dataclass, field, replace
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,7 @@ from tierline.functions.names import FILE_CHECKSUM, FILE_NAME, FILE_PATH, METADA
 from tierline.functions.spread import attach_by_key, is_small, materialize, scratch_folders, top_per_key
 from tierline.operators import alerts as alert_ops
 from tierline.operators.anomaly import anomaly_messages, anomaly_reasons, score_history
-from tierline.operators.bronze import checksum_dedup, file_checksums, land_bronze, landed_checksums
+from tierline.operators.bronze import checksum_dedup, file_checksums, land_bronze, landed_checksums, read_batch
 from tierline.operators.checks import FAILED, Rule, check_rows, distinct_reasons, split_batch
 from tierline.operators.gates import Bounds, control_gates, line_counts
 from tierline.operators.lineage import raw_to_stage_edges
@@ -29,6 +30,9 @@ from tierline.sources.files import file_sort_key, list_files, require_matches, s
 from tierline.sources.registry import read_records
 
 _ANY: Bounds = (0, 2**62)
+# What the log of landed files keeps of a file.
+_LANDED = (FILE_PATH, FILE_NAME, FILE_CHECKSUM, "length", "sort_key", "run_id")
+_LAYERS = ("raw", "stage", "gold")
 
 
 @dataclass(frozen=True)
@@ -119,9 +123,11 @@ class BatchResult:
 class _Steps:
     """Step and lineage events of all files of a batch."""
 
-    def __init__(self, house: Warehouse, feed: Feed, batch_id: str, files: DataFrame, at: Column):
+    def __init__(self, house: Warehouse, feed: Feed, batch_id: str, files: DataFrame, at: Column, part: str = ""):
         self.house, self.feed, self.batch_id, self.at = house, feed, batch_id, at
-        self.order = 0
+        # A resumed batch writes parts of its own, behind what it wrote before.
+        self.part = part and part + "-"
+        self.order = 1000 if part else 0
         self.current, self.running = "control_gate", files
         self.lineage_rows: list[DataFrame] = []
 
@@ -140,7 +146,7 @@ class _Steps:
         return self.event(files, step, target, F.lit("begin"), none, none)
 
     def write(self, part: str, *events: DataFrame) -> None:
-        self.house.log(reduce(DataFrame.unionByName, events), "step_events", self.batch_id, part)
+        self.house.log(reduce(DataFrame.unionByName, events), "step_events", self.batch_id, self.part + part)
 
     def lineage(self, files: DataFrame, step: str, state: Column, source: Column, target: str) -> None:
         """START of a step and how it ended."""
@@ -154,7 +160,26 @@ class _Steps:
 
     def write_lineage(self) -> None:
         if self.lineage_rows:
-            self.house.log(reduce(DataFrame.unionByName, self.lineage_rows), "lineage_events", self.batch_id, "all")
+            self.house.log(reduce(DataFrame.unionByName, self.lineage_rows), "lineage_events", self.batch_id, self.part + "all")
+
+    def alert(self, messages: DataFrame, part: str) -> None:
+        self.house.log(
+            messages.select(F.lit(self.feed.name).alias("pipeline_name"), self.at.alias("alerted_at"), "file_name", "row_index", "message"),
+            "alerts", self.batch_id, part,
+        )
+
+    @contextmanager
+    def recorded(self) -> Iterator[None]:
+        """An exception inside leaves a failed step and lineage event behind."""
+        try:
+            yield
+        except Exception:
+            none = F.lit(None)
+            self.write("failed", self.event(self.running, self.current, "", F.lit("failed"), none, none))
+            layer = {"raw": "bronze", "stage": "silver", "gold": "gold"}.get(self.current, "bronze")
+            self.lineage(self.running, self.current, F.lit("FAIL"), F.col(FILE_PATH), f"{layer}.{self.feed.name}")
+            self.write_lineage()
+            raise
 
 
 def discover(spark: SparkSession, feed: Feed, path: str | list[str], *, strict: bool = True) -> DataFrame:
@@ -198,7 +223,7 @@ def _write_stage(feed: Feed, valid: DataFrame, manifest: DataFrame, table: Snaps
         if folder is None:
             table.create_partitioned(newest, parts)
         else:
-            upsert_partitions(newest, folder, list(feed.business_key), parts)
+            upsert_partitions(newest, folder, list(feed.business_key), parts, current=table.read())
     else:
         write_stage(newest, table, "upsert", key=list(feed.business_key))
 
@@ -249,8 +274,10 @@ def run_batch(
 ) -> BatchResult:
     """Runs all files of a feed through the layers up to ``stop_after``.
 
-    Content that bronze already holds is skipped in every layer. Repeating a batch id
-    replaces its own bronze rows. A failing step is recorded as ``failed`` and raised.
+    Content that reached the asked layer before is skipped and reported with its existing run
+    id. Content that only landed, because its batch failed or stopped there, is not landed again:
+    its whole batch is finished from bronze, under its own ids. Repeating a batch id replaces its
+    own rows. A failing step is recorded as ``failed`` and raised.
     """
     layers = layers_to_run(stop_after or feed.stop_after)
     with scratch_folders(spark):
@@ -260,6 +287,68 @@ def run_batch(
         )
 
 
+def _run_rows(files: DataFrame, status: Column, layer: Column, rows_in: Column, rows_out: Column, why: Column) -> DataFrame:
+    return files.select(
+        "run_id", FILE_PATH, FILE_CHECKSUM, status.alias("status"), layer.alias("layer_reached"),
+        rows_in.cast("long").alias("rows_in"), rows_out.cast("long").alias("rows_out"), why.alias("failure_reasons"),
+    )
+
+
+def _own_runs(house: Warehouse, feed: Feed, batch_id: str) -> DataFrame | None:
+    """Run rows of this feed from other batches, without the notes about skipped files."""
+    log = house.control("runs")
+    if log is None:
+        return None
+    return log.filter((F.col("pipeline_name") == feed.name) & (F.col("batch_id") != batch_id) & (F.col("status") != "skipped"))
+
+
+def _judged(runs: DataFrame, layers: tuple[str, ...]) -> DataFrame:
+    """Runs that need no further work: they reached the last of ``layers``, or checks stopped them behind bronze."""
+    enough = F.col("layer_reached").isin(list(_LAYERS[_LAYERS.index(layers[-1]):]))
+    stopped = (F.col("status") == "quarantined") & F.col("layer_reached").isNotNull()
+    return runs.filter(((F.col("status") == "succeeded") & enough) | stopped)
+
+
+def _unfinished(house: Warehouse, feed: Feed, hashed: DataFrame, layers: tuple[str, ...], batch_id: str) -> list[str]:
+    """Other batches whose content is listed again and has landed, but is in no silver table yet.
+
+    One id per batch that failed or stopped early; batches that went through are sorted out before.
+    """
+    log = house.control("landed_files")
+    if log is None or layers[-1] == "raw":
+        return []
+    landed = log.filter((F.col("pipeline_name") == feed.name) & (F.col("batch_id") != batch_id))
+    landed = landed.join(hashed.select(FILE_CHECKSUM).distinct(), FILE_CHECKSUM, "left_semi")
+    runs = _own_runs(house, feed, batch_id)
+    if runs is not None:
+        landed = landed.join(_judged(runs, layers[:2]).select(FILE_CHECKSUM).distinct(), FILE_CHECKSUM, "left_anti")
+    found = landed.groupBy("batch_id").agg(F.min("sort_key").alias("at")).orderBy("at", "batch_id").collect()
+    return [r.batch_id for r in found if path_exists(house.spark, f"{house.bronze(feed.name)}/batch_id={r.batch_id}")]
+
+
+def _resume(
+    spark: SparkSession, feed: Feed, house: Warehouse, layers: tuple[str, ...], now: str, batch_id: str,
+    references: Mapping[str, tuple[DataFrame, str]] | None, gold_inputs: Mapping[str, DataFrame] | None,
+) -> None:
+    """Takes a landed batch from bronze through the later layers, under its own batch and run ids."""
+    log = house.control("landed_files").filter((F.col("pipeline_name") == feed.name) & (F.col("batch_id") == batch_id))
+    files = materialize(log.select(*_LANDED), "files")
+    steps = _Steps(house, feed, batch_id, files, F.lit(now).cast("timestamp"), part="resumed")
+    steps.current = "stage"
+    with steps.recorded():
+        steps.write("stage-begin", steps.begin(files, "stage", f"silver.{feed.name}"))
+        bronze = read_batch(spark, house.bronze(feed.name), batch_id)
+        done = reduce(DataFrame.unionByName, _silver_and_gold(spark, feed, files, bronze, house, steps, layers, now, references, gold_inputs))
+        done = done.select("*", F.lit(feed.name).alias("pipeline_name"), F.lit(now).cast("timestamp").alias("started_at"))
+        earlier = house.control("runs")
+        if earlier is not None:
+            # Files that a gate stopped keep their rows.
+            earlier = earlier.filter(F.col("batch_id") == batch_id).join(files.select("run_id"), "run_id", "left_anti")
+            done = done.unionByName(earlier.select(*done.columns))
+        house.log(materialize(done, "runs"), "runs", batch_id, "all")
+        steps.write_lineage()
+
+
 def _run_batch(
     spark: SparkSession, feed: Feed, path: str | list[str], house: Warehouse, layers: tuple[str, ...], *, now: str, batch_id: str,
     references: Mapping[str, tuple[DataFrame, str]] | None, gold_inputs: Mapping[str, DataFrame] | None, strict_names: bool,
@@ -273,63 +362,47 @@ def _run_batch(
     else:
         found = found.withColumn(FILE_CHECKSUM, F.lit(None).cast("string"))
     hashed = new = materialize(found, "hashed")
+    resumed: list[str] = []
     if feed.skip_known_content:
+        resumed = _unfinished(house, feed, hashed, layers, batch_id)
+        for other in resumed:
+            _resume(spark, feed, house, layers, now, other, references, gold_inputs)
         log = house.control("landed_files")
         log = None if log is None else log.filter(F.col("pipeline_name") == feed.name)
         # A repeated batch must not count as known content, so its own files are left out.
-        new = checksum_dedup(hashed, landed_checksums(spark, house.bronze(feed.name), log, batch_id=batch_id))
+        known = landed_checksums(spark, house.bronze(feed.name), log, batch_id=batch_id)
+        runs = _own_runs(house, feed, batch_id)
+        if runs is not None:
+            through = _judged(runs, layers).select(FILE_CHECKSUM)
+            known = through if known is None else known.unionByName(through)
+        new = checksum_dedup(hashed, known)
     # Run ids of a batch sort like its files do.
     run_id = F.concat(
         F.lit(batch_id + "-"), F.date_format("sort_key", "yyyyMMddHHmmssSSSSSS"), F.lit("-"), F.md5(FILE_PATH)
     )
     new = materialize(new.withColumn("run_id", run_id), "files")
     steps = _Steps(house, feed, batch_id, new, F.lit(now).cast("timestamp"))
-    try:
-        return _run_layers(spark, feed, new, hashed, house, steps, layers, now, batch_id, references, gold_inputs)
-    except Exception:
-        failed = steps.event(steps.running, steps.current, "", F.lit("failed"), F.lit(None), F.lit(None))
-        steps.write("failed", failed)
-        layer = {"raw": "bronze", "stage": "silver", "gold": "gold"}.get(steps.current, "bronze")
-        steps.lineage(steps.running, steps.current, F.lit("FAIL"), F.col(FILE_PATH), f"{layer}.{feed.name}")
-        steps.write_lineage()
-        raise
+    with steps.recorded():
+        return _run_layers(spark, feed, new, hashed, house, steps, layers, now, batch_id, references, gold_inputs, resumed)
 
 
 def _run_layers(
     spark: SparkSession, feed: Feed, new: DataFrame, hashed: DataFrame, house: Warehouse, steps: _Steps,
     layers: tuple[str, ...], now: str, batch_id: str,
-    references: Mapping[str, tuple[DataFrame, str]] | None, gold_inputs: Mapping[str, DataFrame] | None,
+    references: Mapping[str, tuple[DataFrame, str]] | None, gold_inputs: Mapping[str, DataFrame] | None, resumed: list[str],
 ) -> BatchResult:
     at = F.lit(now).cast("timestamp")
     raw_name, stage_name = f"bronze.{feed.name}", f"silver.{feed.name}"
-    rules = list(feed.rules)
     no_reasons = F.array().cast("array<string>")
     no_layer = F.lit(None).cast("string")
 
-    def run_rows(files: DataFrame, status: Column, layer: Column, rows_in: Column, rows_out: Column, why: Column) -> DataFrame:
-        return files.select(
-            "run_id", FILE_PATH, FILE_CHECKSUM, status.alias("status"), layer.alias("layer_reached"),
-            rows_in.cast("long").alias("rows_in"), rows_out.cast("long").alias("rows_out"), why.alias("failure_reasons"),
-        )
-
     def finish(*runs: DataFrame) -> BatchResult:
-        known = hashed.join(new.select(FILE_PATH), FILE_PATH, "left_anti").withColumn(
-            "run_id", F.concat(F.lit(batch_id + "-known-"), F.md5(FILE_PATH))
-        )
-        skipped = run_rows(known, F.lit("skipped"), no_layer, F.lit(None), F.lit(0), no_reasons)
-        log = reduce(DataFrame.unionByName, [*runs, skipped]).select(
-            "*", F.lit(feed.name).alias("pipeline_name"), at.alias("started_at")
-        )
-        house.log(log, "runs", batch_id, "all")
+        log = reduce(DataFrame.unionByName, [*runs, *_known_rows(feed, new, hashed, house, steps, layers, now, resumed, gold_inputs, runs)])
+        log = log.select("*", F.lit(feed.name).alias("pipeline_name"), at.alias("started_at"))
+        house.log(materialize(log, "runs"), "runs", batch_id, "all")
         steps.write_lineage()
         return BatchResult(batch_id, house.control("runs").filter(F.col("batch_id") == batch_id))
 
-    def alert(messages: DataFrame, part: str) -> None:
-        house.log(
-            messages.select(F.lit(feed.name).alias("pipeline_name"), at.alias("alerted_at"), "file_name", "row_index", "message"),
-            "alerts", batch_id, part,
-        )
-
     # Gate
     paths = [r.path for r in new.select("path").collect()]
     if not paths:
@@ -353,8 +426,8 @@ def _run_layers(
     steps.write("gate", began, ended, steps.begin(passed, "raw", raw_name))
     steps.lineage(gated, "control_gate", F.when(F.col("passed"), "COMPLETE").otherwise("FAIL"), F.col(FILE_PATH), FILE_PATH)
     if quarantine_files(spark, gated, house.folder("quarantined_files"), now=now, pipeline_name=feed.name, batch_id=batch_id):
-        alert(alert_ops.gate_alerts(gated), "gate")
-    rejected = run_rows(
+        steps.alert(alert_ops.gate_alerts(gated), "gate")
+    rejected = _run_rows(
         gated.filter(~F.col("passed")), F.lit("quarantined"), no_layer, F.col("row_count"), F.lit(0), F.col("failures")
     )
 
@@ -367,10 +440,11 @@ def _run_layers(
     if not filled:
         raise ValueError(f"{feed.name}: the files hold no data")
     rows = read_records(spark, feed.fmt, filled, **feed.reader)
-    bronze = land_bronze(rows, passed, house.bronze(feed.name), batch_id=batch_id, now=now, metadata=feed.metadata)
+    # Logged first: files count as landed once the batch is in bronze too, and can then be resumed from there.
     house.log(
-        passed.select(F.lit(feed.name).alias("pipeline_name"), FILE_PATH, FILE_CHECKSUM, "length"), "landed_files", batch_id, "all"
+        passed.select(F.lit(feed.name).alias("pipeline_name"), *_LANDED), "landed_files", batch_id, "all"
     )
+    bronze = land_bronze(rows, passed, house.bronze(feed.name), batch_id=batch_id, now=now, metadata=feed.metadata)
     landed = passed.join(bronze.groupBy(FILE_PATH).agg(F.count(F.lit(1)).alias("rows_in")), FILE_PATH, "left")
     landed = landed.withColumn("rows_in", F.coalesce("rows_in", F.lit(0)))
     complete = steps.event(landed, "raw", raw_name, F.lit("complete"), F.col("rows_in"), F.col("rows_in"))
@@ -378,8 +452,74 @@ def _run_layers(
     steps.lineage(passed, "raw", F.lit("COMPLETE"), F.col(FILE_PATH), raw_name)
     if "stage" not in layers:
         return finish(
-            rejected, run_rows(landed, F.lit("succeeded"), F.lit("raw"), F.col("rows_in"), F.col("rows_in"), no_reasons)
+            rejected, _run_rows(landed, F.lit("succeeded"), F.lit("raw"), F.col("rows_in"), F.col("rows_in"), no_reasons)
+        )
+
+    return finish(rejected, *_silver_and_gold(spark, feed, passed, bronze, house, steps, layers, now, references, gold_inputs))
+
+
+def _known_rows(
+    feed: Feed, new: DataFrame, hashed: DataFrame, house: Warehouse, steps: _Steps, layers: tuple[str, ...], now: str,
+    resumed: list[str], gold_inputs: Mapping[str, DataFrame] | None, runs: tuple[DataFrame, ...],
+) -> list[DataFrame]:
+    """Rows of listed files that did not run in this batch, with the run id their content already has.
+
+    Content that waited in bronze shows what became of it; content that is in silver already is
+    taken to gold where that is asked for; the rest is skipped.
+    """
+    idle = hashed.join(new.select(FILE_PATH), FILE_PATH, "left_anti").select(FILE_PATH, FILE_CHECKSUM)
+    older = _own_runs(house, feed, steps.batch_id)
+    parts = [r.select(FILE_CHECKSUM, "run_id", "status", "layer_reached", "rows_in", "rows_out", "failure_reasons", F.lit(False).alias("now"), at)
+             for r, at in [(r, F.lit(None).cast("timestamp").alias("started_at")) for r in runs]]
+    if older is not None:
+        parts.append(
+            older.select(
+                FILE_CHECKSUM, "run_id", "status", "layer_reached", "rows_in", "rows_out", "failure_reasons",
+                F.col("batch_id").isin(resumed).alias("now"), "started_at",
+            )
         )
+    if not parts:
+        return [_run_rows(idle.withColumn("run_id", F.lit(None).cast("string")), F.lit("skipped"), F.lit(None).cast("string"), F.lit(None), F.lit(0), F.array().cast("array<string>"))]
+    reached = F.array_position(F.array(*map(F.lit, _LAYERS)), F.coalesce("layer_reached", F.lit("")))
+    best = reduce(DataFrame.unionByName, parts).groupBy(FILE_CHECKSUM).agg(
+        F.max_by(F.struct("run_id", "status", "layer_reached", "rows_in", "rows_out", "failure_reasons", "now"), F.struct(reached, "now", "started_at")).alias("run")
+    )
+    found = materialize(idle.join(best, FILE_CHECKSUM, "left").select(FILE_PATH, FILE_CHECKSUM, "run.*"), "known")
+    waiting = found.filter((F.col("status") == "succeeded") & (F.col("layer_reached") == "stage") & ~F.col("now"))
+    to_gold = "gold" in layers and bool(feed.gold) and older is not None
+    if to_gold and not waiting.isEmpty():
+        _build_gold(feed, waiting, house, steps, now, gold_inputs)
+    fresh = F.coalesce("now", F.lit(False))
+    lifted = (F.col("status") == "succeeded") & (F.col("layer_reached") == "stage") & ~fresh & F.lit(to_gold)
+    status = F.when(lifted | fresh, F.col("status")).otherwise("skipped")
+    layer = F.when(lifted, "gold").otherwise(F.col("layer_reached"))
+    counted = lifted | fresh
+    why = F.when(fresh, F.col("failure_reasons")).otherwise(F.array().cast("array<string>"))
+    return [_run_rows(found, status, layer, F.when(counted, F.col("rows_in")), F.when(counted, F.col("rows_out")).otherwise(0), why)]
+
+
+def _build_gold(
+    feed: Feed, files: DataFrame, house: Warehouse, steps: _Steps, now: str, gold_inputs: Mapping[str, DataFrame] | None
+) -> None:
+    steps.current, steps.running = "gold", files
+    inputs = {feed.name: house.stage(feed.name).read(), **(gold_inputs or {})}
+    for build in feed.gold:
+        gold_name = f"gold.{build.name}"
+        began = steps.begin(files, "gold", gold_name)
+        run_gold_build(build, inputs, house.gold(build.name), now=now)
+        ended = steps.event(files, "gold", gold_name, F.lit("complete"), F.col("rows_out"), F.col("rows_out"))
+        steps.write(gold_name, began, ended)
+        steps.lineage(files, "gold", F.lit("COMPLETE"), F.lit(f"silver.{feed.name}"), gold_name)
+
+
+def _silver_and_gold(
+    spark: SparkSession, feed: Feed, passed: DataFrame, bronze: DataFrame, house: Warehouse, steps: _Steps, layers: tuple[str, ...],
+    now: str, references: Mapping[str, tuple[DataFrame, str]] | None, gold_inputs: Mapping[str, DataFrame] | None,
+) -> list[DataFrame]:
+    """Checks the bronze rows of one batch and writes silver, quarantine and gold; the run rows of its files."""
+    raw_name, stage_name, batch_id = f"bronze.{feed.name}", f"silver.{feed.name}", steps.batch_id
+    rules = list(feed.rules)
+    no_reasons = F.array().cast("array<string>")
 
     # Silver
     steps.current = "stage"
@@ -412,7 +552,7 @@ def _run_layers(
             quarantine_rows(bad, pipeline_name=feed.name, batch_id=batch_id, now=now).drop("batch_id"), "quarantine", batch_id, "all"
         )
         house.log(each, "run_reasons", batch_id, "all")
-        alert(alert_ops.row_alerts(bad, feed.integrity_mode), "rows")
+        steps.alert(alert_ops.row_alerts(bad, feed.integrity_mode), "rows")
     promoted, blocked = outcome.filter(~F.col("blocked")), outcome.filter("blocked")
     # A blocked file leaves the silver table alone, also where it would replace it.
     if not promoted.isEmpty():
@@ -423,7 +563,7 @@ def _run_layers(
     verdicts = _anomalies(feed, valid, outcome, house, now, batch_id)
     if verdicts is not None:
         messages = anomaly_messages(verdicts)
-        alert(messages.select(no_layer.alias("file_name"), F.lit(None).cast("long").alias("row_index"), "message"), "anomaly")
+        steps.alert(messages.select(F.lit(None).cast("string").alias("file_name"), F.lit(None).cast("long").alias("row_index"), "message"), "anomaly")
         if feed.anomaly.on_anomaly == "quarantine":
             texts = anomaly_reasons(verdicts).groupBy(F.col("process_id").alias("run_id")).agg(
                 F.sort_array(F.collect_set("reason")).alias("texts")
@@ -446,27 +586,12 @@ def _run_layers(
     to_gold = promoted.filter(~held)
     reached = "stage"
     if "gold" in layers and feed.gold and not to_gold.isEmpty():
-        steps.current, steps.running = "gold", to_gold
-        inputs = {feed.name: house.stage(feed.name).read(), **(gold_inputs or {})}
-        for build in feed.gold:
-            gold_name = f"gold.{build.name}"
-            began = steps.begin(to_gold, "gold", gold_name)
-            run_gold_build(build, inputs, house.gold(build.name), now=now)
-            steps.write(
-                gold_name, began,
-                steps.event(to_gold, "gold", gold_name, F.lit("complete"), F.col("rows_out"), F.col("rows_out")),
-            )
-            steps.lineage(to_gold, "gold", F.lit("COMPLETE"), F.lit(stage_name), gold_name)
+        _build_gold(feed, to_gold, house, steps, now, gold_inputs)
         reached = "gold"
 
-    done = run_rows(
+    done = _run_rows(
         promoted, F.when(held, "quarantined").otherwise("succeeded"), F.when(held, "stage").otherwise(reached),
         F.col("rows_in"), F.col("rows_out"), F.col("why"),
     )
-    stopped = run_rows(blocked, F.lit("quarantined"), F.lit("raw"), F.col("rows_in"), F.lit(0), F.col("why"))
-    return finish(rejected, done, stopped)
-
-
-def with_stop(feed: Feed, layer: str) -> Feed:
-    layers_to_run(layer)
-    return replace(feed, stop_after=layer)
+    stopped = _run_rows(blocked, F.lit("quarantined"), F.lit("raw"), F.col("rows_in"), F.lit(0), F.col("why"))
+    return [done, stopped]
