@@ -13,7 +13,8 @@ with a pivot, the member that shares most buckets with others, and join what is
 components; only members of different components meet in later rounds, which take sixteen times
 the pivots of the round before, until no pair of different components in a bucket is left.
 So a group of thousands of near copies costs a few comparisons per member. From the second
-round on signatures of 4096 minima sort out members that are only loosely alike.
+round on signatures of 4096 minima sort out members that are only loosely alike, and two
+members meet in one of their common buckets only.
 
 A pair at the threshold shares none of the 24 bands of 4 with probability 2e-8, and its
 estimate falls short with probability 2e-6.
@@ -240,7 +241,7 @@ def near_duplicates(
     labels = materialize(components(links, labels), "labels")
     degrees = large.groupBy("id").agg(F.sum("n").alias("degree"))
     left = materialize(
-        large.join(degrees, "id").join(labels, "id").select("band", "bucket", "id", "s", F.array().cast("array<long>").alias("fine"), "degree", "label"), "large"
+        large.join(degrees, "id").join(labels, "id").select("band", "bucket", "id", "s", F.array().cast("array<long>").alias("fine"), F.array().cast("array<long>").alias("places"), "degree", "label"), "large"
     )
     pivots_a_round = 1
 
@@ -255,14 +256,17 @@ def near_duplicates(
         if pivots_a_round == 16:
             finer = signatures(texts.join(left.select(F.col("id").alias("doc_id")).distinct(), "doc_id"), shingle, FINE)
             finer = finer.select(F.col("doc_id").alias("id"), F.col("signature").alias("fine"))
-            left = materialize(left.drop("fine").join(finer, "id"), "large")
+            places = left.groupBy("id").agg(F.collect_set("bucket").alias("places"))
+            left = materialize(left.drop("fine", "places").join(finer, "id").join(places, "id"), "large")
         first = Window.partitionBy("band", "bucket").orderBy(place("id"))
         pivots = left.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= pivots_a_round)
         pivots = materialize(
-            pivots.select("band", "bucket", F.col("id").alias("x"), F.col("s").alias("xs"), F.col("fine").alias("xf"), F.col("label").alias("xl"), place("id").alias("xp")), "pivots"
+            pivots.select("band", "bucket", F.col("id").alias("x"), F.col("s").alias("xs"), F.col("fine").alias("xf"), F.col("places").alias("xo"), F.col("label").alias("xl"), place("id").alias("xp")), "pivots"
         )
         head = lambda c: F.slice(c, 1, FINE_HEAD.slots // 64)
-        finer_too = F.lit(True) if pivots_a_round == 1 else close(head("fine"), head("xf"), FINE_HEAD) & close(F.col("fine"), F.col("xf"), FINE)
+        # Members of several common buckets meet in the smallest of them. It stays until one of the two was its pivot or all its members are one component.
+        once = F.array_min(F.array_intersect("places", "xo")) == F.col("bucket")
+        finer_too = F.lit(True) if pivots_a_round == 1 else once & close(head("fine"), head("xf"), FINE_HEAD) & close(F.col("fine"), F.col("xf"), FINE)
         # Two pivots meet once: the one that comes first asks the other.
         asked = left.join(pivots, ["band", "bucket"]).filter((F.col("xp") < place("id")) & (F.col("label") != F.col("xl")) & near(F.col("s"), F.col("xs")) & finer_too)
         asked = asked.select("x", F.col("id").alias("y")).distinct()
