@@ -151,7 +151,11 @@ def test_file_selection(spark, tmp_path):
     assert select_files(arrival, "latest").first().file_name == "H_bad.txt"
     with pytest.raises(NoMatchingFiles) as caught:
         require_matches(listing, "Z_{date}.csv")
-    assert "other.xlsx" in caught.value.unmatched
+    assert "other.xlsx" in [r.file_name for r in caught.value.unmatched.collect()]
+    present = listing.count()
+    with pytest.raises(NoMatchingFiles, match=f"and {present - 1} more") as caught:
+        require_matches(listing, "Z_{date}.csv", shown=1)
+    assert caught.value.unmatched.count() == present
 
 
 def test_pattern(spark):

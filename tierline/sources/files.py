@@ -13,9 +13,9 @@ from tierline.functions.text import last_path_element
 
 
 class NoMatchingFiles(ValueError):
-    """Nothing in the location belongs to the feed; ``unmatched`` names what is there."""
+    """Nothing in the location belongs to the feed; ``unmatched`` is the listing of all that is there."""
 
-    def __init__(self, message: str, unmatched: list[str]):
+    def __init__(self, message: str, unmatched: DataFrame):
         super().__init__(message)
         self.unmatched = unmatched
 
@@ -137,9 +137,11 @@ def unmatched_files(listing: DataFrame, file_pattern: str) -> DataFrame:
 
 
 def require_matches(listing: DataFrame, file_pattern: str, *, shown: int = 50) -> None:
-    """Raises when no file belongs to the feed, naming some of those that are there."""
+    """Raises when no file belongs to the feed. The message names ``shown`` of those that are there and how many more there are."""
     if not listing.filter(match_file_pattern(F.col("file_name"), file_pattern).isNotNull()).isEmpty():
         return
     names = [r.file_name for r in listing.select("file_name").orderBy("file_name").limit(shown).collect()]
-    hint = f" (present: {', '.join(names)})" if names else ""
-    raise NoMatchingFiles(f"no file matches {file_pattern!r}{hint}", names)
+    more = listing.count() - len(names)
+    rest = f" and {more} more" if more else ""
+    hint = f" (present: {', '.join(names)}{rest})" if names else ""
+    raise NoMatchingFiles(f"no file matches {file_pattern!r}{hint}", listing)
