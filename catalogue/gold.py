@@ -114,22 +114,22 @@ def gold_weights(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-_RECON = """WITH h AS (SELECT l_orderkey AS portfolio_id, DATE '1998-12-31' AS as_of_date, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS mv, count(*) AS n
-                      FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1),
-     a AS (SELECT o_orderkey AS portfolio_id, DATE '1998-12-31' AS as_of_date, CAST(o_totalprice AS DECIMAL(18,2)) AS nav, o_orderpriority AS base_currency
-           FROM orders WHERE o_orderstatus <> 'F'),
+_RECON = """WITH h AS (SELECT l_suppkey AS portfolio_id, CAST(l_shipdate AS DATE) AS as_of_date, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS mv, count(*) AS n
+                      FROM lineitem GROUP BY 1, 2),
+     a AS (SELECT o_custkey AS portfolio_id, CAST(o_orderdate AS DATE) AS as_of_date, CAST(o_totalprice AS DECIMAL(18,2)) AS nav, o_orderpriority AS base_currency
+           FROM orders),
      j AS (SELECT coalesce(h.portfolio_id, a.portfolio_id) AS portfolio_id, coalesce(h.as_of_date, a.as_of_date) AS as_of_date, mv, n, nav, base_currency
            FROM h FULL JOIN a ON h.portfolio_id = a.portfolio_id AND h.as_of_date = a.as_of_date) """
 
 
 def reconciliation_inputs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    day = F.lit("1998-12-31").cast("date").alias("as_of_date")
-    holdings = table(spark, folder, "lineitem").filter("l_linestatus = 'O'").select(
-        F.col("l_orderkey").alias("account_id"), F.col("l_partkey").alias("security_id"), day,
+    """Suppliers and customers share key values on some days only, so both sides keep rows without a partner."""
+    holdings = table(spark, folder, "lineitem").select(
+        F.col("l_suppkey").alias("account_id"), F.col("l_partkey").alias("security_id"), F.to_date("l_shipdate").alias("as_of_date"),
         F.col("l_quantity").alias("quantity"), money("l_extendedprice").alias("market_value"), F.lit("USD").alias("currency"),
     )
-    reported = table(spark, folder, "orders").filter("o_orderstatus <> 'F'").select(
-        F.col("o_orderkey").alias("portfolio_cd"), day, money("o_totalprice").alias("total_net_assets_usd"),
+    reported = table(spark, folder, "orders").select(
+        F.col("o_custkey").alias("portfolio_cd"), F.to_date("o_orderdate").alias("as_of_date"), money("o_totalprice").alias("total_net_assets_usd"),
         F.col("o_orderpriority").alias("base_currency"),
     )
     return holdings_view(holdings), asset_view(reported)
