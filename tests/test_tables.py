@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tierline.operators import quarantine
 from tierline.operators.bronze import checksum_dedup, file_checksums, land_bronze, read_batch, run_dedup
 from tierline.operators.export import export_table
 from tierline.operators.gates import control_gates, line_counts
@@ -98,6 +99,40 @@ def test_checksums_and_dedup(spark, tmp_path):
     assert [r.file_name for r in todo.collect()] == ["a.csv"] and known.first().run_id == "r1"
 
 
+@pytest.mark.parametrize("split", [64, 1 << 20])
+def test_large_files_keep_their_order_and_bytes(spark, tmp_path, monkeypatch, split):
+    """Contents that differ only in line order, terminators or a byte order mark; files in splits and whole."""
+    monkeypatch.setattr(quarantine, "_CHUNK_BYTES", 8)
+    line = "".join(f"line {i}\n" for i in range(20))
+    contents = [line, "".join(f"line {i}\n" for i in reversed(range(20))), line.replace("\n", "\r\n"), line[:-1], "\ufeff" + line, "\ufeff" + line[:-1],
+                line + "\n", "x" * 50, "x" * 20 + "\n" * 5, b"\xff\xfe\n\r\r\n\x00", line]
+    raw = [c if isinstance(c, bytes) else c.encode() for c in contents]
+    for i, c in enumerate(raw):
+        (tmp_path / f"f{i:02}.csv").write_bytes(c)
+    src = f"file:{tmp_path}"
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", 0)
+        sums = [r.file_checksum for r in file_checksums(spark, src, whole_file_bytes=0).orderBy("file_path").collect()]
+        spark.conf.set("spark.sql.files.maxPartitionBytes", 40)
+        again = [r.file_checksum for r in file_checksums(spark, src, whole_file_bytes=0).orderBy("file_path").collect()]
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        gated = list_files(spark, src).withColumns({"passed": F.lit(False), "failures": F.array(F.lit("size"))})
+        out = f"file:{tmp_path}/kept"
+        assert quarantine.quarantine_files(spark, gated, out, now="2026-01-01", pipeline_name="p", batch_id="b", binary_bytes=0) == len(raw)
+        chunks = spark.read.parquet(f"{out}/chunks").orderBy("file_path", "block", "position").collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sums == again and len(set(sums)) == len(raw) - 1 and sums[0] == sums[-1]
+    kept = {}
+    for r in chunks:
+        kept[r.file_path[-7:]] = kept.get(r.file_path[-7:], b"") + r.chunk
+    assert kept == {f"f{i:02}.csv": c for i, c in enumerate(raw)}
+    assert spark.read.parquet(f"{out}/large_files").count() == len(raw)
+
+
 def test_bronze_batch_can_be_repeated(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.csv").write_text("a,b\n1,2\n3,4\n")

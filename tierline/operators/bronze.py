@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.functions.names import (
@@ -21,21 +25,56 @@ from tierline.functions.spread import attach_by_key, is_small, top_per_key
 from tierline.operators.tables import path_exists, replace_batch
 from tierline.sources.scan import Paths
 
-# A file up to this size is hashed as one value; larger ones are digested by line.
+# A file up to this size is hashed as one value; larger ones are digested by line, in their order.
 WHOLE_FILE_BYTES = 256 * 1024 * 1024
+# A prime and a base of the polynomial over the lines' hashes.
+_PRIME = (1 << 255) - 19
+_BASE = int.from_bytes(hashlib.sha256(b"lines").digest(), "big") % _PRIME
 # Files of a gigabyte and more count as hot when file columns are joined to rows.
 _HOT_FILE_BYTES = 1024 * 1024 * 1024
 
 
-def line_digest() -> Column:
-    """A digest that can be summed up in parts, over a ``value`` column of lines."""
-    low, high = F.xxhash64("value"), F.xxhash64(F.lit("high"), "value")
-    return F.sha2(
-        F.concat_ws(
-            ":", F.count(F.lit(1)), F.sum(low.cast("decimal(20,0)")), F.bit_xor(low), F.sum(high.cast("decimal(20,0)"))
-        ),
-        256,
+def line_digests(lines: DataFrame) -> DataFrame:
+    """``file_path, checksum`` over ``file_path, block, value`` (bytes of the lines of each split, in order).
+
+    A polynomial over the SHA-256 of the lines: splits are folded apart and joined in
+    the order of their start, so the result depends on every line and its position but
+    not on how the file was split.
+    """
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, n, total = None, 0, 0
+        done: list[tuple] = []
+        for batch in batches:
+            for path, block, value in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if key != (path, block):
+                    if key is not None:
+                        done.append((*key, n, total.to_bytes(32, "big")))
+                    key, n, total = (path, block), 0, 0
+                total = (total * _BASE + int.from_bytes(hashlib.sha256(value).digest(), "big")) % _PRIME
+                n += 1
+        if key is not None:
+            done.append((*key, n, total.to_bytes(32, "big")))
+        columns = list(zip(*done)) if done else [[]] * 4
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=[FILE_PATH, "block", "n", "part"])
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sums = []
+            for parts in batch.column(1).to_pylist():
+                n = total = 0
+                for part in parts:
+                    total = (total * pow(_BASE, part["n"], _PRIME) + int.from_bytes(part["part"], "big")) % _PRIME
+                    n += part["n"]
+                sums.append(f"{n}:{total:064x}")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sums, pa.string())], names=[FILE_PATH, "checksum"])
+
+    parts = lines.select(FILE_PATH, "block", F.col("value").cast("binary").alias("value")).mapInArrow(
+        fold, f"{FILE_PATH} string, block long, n long, part binary"
     )
+    of_file = parts.groupBy(FILE_PATH).agg(F.sort_array(F.collect_list(F.struct("block", "n", "part"))).alias("parts"))
+    return of_file.mapInArrow(join, f"{FILE_PATH} string, checksum string")
 
 
 def file_checksums(
@@ -44,19 +83,24 @@ def file_checksums(
     """``file_path, file_checksum``: SHA-256 of the bytes.
 
     A file above ``whole_file_bytes`` does not fit one task's memory safely; it is
-    digested line by line across its splits instead, marked with ``lines:``.
+    digested by its lines in their order across its splits instead, marked with
+    ``lines:``. Lines end at ``\\n`` only, and the length of the file enters too, which
+    tells the last terminator and a byte order mark. Copies have the same length, so
+    they always get the same kind of digest.
     """
     scan = spark.read.format("binaryFile").load(path)
     file_path = F.col("_metadata.file_path").alias(FILE_PATH)
     whole = scan.filter(F.col("length") <= whole_file_bytes).select(
         file_path, F.sha2("content", 256).alias(FILE_CHECKSUM)
     )
-    big = [r.path for r in scan.filter(F.col("length") > whole_file_bytes).select("path").collect()]
+    large = scan.filter(F.col("length") > whole_file_bytes).select(file_path, "path", "length")
+    big = [r.path for r in large.select("path").collect()]
     if not big:
         return whole
-    lines = spark.read.text(big).select(file_path, "value")
+    lines = spark.read.option("lineSep", "\n").text(big).select(file_path, F.col("_metadata.file_block_start").alias("block"), "value")
+    digest = F.sha2(F.concat_ws(":", "length", "checksum"), 256)
     return whole.unionByName(
-        lines.groupBy(FILE_PATH).agg(F.concat(F.lit("lines:"), line_digest()).alias(FILE_CHECKSUM))
+        line_digests(lines).join(large.drop("path"), FILE_PATH).select(FILE_PATH, F.concat(F.lit("lines:"), digest).alias(FILE_CHECKSUM))
     )
 
 

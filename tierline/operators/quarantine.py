@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from tierline.operators.stage import merge_upsert
 from tierline.operators.tables import SnapshotTable, replace_batch
 
 _BINARY_BYTES = 512 * 1024 * 1024
+_CHUNK_BYTES = 1024 * 1024
 
 
 def quarantine_rows(bad: DataFrame, *, pipeline_name: str, batch_id: str, now: str) -> DataFrame:
@@ -38,12 +40,67 @@ def quarantine_json(records: DataFrame) -> DataFrame:
     return records.select("pipeline_name", "quarantine_id", "row_index", payload.alias("value"))
 
 
+def file_chunks(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``file_path, block, position, chunk`` of these files.
+
+    The chunks of a file in the order of block and position are its bytes. They are cut at
+    ``\\n`` and at ``_CHUNK_BYTES``, split over many tasks. Of a compressed file they are the
+    text in it, each line terminated, because Spark's reader unpacks it.
+    """
+    key = F.col("_metadata.file_path").alias(FILE_PATH)
+    text = spark.read.option("lineSep", "\n").text(paths)
+    lines = text.select(key, F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("value"))
+    sizes = spark.read.format("binaryFile").load(paths).select(key, "length")
+    ends = lines.groupBy(FILE_PATH).agg(F.sum(F.length("value") + F.lit(1)).alias("size"), F.max("block").alias("last"))
+    # What the reader took away: a byte order mark (3 bytes); what it did not: a terminator of the last line.
+    tails = {r[FILE_PATH]: (r["last"], r["length"] - r["size"]) for r in ends.join(sizes, FILE_PATH).collect()}
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, at, held = None, 0, None
+        out: list[tuple] = []
+
+        def put(value: bytes) -> None:
+            nonlocal at
+            for first in range(0, len(value), _CHUNK_BYTES):
+                out.append((*key, at, value[first : first + _CHUNK_BYTES]))
+                at += 1
+
+        def close() -> None:
+            last, extra = tails[key[0]]
+            put(held if key[1] == last and extra in (-1, 2) else held + b"\n")
+
+        def batch_of() -> pa.RecordBatch:
+            columns = list(zip(*out)) if out else [[]] * 4
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.binary())
+            made = pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=[FILE_PATH, "block", "position", "chunk"])
+            out.clear()
+            return made
+
+        for batch in batches:
+            for path, block, value in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if key == (path, block):
+                    put(held + b"\n")
+                else:
+                    if key is not None:
+                        close()
+                    key, at = (path, block), 0
+                    if block == 0 and tails[path][1] in (2, 3):
+                        value = b"\xef\xbb\xbf" + value
+                held = value
+            yield batch_of()
+        if key is not None:
+            close()
+            yield batch_of()
+
+    return lines.mapInArrow(cut, f"{FILE_PATH} string, block long, position long, chunk binary")
+
+
 def quarantine_files(
-    spark: SparkSession, gated: DataFrame, path: str, *, now: str, pipeline_name: str, batch_id: str
+    spark: SparkSession, gated: DataFrame, path: str, *, now: str, pipeline_name: str, batch_id: str, binary_bytes: int = _BINARY_BYTES
 ) -> int:
     """Keeps the bytes of files that failed a gate; returns how many there were.
 
-    Files too large for one value are kept as their lines, split over many tasks.
+    Files too large for one value are kept as chunks of their bytes, split over many tasks.
     """
     failed = gated.filter(~F.col("passed"))
     names = failed.select("path", "length").collect()
@@ -53,18 +110,15 @@ def quarantine_files(
         F.lit(pipeline_name).alias("pipeline_name"), F.lit(batch_id).alias("batch_id"), FILE_PATH, FILE_NAME,
         "failures", F.lit(now).cast("timestamp").alias("quarantined_at"),
     )
-    small = [r.path for r in names if r.length <= _BINARY_BYTES]
-    large = [r.path for r in names if r.length > _BINARY_BYTES]
+    small = [r.path for r in names if r.length <= binary_bytes]
+    large = [r.path for r in names if r.length > binary_bytes]
     key = F.col("_metadata.file_path").alias(FILE_PATH)
     if small:
         content = spark.read.format("binaryFile").load(small).select(key, "content")
         replace_batch(record.join(content, FILE_PATH, "inner"), f"{path}/files", "batch_id", batch_id)
     if large:
-        lines = spark.read.option("lineSep", "\n").text(large).select(
-            key, F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value"
-        )
-        replace_batch(lines, f"{path}/lines", "batch_id", batch_id)
-        large_records = record.join(gated.filter(F.col("length") > _BINARY_BYTES).select(FILE_PATH), FILE_PATH, "left_semi")
+        replace_batch(file_chunks(spark, large), f"{path}/chunks", "batch_id", batch_id)
+        large_records = record.join(gated.filter(F.col("length") > binary_bytes).select(FILE_PATH), FILE_PATH, "left_semi")
         replace_batch(large_records, f"{path}/large_files", "batch_id", batch_id)
     return len(names)
 
