@@ -230,6 +230,19 @@ def test_language(spark):
     assert {r.lang_pred for r in language.identify(docs, nothing).collect()} == {"und"}
 
 
+def test_rare_language_is_predicted(spark):
+    """A few documents of one language among tens of thousands of another in the same script, and words of a foreign script."""
+    en, rare, ru = "the weather and this thought that with", "saa ja ajatus joka kulkee hitaasti", "погода и эта мысль"
+    rows = spark.range(30000).selectExpr("id", f"'{en}' AS text", "'en' AS lang")
+    rows = rows.union(spark.createDataFrame([(i, rare, "fi") for i in range(5)] + [(9, ru, "ru")], "id long, text string, lang string"))
+    model = language.train(rows)
+    assert model.languages == ("en", "fi", "ru")
+    assert model.allowed[language.SCRIPT_NAMES.index("latin")].tolist() == [True, True, False]
+    assert model.allowed[language.SCRIPT_NAMES.index("cyrillic")].tolist() == [False, False, True]
+    got = {r.doc_id: r.lang_pred for r in language.identify(documents(spark, [rare, en, ru, f"{rare} {rare}"]), model).collect()}
+    assert got == {0: "fi", 1: "en", 2: "ru", 3: "fi"}
+
+
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(1)
     counts = np.array([4, 0, 6, 1])

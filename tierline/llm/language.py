@@ -1,8 +1,9 @@
 """Language identification of whole, possibly mixed texts.
 
 Words are runs of letters. The script of a word (by code point ranges) narrows its candidates
-to the languages that training texts write in that script; a word in a script that no
-training text uses has all languages as candidates. Each candidate gets the log-likelihood
+to the languages of whose own words the training texts write at least ``SCRIPT_SHARE`` in that
+script, however rare the language is among all; a word in a script of no language has all
+languages as candidates. Each candidate gets the log-likelihood
 of the word's letter trigrams, and a Viterbi pass with a penalty for switching labels every word,
 so short foreign insertions and single misleading words don't break spans.
 
@@ -30,7 +31,7 @@ BUCKETS = 1 << 16
 SWITCH = 12.0
 BATCH_WORDS = 2_000_000
 UNKNOWN = "und"
-#: Share of a script's letters from which a language counts as written in it.
+#: Share of a language's words from which it counts as written in a script.
 SCRIPT_SHARE = 0.001
 
 # First and last code point of each script's letters (Unicode blocks).
@@ -141,7 +142,7 @@ def train(documents: DataFrame) -> Model:
     counts[np.searchsorted(np.array(languages, dtype=object), rows["lang"].to_numpy()) if languages else [], rows["bucket"].to_numpy()] = rows["n"].to_numpy()
     grams, scripts = counts[:, :BUCKETS] + 0.05, counts[:, BUCKETS:].T
     log = np.log(grams / grams.sum(axis=1, keepdims=True)).astype(np.float32)
-    allowed = scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(axis=1, keepdims=True), 1)
+    allowed = scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(axis=0, keepdims=True), 1)
     allowed[~allowed.any(axis=1)] = True
     return Model(languages, log, allowed)
 
