@@ -303,6 +303,58 @@ def test_licenses(spark):
     assert both.count() == 2 * len(files) and {"license_hint", "row"} <= set(both.columns)
 
 
+GPL = ("This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\n"
+       "the Free Software Foundation; either version {} of the License, or\n(at your option) any later version.")
+WRAPPED = {
+    "BSD-3-Clause": "Copyright (c) 2020, Someone\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code",
+    "GPL-2.0": GPL.format(2),
+    "MIT": 'Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\nin the Software without restriction',
+    None: GPL.format(3),
+}
+
+
+@pytest.mark.parametrize("mark", ["", " * ", "# "])
+def test_wrapped_headers_in_long_files(spark, mark):
+    """Canonical notices wrapped at about 70 columns at the head and in the middle of long files."""
+    code = "\n".join(f"value_{i} = compute(item{i * 7919 % 1009}, the_rest_{i % 13}) of this and the other" for i in range(2000))
+    files, want = [], {}
+    for name, text in WRAPPED.items():
+        notice = "\n".join(mark + x for x in text.split("\n"))
+        for place, whole in (("head", f"{notice}\n\n{code}"), ("middle", f"{code}\n{notice}\n{code}")):
+            files.append((f"{name}/{place}.py", whole))
+            want[files[-1][0]] = name
+    files.append(("none/plain.py", code))
+    want["none/plain.py"] = None
+    df = spark.createDataFrame(files, "path string, text string")
+    assert {r.path: r.own_license for r in licenses.license_scan(df).collect()} == want
+
+
+def test_runs_are_scored_as_by_brute_force(spark):
+    """Lines and all runs of lines of small texts, scored without bounds."""
+    rng = np.random.default_rng(4)
+    texts = []
+    for _ in range(60):
+        _, t = licenses.TEMPLATES[rng.integers(len(licenses.TEMPLATES))]
+        w = [x for x in t.split() for _ in range(1 + (rng.random() < 0.1)) if rng.random() > 0.08]
+        w = [f"x{rng.integers(50)}" for _ in range(rng.integers(9))] + w + ["of", "the", f"y{rng.integers(50)}"]
+        texts.append("".join(x + (" " if rng.random() < 0.8 else "\n\n" if rng.random() < 0.3 else "\n") for x in w))
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate([*texts, None, ""])], "path string, text string")
+    model = licenses.Templates(licenses.TEMPLATES, *licenses.frequencies(df))
+    want = {}
+    for i, t in enumerate([*texts, "", ""]):
+        lines = [x for x in map(licenses._terms, t.split("\n")) if x]
+        found = [model.best(Counter(x)) for x in lines]
+        for a in range(len(lines)):
+            for b in range(a + 2, len(lines) + 1):
+                run = [x for line in lines[a:b] for x in line]
+                if len(run) <= licenses.RUN * model.longest:
+                    found.append(model.best(Counter(run), numbers=True))
+        good = [(-round(f[0], 9), f[1]) for f in found if f and f[0] >= licenses.HEADER]
+        want[str(i)] = min(good)[1] if good else None
+    assert {r.path: r.own_license for r in licenses.license_scan(df).collect()} == want
+    assert len(set(want.values())) > 4
+
+
 def test_license_scores_are_cosines_over_all_lines(spark):
     """Every line, scored without the prefilter, gives the same own licence."""
     docs = read(spark, "/root/testdata/sf0.001", "documents").selectExpr("cast(doc_id as string) AS path", "text")

@@ -1,9 +1,12 @@
 """License scan: headers and licence files against templates, and inheritance along directories.
 
-Every line of every whole text is a possible header. Lines and whole texts are compared with
-templates by TF-IDF cosine: inverse document frequencies of the templates' terms are counted over
-all files, a term of no template weighs as one that no file holds. A line of ``HEADER``
-similarity or more gives its file a licence of its own; a file is a licence file of its directory if
+Every line of every whole text is a possible header, and so is every run of consecutive lines with
+at most ``RUN`` times the terms of the longest template, wherever it starts; lines without terms
+do not count, so a comment or paragraph of that length is such a run. Lines, runs and whole texts
+are compared with templates by TF-IDF cosine: inverse document frequencies of the templates' terms
+are counted over all files, a term of no template weighs as one that no file holds. A run that lacks
+a number of a template (a version) is none of it. A line or run of ``HEADER`` similarity or more
+gives its file a licence of its own; a file is a licence file of its directory if
 its name says so and it has a licence of its own, or if its whole text reaches ``WHOLE``. A file
 without a licence of its own takes that of the nearest directory above it (or its own) that has a
 licence file.
@@ -17,6 +20,7 @@ Repeated rows get the same result each. Only ``path`` and ``text`` are read, oth
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -31,6 +35,7 @@ from tierline.llm.hashing import Words, slices
 
 HEADER = 0.75
 WHOLE = 0.5
+RUN = 2
 FILE_NAME = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
 
 # Short notices by SPDX id.
@@ -68,12 +73,14 @@ class Templates:
             v = {t: n * self.idf[t] for t, n in c.items()}
             norm = math.sqrt(sum(x * x for x in v.values())) or 1.0
             self.vectors.append({t: x / norm for t, x in v.items()})
+        self.numbers = [set(_terms(" ".join(re.findall(r"\b[0-9]+\b", t)))) for _, t in templates]
+        self.longest = max((sum(c.values()) for c in counts), default=0)
 
-    def best(self, terms: Counter) -> tuple[float, str] | None:
-        """Largest cosine and its licence."""
+    def best(self, terms: Counter, *, numbers: bool = False) -> tuple[float, str] | None:
+        """Largest cosine and its licence; with ``numbers`` only of templates whose numbers are all among the terms."""
         weights = {t: n * self.idf.get(t, self.unseen) for t, n in terms.items()}
         norm = math.sqrt(sum(w * w for w in weights.values()))
-        found = [(sum(w * v[t] for t, w in weights.items() if t in v) / norm, name) for name, v in zip(self.names, self.vectors)] if norm else []
+        found = [(sum(w * v[t] for t, w in weights.items() if t in v) / norm, name) for name, v, own in zip(self.names, self.vectors, self.numbers) if not numbers or own <= terms.keys()] if norm else []
         return min(found, key=lambda f: (-round(f[0], 9), f[1]), default=None)
 
 
@@ -97,10 +104,54 @@ def frequencies(files: DataFrame, templates=TEMPLATES) -> tuple[int, dict[int, i
     return found.get(-1, 0), {int(t): found.get(i, 0) for i, t in enumerate(vocabulary)}
 
 
+def _runs(words: Words, hit: np.ndarray, at: np.ndarray, weight: np.ndarray, vectors: np.ndarray, unseen: float, longest: int, header: float):
+    """First word, end and largest possible cosine of the runs of two and more lines that can reach ``header``, best first in each row.
+
+    The possible cosine takes every unknown term as a different one, so it is never too small.
+    """
+    line = np.searchsorted(np.flatnonzero(words.data == 0x0A), words.start)
+    row = np.repeat(np.arange(len(words.rows) - 1), words.counts())
+    heads = np.flatnonzero((np.diff(line, prepend=-1) != 0) | (np.diff(row, prepend=-1) != 0))
+    ends = np.append(heads[1:], len(line))
+    first = np.arange(len(heads))
+    known = np.concatenate([[0], np.cumsum(hit)])
+    first = first[known[ends] > known[heads]]
+    terms = np.concatenate([[0.0], np.cumsum(np.where(hit, weight[at], unseen**2))])
+    hits = np.concatenate([[0.0], np.cumsum(np.where(hit, weight[at], 0.0))])
+    starts, stops = [], []
+    for k in range(1, longest):
+        first = first[first + k < len(heads)]
+        last = first + k
+        first = first[(row[heads[last]] == row[heads[first]]) & (ends[last] - heads[first] <= longest)]
+        if not len(first):
+            break
+        a, b = heads[first], ends[first + k]
+        good = (hits[b] - hits[a] >= header * header / 4 * (terms[b] - terms[a])) & (known[b] > known[heads[first + k]])
+        starts.append(a[good]), stops.append(b[good])
+    start, stop = np.concatenate([np.zeros(0, np.int64), *starts]), np.concatenate([np.zeros(0, np.int64), *stops])
+    bound = np.zeros(len(start))
+    root = np.sqrt(weight)
+    for p in range(0, len(start), 2048):
+        a, b = start[p : p + 2048], stop[p : p + 2048]
+        place = a[:, None] + np.arange(longest)
+        inside = place < b[:, None]
+        place = np.minimum(place, len(hit) - 1)
+        seen = inside & hit[place]
+        counts = np.zeros((len(a), len(weight)))
+        np.add.at(counts, (np.nonzero(seen)[0], at[place[seen]]), 1)
+        tf = counts * root
+        norm = np.sqrt((tf * tf).sum(axis=1) + unseen**2 * (inside & ~seen).sum(axis=1))
+        bound[p : p + 2048] = (tf @ vectors.T).max(axis=1) / norm
+    keep = np.flatnonzero(bound >= header - 1e-9)
+    keep = keep[np.lexsort((-bound[keep], row[start[keep]]))]
+    return start[keep], stop[keep], bound[keep], row[start[keep]]
+
+
 def own_licenses(files: DataFrame, model: Templates, *, header: float = HEADER) -> DataFrame:
-    """``files`` with own_license, own_score (best line of ``header`` or more), own_line, whole_license and whole_score."""
+    """``files`` with own_license, own_score (best line or run of ``header`` or more), own_line (its first), whole_license and whole_score."""
     known = np.array(sorted(model.idf), np.uint64)
     weight = np.array([model.idf[int(t)] ** 2 for t in known])
+    vectors = np.array([[v.get(int(t), 0.0) for t in known] for v in model.vectors])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -109,6 +160,7 @@ def own_licenses(files: DataFrame, model: Templates, *, header: float = HEADER)
             at = np.minimum(np.searchsorted(known, words.hash), max(len(known) - 1, 0))
             hit = (known[at] == words.hash) if len(known) else np.zeros(len(words.hash), bool)
             out = []
+            runs = _runs(words, hit, at, weight, vectors, model.unseen, RUN * model.longest, header) if hit.any() else None
             for i in range(part.num_rows):
                 a, b = words.rows[i], words.rows[i + 1]
                 best, line_no, whole = None, None, None
@@ -126,6 +178,13 @@ def own_licenses(files: DataFrame, model: Templates, *, header: float = HEADER)
                         got = model.best(Counter(words.hash[a + heads[x] : a + ends[x]].tolist()))
                         if got and got[0] >= header and (best is None or (-round(got[0], 9), got[1]) < (-round(best[0], 9), best[1])):
                             best, line_no = got, int(line[heads[x]])
+                    for x in range(*np.searchsorted(runs[3], [i, i + 1])):
+                        # Best first: no later run can be better. The slack keeps ties.
+                        if best is not None and runs[2][x] < best[0] - 1e-8:
+                            break
+                        got = model.best(Counter(words.hash[runs[0][x] : runs[1][x]].tolist()), numbers=True)
+                        if got and got[0] >= header and (best is None or (-round(got[0], 9), got[1]) < (-round(best[0], 9), best[1])):
+                            best, line_no = got, int(line[runs[0][x] - a])
                 out.append((best and best[1], best and best[0], line_no, whole and whole[1], whole and whole[0]))
             columns = list(zip(*out))
             kinds = (pa.string(), pa.float64(), pa.int32(), pa.string(), pa.float64())
