@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierline.functions.names import col
 from tierline.functions.spread import materialize
 from tierline.llm import decontamination, language, near_dedup, packing, secrets
 
@@ -20,15 +21,15 @@ SHINGLE, PERCENT = 5, 80
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without letters and those that no language dominates."""
+    """Rejects documents without letters and those that no language dominates, each row by its own text."""
     model = language.train(docs.filter(~F.coalesce(language.held_out(F.col("doc_id")), F.lit(False))))
-    found = language.identify(docs, model)
-    rejected = found.filter((F.col("lang_pred") == language.UNKNOWN) | (F.col("score") < LEAST_SHARE)).select(F.col("doc_id").alias("__rejected")).distinct()
-    return docs.join(rejected, F.col("doc_id").eqNullSafe(F.col("__rejected")), "left_anti")
+    # The row goes through the model with its text, so that no id has to find it again.
+    found = language.identify(docs, model, key=F.struct(*[col(c) for c in docs.columns]))
+    return found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE)).select("doc_id.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest id of each group of near duplicates."""
+    """Keeps the smallest id of each group of near duplicates, whatever rows share an id."""
     return near_dedup.keep_one(docs, shingle=SHINGLE, percent=PERCENT)
 
 

@@ -108,6 +108,38 @@ def test_near_duplicates_keep_one(spark):
     assert near_dedup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def with_ids(spark, rows):
+    return spark.createDataFrame([(i, t, "en", "s", None, "x", 1, 2, "w", 3, 4) for i, t in rows], SCHEMA).repartition(3)
+
+
+def test_keep_one_decides_by_row(spark):
+    """Null and reused ids: only texts that are alike, or repeated rows, are copies."""
+    texts = [" ".join(f"{name}{i}" for i in range(60)) for name in "abcdef"]
+    near = texts[0].replace("a30", "z")
+    rows = [(None, texts[0]), (None, near), (None, texts[1]), (None, texts[2]), (5, texts[3]), (5, texts[4]), (2, texts[3] + " end"), (5, texts[4]), (7, texts[2]),
+            (None, ""), (None, ""), (None, None), (None, None), (8, None), (8, ""), (8, " "), (9, None), (9, texts[5]), (5, texts[5])]
+    kept = [(r.doc_id, r.text) for r in near_dedup.keep_one(with_ids(spark, rows)).collect()]
+    want = [(None, texts[1]), (5, texts[4]), (2, texts[3] + " end"), (7, texts[2]), (5, texts[5]), (None, ""), (None, None), (8, None), (8, ""), (8, " "), (9, None)]
+    assert len(kept) == len(want) + 1 and set(want) < set(kept)
+
+
+def test_clean_rows_stay_beside_bad_ones_of_their_id(spark):
+    bench = spark.createDataFrame([(1, BASE)], "item_id long, text string")
+    clean = [(None, "entirely other words here"), (None, None), (3, "clean words under a reused id"), (4, "more of them")]
+    kept = decontamination.without_contaminated(with_ids(spark, [*clean, (None, BASE), (3, BASE)]), bench)
+    assert sorted(map(str, [(r.doc_id, r.text) for r in kept.collect()])) == sorted(map(str, clean))
+
+
+def test_language_stage_rejects_by_row(spark):
+    import corpus_pipeline
+
+    good = [(None, "the weather and this thought"), (None, "that with the other"), (3, "this thought and the weather")]
+    docs = with_ids(spark, [*good, (None, None), (None, "12 34"), (3, ""), (1, "weather thought the and this")])
+    kept = corpus_pipeline.identify_language(spark, docs, "")
+    assert kept.columns == docs.columns and kept.schema.simpleString() == docs.schema.simpleString()
+    assert sorted(map(str, [(r.doc_id, r.text) for r in kept.collect()])) == sorted(map(str, [*good, (1, "weather thought the and this")]))
+
+
 def test_estimate_is_corrected_for_chance(spark):
     rng = np.random.default_rng(5)
     shared, a, b = (rng.integers(0, 2**63, n, dtype=np.uint64) for n in (3000, 1000, 1000))

@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierline.functions.spread import materialize
+
+ROW = "__row"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -35,3 +38,8 @@ def text_of(column: str = "text") -> Column:
 def partitions_for(df: DataFrame) -> int:
     """As many shuffle partitions as the session asks for."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` written with a number of each row: null and reused ids do not tell rows apart."""
+    return materialize(df.withColumn(ROW, F.monotonically_increasing_id()), "rows")

@@ -21,8 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierline.functions.names import col
 from tierline.functions.spread import materialize
-from tierline.llm.common import query, read
+from tierline.llm.common import ROW, numbered, query, read
 from tierline.llm.hashing import Words, mix, signed, slices, sliding_min
 
 WINDOW = 13
@@ -170,9 +171,11 @@ def is_contaminated(n_hit="n_hit", n_words="n_words"):
 
 
 def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that are not contaminated, with all their columns."""
-    bad = contamination(documents, benchmark).filter(is_contaminated()).select(F.col("doc_id").alias("__bad")).distinct()
-    return documents.join(bad, F.col("doc_id").eqNullSafe(F.col("__bad")), "left_anti")
+    """The documents that are not contaminated, with all their columns; each row is judged by its own text."""
+    rows = numbered(documents)
+    found = contamination(rows.select(F.col(ROW).alias("doc_id"), "text"), benchmark)
+    bad = found.filter(is_contaminated()).select(F.col("doc_id").alias(ROW))
+    return rows.join(bad, ROW, "left_anti").select(*[col(c) for c in documents.columns])
 
 
 _WORDS_SQL = r"regexp_extract_all(regexp_replace(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), '[^ ]+')"

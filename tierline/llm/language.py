@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierline.llm.common import query, read
 from tierline.llm.hashing import slices, text_bytes
@@ -184,12 +185,15 @@ def viterbi(scores: np.ndarray, counts: np.ndarray, penalty: float) -> np.ndarra
     return labels
 
 
-PREDICTED = "doc_id long, lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>"
+PREDICTED = (
+    T.StructType().add("lang_pred", "string").add("score", "double")
+    .add("spans", T.ArrayType(T.StructType().add("start", "integer").add("end", "integer").add("lang", "string")))
+)
 _SPAN = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
 
 
-def identify(documents: DataFrame, model: Model, *, penalty: float = SWITCH) -> DataFrame:
-    """Per row: doc_id, lang_pred, score and the labelled spans (code points)."""
+def identify(documents: DataFrame, model: Model, *, penalty: float = SWITCH, key: Column | None = None) -> DataFrame:
+    """Per row: doc_id (or ``key``, e.g. the whole row), lang_pred, score and the labelled spans (code points)."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def finish(held: list) -> pa.RecordBatch:
@@ -214,17 +218,17 @@ def identify(documents: DataFrame, model: Model, *, penalty: float = SWITCH) ->
         share = letters[np.arange(len(best)), best] / np.maximum(total, 1)
         names = [languages[b] if t else UNKNOWN for b, t in zip(best, total)]
         return pa.RecordBatch.from_arrays(
-            [pa.array([x for h in held for x in h[0]], pa.int64()), pa.array(names, pa.string()), pa.array(share, pa.float64()), lists.cast(_SPAN)],
+            [pa.concat_arrays([h[0] for h in held]), pa.array(names, pa.string()), pa.array(share, pa.float64()), lists.cast(_SPAN)],
             names=["doc_id", "lang_pred", "score", "spans"],
         )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, held, size = shared.value, [], 0
         for part in slices(batches, "text"):
-            ids = part.column(0).to_pylist()
+            ids = part.column(0)
             if not model.languages:
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([UNKNOWN] * len(ids)), pa.array([0.0] * len(ids)), pa.array([[]] * len(ids), _SPAN)], names=["doc_id", "lang_pred", "score", "spans"]
+                    [ids, pa.array([UNKNOWN] * len(ids)), pa.array([0.0] * len(ids)), pa.array([[]] * len(ids), _SPAN)], names=["doc_id", "lang_pred", "score", "spans"]
                 )
                 continue
             words = Letters(part.column(1))
@@ -243,8 +247,9 @@ def identify(documents: DataFrame, model: Model, *, penalty: float = SWITCH) ->
         if held:
             yield finish(held)
 
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(work, PREDICTED)
+    key = F.col("doc_id").cast("long") if key is None else key
+    docs = documents.select(key.alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return docs.mapInArrow(work, T.StructType([docs.schema[0], *PREDICTED]))
 
 
 def held_out(doc_id: Column) -> Column:

@@ -34,8 +34,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tierline.functions.names import col
 from tierline.functions.spread import materialize
-from tierline.llm.common import partitions_for, query, read
+from tierline.llm.common import ROW, numbered, partitions_for, query, read
 from tierline.llm.hashing import Words, mix, slices
 
 SHINGLE = 3
@@ -285,11 +286,19 @@ def near_duplicates(
 
 
 def keep_one(documents: DataFrame, **options) -> DataFrame:
-    """One row of each component, with all its columns: the smallest id, and of repeated rows one."""
-    gone = near_duplicates(documents, **options).filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    left = documents.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
-    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))
-    return left.withColumn("__rank", rank).filter("__rank = 1").drop("__rank")
+    """One row of each component, with all its columns: the smallest id (null ids last), and of repeated rows one.
+
+    Rows are told apart by a number, so null and reused ids link nothing: only rows with near
+    texts, or with the same id and the same text without words, are copies of each other.
+    """
+    rows = numbered(documents)
+    found = near_duplicates(rows.select(F.col(ROW).alias("doc_id"), "text"), **options).withColumnRenamed("doc_id", ROW)
+    blank = F.struct(F.col("doc_id"), F.col("text"))
+    named = rows.select(ROW, "doc_id", "text").join(found, ROW)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW))[ROW].alias(ROW)
+    winners = named.filter("n_shingles > 0").groupBy("component_id").agg(first).select(ROW)
+    winners = winners.unionByName(named.filter("n_shingles = 0").groupBy(blank).agg(F.min(ROW).alias(ROW)).select(ROW))
+    return rows.join(winners, ROW, "left_semi").select(*[col(c) for c in documents.columns])
 
 
 OP5_SQL = r"""
