@@ -179,6 +179,16 @@ def test_repeated_spans(spark, monkeypatch, group):
     assert suffixes.repeated_spans(docs.limit(0)).count() == 0
 
 
+def test_null_ids_lose_repeated_spans(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "GROUP", 2)
+    rng = np.random.default_rng(11)
+    text, other = ("".join(chr(97 + c) for c in rng.integers(0, 26, 900)) for _ in range(2))
+    rows = [(None, text), (1, "x" + text[300:560] + "y"), (None, other), (2, other[:300] + "é" + other[300:]), (None, None), (None, other[100:350] + text[:250])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id or 0, suffixes.kept_bytes(r.text.encode(), r.cuts)) for r in suffixes.repeated_spans(docs, length=100, gram=16).collect())
+    assert got == sorted((i or 0, kept) for (i, _), (kept, _) in zip(rows, brute_repeats([t for _, t in rows], 100)))
+
+
 def test_repeated_rows_remove_each_other(spark):
     text = " ".join(f"w{i}" for i in range(200))
     docs = documents(spark, [text])

@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.functions.spread import materialize
@@ -324,7 +324,12 @@ def repeated_spans(documents: DataFrame, *, length: int = LENGTH, gram: int = GR
         F.struct("gram", "run", "one.at", "one.first", "one.last", F.ceil(F.col("different") / GROUP).cast("int").alias("parts")).alias("c"),
     )
     chosen = open_runs.groupBy("doc_id", "print").agg(F.collect_list("c").alias("chosen"))
-    one_each = keyed.join(chosen, ["doc_id", "print"]).dropDuplicates(["doc_id", "print"]).select("text", "chosen")
+    # Null ids are ids like others.
+    def same() -> Column:
+        return F.col("print").eqNullSafe(F.col("__print")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+
+    chosen = chosen.withColumnsRenamed({"doc_id": "__id", "print": "__print"})
+    one_each = keyed.join(chosen, same()).dropDuplicates(["doc_id", "print"]).select("text", "chosen")
     partly = _match(_cut_runs(one_each, length), length)
 
     whole = runs.filter("n > 1").select("gram", "run", F.lit(0).alias("a"), (F.col("one.last") - F.col("one.first")).cast("int").alias("b"))
@@ -343,7 +348,8 @@ def repeated_spans(documents: DataFrame, *, length: int = LENGTH, gram: int = GR
         ).otherwise(F.concat(done, F.array(c))),
     )
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    return keyed.join(cuts.withColumn("cuts", merged), ["doc_id", "print"], "left").select(
+    cuts = cuts.withColumn("cuts", merged).withColumnsRenamed({"doc_id": "__id", "print": "__print"})
+    return keyed.join(cuts, same(), "left").select(
         "doc_id", "text", F.coalesce("cuts", none).alias("cuts")
     )
 
