@@ -6,7 +6,7 @@ import importlib
 
 from tierline.llm.common import QUERIES, SQL
 
-for _module in ("bit_sliced", "chat", "collocations", "decontamination", "language", "licenses", "near_dedup", "packing", "secrets", "spelling", "suffixes", "token_files"):
+for _module in ("bit_sliced", "chat", "collocations", "decontamination", "html_text", "language", "licenses", "near_dedup", "packing", "secrets", "spelling", "suffixes", "token_files"):
     importlib.import_module(f"tierline.llm.{_module}")
 
 __all__ = ["QUERIES", "SQL"]
