@@ -243,13 +243,12 @@ def collocations(
     Fingerprints have ``bits`` bits; fewer make more of them collide, which changes no result.
     """
     bitmaps: dict[int, np.ndarray] = {}
-    levels = [range(1, 2), range(2, 3), range(3, longest + 1)]
+    levels = [sizes for sizes in (range(1, 2), range(2, 3), range(3, longest + 1)) if len(sizes)]
     pointers = None
     for sizes in levels:
-        if not len(sizes):
-            continue
         found = materialize(fingerprints(documents, sizes, bitmaps, least, bits), "fingerprints")
-        pointers = found if pointers is None else pointers.unionByName(found)
+        leveled = found.select("print", "doc_id", "word", F.lit(sizes[0]).alias("level"))
+        pointers = leveled if pointers is None else pointers.unionByName(leveled)
         bitmap = bitmap_of(found)
         bitmaps |= {n: bitmap for n in sizes}
     spelt = materialize(verified(documents, bitmaps, longest, bits), "phrases")
@@ -275,16 +274,16 @@ def collocations(
         .groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
     )
     kept = (
-        candidates.select("lang", "phrase", "print", "a").join(inside, ["lang", "phrase"], "left")
+        candidates.select("lang", "phrase", "print", F.least("n_words", F.lit(levels[-1][0])).alias("level"), "a").join(inside, ["lang", "phrase"], "left")
         .filter(F.col("longer").isNull() | (100 * wide("longer") < share * wide("a")))
         .join(weakest, ["lang", "phrase"])
-        .select("lang", "phrase", "print", "a", "cut.l", "cut.r", "cut.score")
+        .select("lang", "phrase", "print", "level", "a", "cut.l", "cut.r", "cut.score")
     )
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
     best = kept if top is None else top_per_key(kept, ["lang"], order, top, rank="rank")
     total = spelt.filter("n_words = 0").select("lang", F.col("a").alias("n"))
     # Where two phrases share a fingerprint, the pointer shows one of them.
-    return best.join(total, "lang").join(pointers.select("print", "doc_id", "word"), "print", "left").drop("print")
+    return best.join(total, "lang").join(pointers, ["print", "level"], "left").drop("print", "level")
 
 
 _SQL = r"""
