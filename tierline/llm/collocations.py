@@ -15,7 +15,7 @@ counts are per language (null: ``und``), which is part of the fingerprint.
 3. Every cut of a candidate is scored from the counts of its parts, which are frequent as well.
 
 Rows are counted in each slice of a task before they are shuffled, so a hot word or phrase sends one
-row a slice. Counts of parts are joined by salted keys. Null and empty texts have no words; repeated
+row a slice. Counts of parts are joined by key, those of the few most frequent parts by a broadcast. Null and empty texts have no words; repeated
 rows count as often as they occur; ties go to the shorter first part and to the phrase that comes first
 in byte order. A pointer of rows that share an id (or have none) names the id only. ``doc_id``,
 ``text`` and ``lang`` are read, other columns may have any name. Empty tables give no rows.
@@ -42,8 +42,9 @@ NO_LANGUAGE = "und"
 #: Bits of the bitmap of frequent fingerprints: this many for each, up to the bound.
 BITS_EACH, MOST_BITS = 64, 1 << 28
 _BUCKET_BITS = 32768  # of Spark's bitmap functions
-_SALTS = 8
-_SLICE = 4 << 20
+_RANKERS = 64
+#: Parts that make up this share of all words or more are joined by a broadcast: so many of each length at most.
+MOST_HOT = 1000
 # Longer words are compared as strings of bytes.
 _STEPS = 24
 
@@ -102,9 +103,20 @@ class Phrases:
                 first = first[may[first + k]]
         return first, self.hashes(first, n)
 
-    def text(self, first: np.ndarray, n: int) -> list[str]:
-        raw, start, end = self._lowered(), self.words.start, self.words.end
-        return [b" ".join(raw[s:e] for s, e in zip(start[f : f + n], end[f : f + n])).decode("utf-8", "replace") for f in first]
+    def text(self, first: np.ndarray, n: int) -> pa.Array:
+        """The words of each phrase with one blank between them, gathered from the bytes of the slice."""
+        data = np.frombuffer(self._lowered() + b" ", np.uint8)
+        words = first[:, None] + np.arange(n)
+        start, end = self.words.start[words].ravel(), self.words.end[words].ravel()
+        blank = np.ones(len(start), np.int64)
+        blank[n - 1 :: n] = 0
+        length = end - start + blank
+        after = np.cumsum(length)
+        at = np.repeat(start - (after - length), length) + np.arange(after[-1] if len(after) else 0)
+        at[after[blank == 1] - 1] = len(data) - 1
+        offsets = np.concatenate([[0], after[n - 1 :: n]]).astype(np.int64)
+        spelt = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(data[at])])
+        return spelt.cast(pa.large_string()).cast(pa.string())
 
     def _lowered(self) -> bytes:
         if not hasattr(self, "_raw"):
@@ -175,7 +187,7 @@ def fingerprints(documents: DataFrame, sizes: range, bitmaps: dict[int, np.ndarr
     shared = documents.sparkSession.sparkContext.broadcast(bitmaps)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", _SLICE):
+        for part in slices(batches, "text"):
             found = Phrases(part, bits)
             ids = part.column(0)
             for n in sizes:
@@ -188,47 +200,67 @@ def fingerprints(documents: DataFrame, sizes: range, bitmaps: dict[int, np.ndarr
                     names=["print", "a", "doc_id", "word"],
                 )
 
-    # Dealt before they are added up: nearly all rows of a task differ, so adding them up first would only sort them.
-    dealt = _texts(documents).mapInArrow(scan, COUNTED).repartition(F.col("print"))
+    found = _texts(documents).mapInArrow(scan, COUNTED)
+    # Words come back in every slice of a task, so they are added up in it; nearly all phrases of a task differ, so they are dealt first.
+    dealt = found if sizes[0] == 1 else found.repartition(F.col("print"))
     summed = dealt.groupBy("print").agg(F.sum("a").alias("a"), F.min("doc_id").alias("doc_id"), F.min_by("word", "doc_id").alias("word"))
     return summed.filter(F.col("a") >= least)
 
 
-SPELT = "lang string, n_words int, phrase string, print long, a long"
+SPELT = "lang string, phrase string, a long"
 
 
 def verified(documents: DataFrame, bitmaps: dict[int, np.ndarray], longest: int, bits: int = 64) -> DataFrame:
     """Frequent phrases by their words, with exact counts; the phrase of no words counts all words of the language."""
     shared = documents.sparkSession.sparkContext.broadcast(bitmaps)
 
-    def rows(lang: list[str], n: int, phrase: list[str], prints: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(lang, pa.string()), pa.array([n] * len(lang), pa.int32()), pa.array(phrase, pa.string()), signed(prints), pa.array(counts.astype(np.int64))],
-            names=["lang", "n_words", "phrase", "print", "a"],
-        )
-
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", _SLICE):
+        for part in slices(batches, "text"):
             found = Phrases(part, bits)
-            words = np.bincount(found.lang[found.row], minlength=len(found.langs)) if found.count else np.zeros(len(found.langs), np.int64)
-            yield rows(found.langs, 0, [""] * len(words), np.zeros(len(words), np.uint64), words)
+            langs = pa.array(found.langs, pa.string())
+            words = np.bincount(found.lang[found.row], minlength=len(langs)) if found.count else np.zeros(len(langs), np.int64)
+            yield pa.RecordBatch.from_arrays([langs, pa.array([""] * len(langs), pa.string()), pa.array(words.astype(np.int64))], names=["lang", "phrase", "a"])
             for n in range(1, longest + 1):
                 first, h = found.frequent(n, shared.value)
                 while len(first):
-                    prints, at, group = np.unique(h, return_index=True, return_inverse=True)
+                    _, at, group = np.unique(h, return_index=True, return_inverse=True)
                     shown = first[at]
                     equal = found.same(first, shown[group], n)
-                    lang = [found.langs[i] for i in found.lang[found.row[shown]]]
-                    yield rows(lang, n, found.text(shown, n), prints, np.bincount(group[equal], minlength=len(prints)))
+                    counts = np.bincount(group[equal], minlength=len(shown)).astype(np.int64)
+                    lang = langs.take(pa.array(found.lang[found.row[shown]]))
+                    yield pa.RecordBatch.from_arrays([lang, found.text(shown, n), pa.array(counts)], names=["lang", "phrase", "a"])
                     # Another phrase with the same fingerprint is counted as one of its own.
                     first, h = first[~equal], h[~equal]
 
-    return _texts(documents).mapInArrow(scan, SPELT).groupBy("lang", "n_words", "phrase", "print").agg(F.sum("a").alias("a"))
+    return _texts(documents).mapInArrow(scan, SPELT).groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
+
+
+def _printed(phrases: DataFrame, bits: int) -> DataFrame:
+    """The fingerprints of phrases that were spelt out: lang, phrase, print."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "phrase"):
+            found = Phrases(pa.RecordBatch.from_arrays([part.column(1), part.column(1), part.column(0)], names=["doc_id", "text", "lang"]), bits)
+            sizes = found.words.counts()
+            prints = np.zeros(part.num_rows, np.uint64)
+            for n in np.unique(sizes):
+                mine = sizes == n
+                prints[mine] = found.hashes(found.words.rows[:-1][mine], int(n))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), signed(prints)], names=["lang", "phrase", "print"])
+
+    return phrases.select("lang", "phrase").mapInArrow(scan, "lang string, phrase string, print long")
+
 
+def _with_part(cuts: DataFrame, parts: DataFrame, side: str, name: str, hot: int) -> DataFrame:
+    """``cuts`` with the count of the part in ``side``.
 
-def _salted(df: DataFrame, key: Column) -> DataFrame:
-    """One short word may be a part of very many phrases: its rows are dealt to several tasks."""
-    return df.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(_SALTS)).cast("int"))
+    A part that occurs ``hot`` times may be a part of many phrases, but there are few such parts:
+    they are joined where the cuts are. Any other one is a part of at most hot / 10 of them.
+    """
+    part = parts.select("lang", F.col("phrase").alias(side), F.col("a").alias(name))
+    found = cuts.join(F.broadcast(part.filter(F.col(name) >= hot)), ["lang", side], "left")
+    rest = found.filter(F.col(name).isNull()).drop(name).join(part.filter(F.col(name) < hot), ["lang", side])
+    return found.filter(F.col(name).isNotNull()).unionByName(rest)
 
 
 def _words(phrase: Column, first: Column, n: Column) -> Column:
@@ -252,18 +284,18 @@ def collocations(
         bitmap = bitmap_of(found)
         bitmaps |= {n: bitmap for n in sizes}
     spelt = materialize(verified(documents, bitmaps, longest, bits), "phrases")
-    phrases = spelt.filter((F.col("n_words") > 0) & (F.col("a") >= least))
-
+    total = spelt.filter(F.col("phrase") == "").select("lang", F.col("a").alias("n"))
     words = F.split("phrase", " ", -1)
-    candidates = phrases.filter("n_words > 1").select("lang", "phrase", "n_words", "print", "a", words.alias("w"))
+    phrases = spelt.filter((F.col("phrase") != "") & (F.col("a") >= least)).withColumn("n_words", F.size(words))
+
+    candidates = phrases.filter("n_words > 1").withColumn("w", words)
     k = F.col("k")
     cuts = candidates.select("lang", "phrase", "n_words", "a", "w", F.explode(F.sequence(F.lit(1), F.col("n_words") - 1)).alias("k"))
-    cuts = cuts.select("lang", "phrase", "a", "k", _words(F.col("w"), F.lit(1), k).alias("left"), _words(F.col("w"), k + 1, F.col("n_words") - k).alias("right"))
-    parts = phrases.filter(F.col("n_words") < longest).select("lang", "phrase", "a", F.explode(F.array([F.lit(i) for i in range(_SALTS)])).alias("salt"))
-    scored = _salted(cuts, F.col("phrase"))
+    scored = cuts.select("lang", "phrase", "a", "k", _words(F.col("w"), F.lit(1), k).alias("left"), _words(F.col("w"), k + 1, F.col("n_words") - k).alias("right"))
+    parts = phrases.filter(F.col("n_words") < longest)
+    hot = max(least, (total.agg(F.sum("n")).first()[0] or 0) // MOST_HOT)
     for side, name in (("left", "l"), ("right", "r")):
-        part = parts.select("lang", F.col("phrase").alias(side), "salt", F.col("a").alias(name))
-        scored = scored.join(part, ["lang", side, "salt"])
+        scored = _with_part(scored, parts, side, name, hot)
     wide = lambda c: F.col(c).cast("decimal(20,0)")
     score = F.expr(f"(cast({SCALE} as decimal(8,0)) * cast(a as decimal(20,0))) div (cast(l as decimal(20,0)) + cast(r as decimal(20,0)))")
     weakest = scored.withColumn("score", score).groupBy("lang", "phrase").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
@@ -274,16 +306,21 @@ def collocations(
         .groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
     )
     kept = (
-        candidates.select("lang", "phrase", "print", F.least("n_words", F.lit(levels[-1][0])).alias("level"), "a").join(inside, ["lang", "phrase"], "left")
+        candidates.select("lang", "phrase", "a").join(inside, ["lang", "phrase"], "left")
         .filter(F.col("longer").isNull() | (100 * wide("longer") < share * wide("a")))
         .join(weakest, ["lang", "phrase"])
-        .select("lang", "phrase", "print", "level", "a", "cut.l", "cut.r", "cut.score")
+        .select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
     )
-    order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
-    best = kept if top is None else top_per_key(kept, ["lang"], order, top, rank="rank")
-    total = spelt.filter("n_words = 0").select("lang", F.col("a").alias("n"))
+    if top is not None:
+        # The rows of one language are first cut down in several tasks.
+        order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
+        dealt = kept.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(_RANKERS)))
+        kept = top_per_key(top_per_key(dealt, ["lang", "part"], order, top).drop("part"), ["lang"], order, top, rank="rank")
+    kept = materialize(kept, "collocations")
+    level = F.least(F.size(words), F.lit(levels[-1][0]))
+    known = kept.join(_printed(kept, bits), ["lang", "phrase"]).withColumn("level", level)
     # Where two phrases share a fingerprint, the pointer shows one of them.
-    return best.join(total, "lang").join(pointers, ["print", "level"], "left").drop("print", "level")
+    return known.join(total, "lang").join(pointers, ["print", "level"], "left").drop("print", "level")
 
 
 _SQL = r"""
