@@ -193,7 +193,9 @@ def fingerprints(documents: DataFrame, sizes: range, bitmaps: dict[int, np.ndarr
             for n in sizes:
                 first, h = found.frequent(n, shared.value)
                 prints, at, counts = np.unique(h, return_index=True, return_counts=True)
-                first = first[at]
+                # In the order of the text: pointers of neighbouring rows are alike and take little room.
+                order = np.argsort(at)
+                prints, counts, first = prints[order], counts[order], first[at[order]]
                 row = found.row[first]
                 yield pa.RecordBatch.from_arrays(
                     [signed(prints), pa.array(counts.astype(np.int64)), ids.take(pa.array(row)), pa.array(first - found.words.rows[row])],
