@@ -5,13 +5,14 @@ with A-Z lowered. A prefix polynomial over the bytes hashes every word and anoth
 words hashes every phrase of up to ``LONGEST`` words, whatever its length, by two lookups. All
 counts are per language (null: ``und``), which is part of the fingerprint.
 
-1. Fingerprints are counted by a shuffle that also keeps a pointer to an occurrence (document,
-   word), level by level: pairs only of words that are frequent, longer phrases only where every
-   shorter part of two words (for pairs: one) is. What is frequent is known to the tasks as a
+1. A shuffle adds up the counts of fingerprints, level by level: pairs only of words that are frequent,
+   longer phrases only where every pair in them is. What is frequent is known to the tasks as a
    bitmap of hashes of bounded size; its false positives cost rows in the shuffle, nothing else.
 2. The texts are read once more: each occurrence of a frequent fingerprint is compared with
-   the text of the phrase it stands for in its task, and counts are added up by the words themselves, so
-   phrases that share a fingerprint are told apart. Only frequent phrases are ever spelt out.
+   the text it stands for in its slice, and counts are added up by the words themselves with a pointer
+   to an occurrence (document, word), so phrases that share a fingerprint are told apart. Only
+   frequent phrases are ever spelt out. Pointers go with these rows only, because they would double the
+   shuffle of all the others.
 3. Every cut of a candidate is scored from the counts of its parts, which are frequent as well.
 
 Rows are counted in each slice of a task before they are shuffled, so a hot word or phrase sends one
@@ -179,41 +180,28 @@ def _texts(documents: DataFrame) -> DataFrame:
     )
 
 
-COUNTED = "print long, a long, doc_id long, word long"
-
-
 def fingerprints(documents: DataFrame, sizes: range, bitmaps: dict[int, np.ndarray], least: int = LEAST, bits: int = 64) -> DataFrame:
-    """Fingerprints of phrases of ``sizes`` words with at least ``least`` occurrences: count and a pointer to one of them."""
+    """Fingerprints of phrases of ``sizes`` words with at least ``least`` occurrences."""
     shared = documents.sparkSession.sparkContext.broadcast(bitmaps)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             found = Phrases(part, bits)
-            ids = part.column(0)
             for n in sizes:
-                first, h = found.frequent(n, shared.value)
-                prints, at, counts = np.unique(h, return_index=True, return_counts=True)
-                # In the order of the text: pointers of neighbouring rows are alike and take little room.
-                order = np.argsort(at)
-                prints, counts, first = prints[order], counts[order], first[at[order]]
-                row = found.row[first]
-                yield pa.RecordBatch.from_arrays(
-                    [signed(prints), pa.array(counts.astype(np.int64)), ids.take(pa.array(row)), pa.array(first - found.words.rows[row])],
-                    names=["print", "a", "doc_id", "word"],
-                )
-
-    found = _texts(documents).mapInArrow(scan, COUNTED)
+                prints, counts = np.unique(found.frequent(n, shared.value)[1], return_counts=True)
+                yield pa.RecordBatch.from_arrays([signed(prints), pa.array(counts.astype(np.int64))], names=["print", "a"])
+
+    found = _texts(documents).mapInArrow(scan, "print long, a long")
     # Words come back in every slice of a task, so they are added up in it; nearly all phrases of a task differ, so they are dealt first.
     dealt = found if sizes[0] == 1 else found.repartition(F.col("print"))
-    summed = dealt.groupBy("print").agg(F.sum("a").alias("a"), F.min("doc_id").alias("doc_id"), F.min_by("word", "doc_id").alias("word"))
-    return summed.filter(F.col("a") >= least)
+    return dealt.groupBy("print").agg(F.sum("a").alias("a")).filter(F.col("a") >= least).select("print")
 
 
-SPELT = "lang string, phrase string, a long"
+SPELT = "lang string, phrase string, a long, doc_id long, word long"
 
 
 def verified(documents: DataFrame, bitmaps: dict[int, np.ndarray], longest: int, bits: int = 64) -> DataFrame:
-    """Frequent phrases by their words, with exact counts; the phrase of no words counts all words of the language."""
+    """Frequent phrases by their words, with exact counts and a pointer; the phrase of no words counts all words of the language."""
     shared = documents.sparkSession.sparkContext.broadcast(bitmaps)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,7 +209,9 @@ def verified(documents: DataFrame, bitmaps: dict[int, np.ndarray], longest: int,
             found = Phrases(part, bits)
             langs = pa.array(found.langs, pa.string())
             words = np.bincount(found.lang[found.row], minlength=len(langs)) if found.count else np.zeros(len(langs), np.int64)
-            yield pa.RecordBatch.from_arrays([langs, pa.array([""] * len(langs), pa.string()), pa.array(words.astype(np.int64))], names=["lang", "phrase", "a"])
+            nowhere = pa.nulls(len(langs), pa.int64())
+            totals = [langs, pa.array([""] * len(langs), pa.string()), pa.array(words.astype(np.int64)), nowhere, nowhere]
+            yield pa.RecordBatch.from_arrays(totals, names=["lang", "phrase", "a", "doc_id", "word"])
             for n in range(1, longest + 1):
                 first, h = found.frequent(n, shared.value)
                 while len(first):
@@ -229,28 +219,15 @@ def verified(documents: DataFrame, bitmaps: dict[int, np.ndarray], longest: int,
                     shown = first[at]
                     equal = found.same(first, shown[group], n)
                     counts = np.bincount(group[equal], minlength=len(shown)).astype(np.int64)
-                    lang = langs.take(pa.array(found.lang[found.row[shown]]))
-                    yield pa.RecordBatch.from_arrays([lang, found.text(shown, n), pa.array(counts)], names=["lang", "phrase", "a"])
+                    row = found.row[shown]
+                    lang, ids = langs.take(pa.array(found.lang[row])), part.column(0).take(pa.array(row))
+                    rows = [lang, found.text(shown, n), pa.array(counts), ids, pa.array(shown - found.words.rows[row])]
+                    yield pa.RecordBatch.from_arrays(rows, names=["lang", "phrase", "a", "doc_id", "word"])
                     # Another phrase with the same fingerprint is counted as one of its own.
                     first, h = first[~equal], h[~equal]
 
-    return _texts(documents).mapInArrow(scan, SPELT).groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
-
-
-def _printed(phrases: DataFrame, bits: int) -> DataFrame:
-    """The fingerprints of phrases that were spelt out: lang, phrase, print."""
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "phrase"):
-            found = Phrases(pa.RecordBatch.from_arrays([part.column(1), part.column(1), part.column(0)], names=["doc_id", "text", "lang"]), bits)
-            sizes = found.words.counts()
-            prints = np.zeros(part.num_rows, np.uint64)
-            for n in np.unique(sizes):
-                mine = sizes == n
-                prints[mine] = found.hashes(found.words.rows[:-1][mine], int(n))
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), signed(prints)], names=["lang", "phrase", "print"])
-
-    return phrases.select("lang", "phrase").mapInArrow(scan, "lang string, phrase string, print long")
+    spelt = _texts(documents).mapInArrow(scan, SPELT).groupBy("lang", "phrase")
+    return spelt.agg(F.sum("a").alias("a"), F.min("doc_id").alias("doc_id"), F.min_by("word", "doc_id").alias("word"))
 
 
 def _with_part(cuts: DataFrame, parts: DataFrame, side: str, name: str, hot: int) -> DataFrame:
@@ -278,12 +255,8 @@ def collocations(
     """
     bitmaps: dict[int, np.ndarray] = {}
     levels = [sizes for sizes in (range(1, 2), range(2, 3), range(3, longest + 1)) if len(sizes)]
-    pointers = None
     for sizes in levels:
-        found = materialize(fingerprints(documents, sizes, bitmaps, least, bits), "fingerprints")
-        leveled = found.select("print", "doc_id", "word", F.lit(sizes[0]).alias("level"))
-        pointers = leveled if pointers is None else pointers.unionByName(leveled)
-        bitmap = bitmap_of(found)
+        bitmap = bitmap_of(materialize(fingerprints(documents, sizes, bitmaps, least, bits), "fingerprints"))
         bitmaps |= {n: bitmap for n in sizes}
     spelt = materialize(verified(documents, bitmaps, longest, bits), "phrases")
     total = spelt.filter(F.col("phrase") == "").select("lang", F.col("a").alias("n"))
@@ -308,21 +281,17 @@ def collocations(
         .groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
     )
     kept = (
-        candidates.select("lang", "phrase", "a").join(inside, ["lang", "phrase"], "left")
+        candidates.select("lang", "phrase", "a", "doc_id", "word").join(inside, ["lang", "phrase"], "left")
         .filter(F.col("longer").isNull() | (100 * wide("longer") < share * wide("a")))
         .join(weakest, ["lang", "phrase"])
-        .select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
+        .select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score", "doc_id", "word")
     )
     if top is not None:
         # The rows of one language are first cut down in several tasks.
         order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
         dealt = kept.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(_RANKERS)))
         kept = top_per_key(top_per_key(dealt, ["lang", "part"], order, top).drop("part"), ["lang"], order, top, rank="rank")
-    kept = materialize(kept, "collocations")
-    level = F.least(F.size(words), F.lit(levels[-1][0]))
-    known = kept.join(_printed(kept, bits), ["lang", "phrase"]).withColumn("level", level)
-    # Where two phrases share a fingerprint, the pointer shows one of them.
-    return known.join(total, "lang").join(pointers, ["print", "level"], "left").drop("print", "level")
+    return kept.join(total, "lang")
 
 
 _SQL = r"""
