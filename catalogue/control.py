@@ -99,6 +99,16 @@ def anomaly_zscore(spark: SparkSession, folder: str) -> DataFrame:
     return _verdicts(score_history(profiles(spark, folder), METRICS, method="zscore", threshold=2.0, window=5))
 
 
+@query("anomaly_run_order", _verdict_sql("zscore", 2.0))
+def anomaly_run_order(spark: SparkSession, folder: str) -> DataFrame:
+    """The same runs as batches of one day whose ids fall: the numbers they took order them."""
+    number = F.datediff("run_date", F.lit("2000-01-01")).cast("long")
+    fallen = F.concat_ws("|", F.lpad((F.lit(10**6) - number).cast("string"), 7, "0"), F.col("run_date").cast("string"), F.col("pipeline_name"))
+    runs = profiles(spark, folder).withColumn("run_number", number).withColumn("process_id", fallen)
+    found = score_history(runs.withColumn("run_date", F.lit("2024-01-30").cast("date")), METRICS, method="zscore", threshold=2.0, window=5)
+    return _verdicts(found.withColumn("run_date", F.to_date(F.split("process_id", r"\|")[1])))
+
+
 @query("anomaly_pct", _verdict_sql("pct", 0.2))
 def anomaly_pct(spark: SparkSession, folder: str) -> DataFrame:
     found = profiles(spark, folder)

@@ -6,6 +6,8 @@ back through the library and compare with the table itself.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from tierline.operators.alerts import gate_alerts
 from tierline.operators.bronze import checksum_dedup, file_checksums, land_bronze, run_dedup
 from tierline.operators.checks import Rule
 from tierline.operators.gates import control_gates, line_counts
+from tierline.operators.quarantine import corrections_from, list_quarantine, resubmit
 from tierline.operators.rows import with_row_index
 from tierline.plans.ingest import Feed, Warehouse, run_batch
 from tierline.sources import (
@@ -405,3 +408,85 @@ def watch_stream(spark: SparkSession, folder: str) -> DataFrame:
     for _ in range(2):
         watch_and_ingest(spark, ORDER_FEED, source, house, checkpoint, clock=lambda: NOW).awaitTermination()
     return staged(house)
+
+
+@query("ingest_truncate", "SELECT 0 AS n_silver, count(*) AS n_bad FROM orders")
+def ingest_truncate(spark: SparkSession, folder: str) -> DataFrame:
+    """Every file replaces the table; the last ones hold no valid row, so none remains."""
+    house, good = Warehouse(spark, new_folder(spark, "house")), order_files(spark, folder)
+    bad = new_folder(spark, "feed")
+    order_cells(spark, folder).withColumn("price", F.lit("n/a")).write.option("header", True).csv(bad)
+    feed = replace(ORDER_FEED, write_mode="truncate_load")
+    run_batch(spark, feed, [good, bad], house, now=NOW, batch_id="b1")
+    wrong = house.control("quarantine").filter(F.array_contains("reasons", "price: is_numeric")).select(F.lit(False).alias("valid"))
+    rows = house.stage("orders").read().select(F.lit(True).alias("valid")).unionByName(wrong)
+    return rows.agg(F.count_if("valid").alias("n_silver"), F.count_if(~F.col("valid")).alias("n_bad"))
+
+
+@query(
+    "quarantine_two_folders",
+    """SELECT CAST(o_orderkey % 2 AS INT) AS half, count(*) AS pending_rows FROM orders
+       WHERE CAST(o_totalprice AS DECIMAL(18,2)) >= 300000 AND o_orderkey % 2 = 1 GROUP BY 1""",
+)
+def quarantine_two_folders(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of one name in two folders are records of their own: those of one folder are resolved, the others wait."""
+    house, out = Warehouse(spark, new_folder(spark, "house")), new_folder(spark, "feed")
+    halves = order_cells(spark, folder).withColumn("half", F.col("order_id").cast("long") % 2)
+    halves.write.option("header", True).partitionBy("half").csv(out)
+    price = Rule("price", ("not_null", "is_numeric", {"less_than": 300000}), "decimal", 18, 2)
+    feed = replace(ORDER_FEED, rules=(ORDER_FEED.rules[0], price, ORDER_FEED.rules[2]))
+    run_batch(spark, feed, [f"{out}/half=0", f"{out}/half=1"], house, now=NOW, batch_id="b1")
+    records = house.control("quarantine")
+    half = F.regexp_extract("file_path", r"half=(\d)", 1).cast("int").alias("half")
+    house.resolved().append(records.filter(half == 0).select("pipeline_name", "quarantine_id").distinct())
+    waiting = list_quarantine(records, house.resolved().read())
+    places = records.select("quarantine_id", half).distinct()
+    return waiting.join(places, "quarantine_id").groupBy("half").agg(F.sum("row_count").alias("pending_rows"))
+
+
+@query(
+    "ingest_outcomes",
+    """SELECT 'continue' AS policy, count(*) AS n_silver, 1 AS n_failed, FALSE AS skipped FROM orders
+       UNION ALL SELECT 'stop', count(*) FILTER (WHERE o_orderkey % 2 = 0), 1, TRUE FROM orders""",
+)
+def ingest_outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    """A cut-off file between good ones fails alone; the files behind it run or wait, as the policy says."""
+    places = [new_folder(spark, "feed") for _ in range(3)]
+    cells = order_cells(spark, folder)
+    cells.filter(F.col("order_id").cast("long") % 2 == 0).write.json(places[0])
+    spark.createDataFrame([('{"order_id": "1", "customer": "cut o',)], "value string").coalesce(1).write.text(places[1])
+    cells.filter(F.col("order_id").cast("long") % 2 == 1).write.json(places[2])
+    feed = replace(
+        ORDER_FEED, fmt="json", file_pattern="part-{rest}", reader={"lines": True, "columns": ["order_id", "customer", "price", "ordered_on", "priority"]},
+        rules=(ORDER_FEED.rules[0],),
+    )
+    shown = []
+    for policy in ("continue", "stop"):
+        house = Warehouse(spark, new_folder(spark, "house"))
+        runs = run_batch(spark, replace(feed, on_earlier_failure=policy), places, house, now=NOW, batch_id="b1").runs
+        rows = house.stage("orders").read().select(F.lit("row").alias("what")).unionByName(runs.select(F.col("status").alias("what")))
+        shown.append(rows.select(F.lit(policy).alias("policy"), "what"))
+    what = F.col("what")
+    return shown[0].unionByName(shown[1]).groupBy("policy").agg(
+        F.count_if(what == "row").alias("n_silver"), F.count_if(what == "failed").alias("n_failed"), (F.count_if(what == "skipped") > 0).alias("skipped"),
+    )
+
+
+@query(
+    "resubmit_table",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer,
+              CASE WHEN CAST(o_totalprice AS DECIMAL(18,2)) < 450000 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) ELSE 1.5 END AS price,
+              CAST(o_orderdate AS DATE) AS ordered_on, o_orderpriority AS priority FROM orders""",
+)
+def resubmit_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Quarantined rows are corrected and go into a silver table of which only their buckets are written."""
+    house, feed = Warehouse(spark, new_folder(spark, "house")), replace(ORDER_FEED, buckets=32)
+    run_batch(spark, feed, order_files(spark, folder), house, now=NOW, batch_id="b1")
+    corrected = corrections_from(house.control("quarantine"), ["order_id", "customer", "price", "ordered_on", "priority"]).withColumn("price", F.lit("1.5"))
+    corrected = corrected.withColumn("row_index", F.monotonically_increasing_id())
+    done = resubmit(
+        corrected, list(feed.rules), ["order_id"], house.stage("orders"), house.resolved(), pipeline_name="orders", quarantine_id="all", now=NOW,
+    )
+    if not done.accepted and not corrected.isEmpty():
+        raise ValueError(f"corrections were not accepted: {done}")
+    return staged(house)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from catalogue.registry import landed, money, query, table
 from tierline.functions.spread import new_folder
+from tierline.operators.bucket_table import Scd2Table
 from tierline.operators.scd2 import current_versions, scd2_changes, scd2_merge
 from tierline.operators.tables import SnapshotTable
 from tierline.plans.gold import (
@@ -275,3 +276,24 @@ def scd2_unchanged(spark: SparkSession, folder: str) -> DataFrame:
     first, now = history(spark, folder)
     merged = scd2_merge(first, now, ["o_custkey"], ["total", "orders"], "2026-01-02 00:00:00")
     return _versions(scd2_merge(merged, now, ["o_custkey"], ["total", "orders"], "2026-01-03 00:00:00"))
+
+
+_THIRD = _SNAPSHOTS + """, s3 AS (SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total, count(*) AS orders
+                                  FROM orders WHERE o_orderdate >= '1994-01-01' GROUP BY 1),
+     again AS (SELECT s3.*, t.version AS v FROM s3 JOIN merged t ON s3.o_custkey = t.o_custkey AND t.active_flag
+               WHERE s3.total IS DISTINCT FROM t.total OR s3.orders IS DISTINCT FROM t.orders)
+    SELECT o_custkey, total, orders, v + 1 AS version, '2026-01-03' AS effective, CAST(NULL AS VARCHAR) AS expiry, TRUE AS active_flag,
+           md5(o_custkey || '|' || (v + 1)) AS scd_pk FROM again
+    UNION ALL SELECT m.o_custkey, m.total, m.orders, m.version, m.effective, CASE WHEN m.active_flag AND a.v IS NOT NULL THEN '2026-01-03' ELSE m.expiry END,
+           m.active_flag AND a.v IS NULL, m.scd_pk FROM merged m LEFT JOIN again a USING (o_custkey)"""
+
+
+@query("scd2_table", _THIRD)
+def scd2_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Three runs and one without changes on a table of which a run writes only changed buckets and closed versions."""
+    orders = table(spark, folder, "orders")
+    states = [orders.filter("o_orderdate < '2001-01-01'"), orders, orders.filter("o_orderdate >= '1994-01-01'")]
+    kept = Scd2Table(spark, new_folder(spark, "history"))
+    for day, state in enumerate([*states, states[-1]], 1):
+        kept.merge(_totals(state), ["o_custkey"], ["total", "orders"], f"2026-01-0{day} 00:00:00")
+    return _versions(kept.read())

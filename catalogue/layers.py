@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from catalogue.registry import money, query, table
 from tierline.functions.spread import new_folder
+from tierline.operators.bucket_table import BucketTable
 from tierline.operators.export import export_table
 from tierline.operators.stage import insert_missing, latest_per_key, merge_upsert, upsert_partitions, write_stage
 from tierline.operators.tables import SnapshotTable
@@ -60,6 +61,24 @@ def stage_upsert_partitions(spark: SparkSession, folder: str) -> DataFrame:
     return _shown(spark.read.parquet(out))
 
 
+_CHANGED = """WITH source AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, CAST(o_totalprice AS DECIMAL(18,2)) * 2 AS price FROM orders WHERE o_orderkey % 100 = 7)
+    SELECT o_orderkey, day, CAST(price AS DOUBLE) AS price FROM source
+    UNION ALL SELECT o_orderkey, CAST(o_orderdate AS DATE), CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) FROM orders WHERE o_orderkey % 100 <> 7"""
+
+
+@query("stage_upsert_buckets", _CHANGED)
+def stage_upsert_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    """New prices of one order in a hundred; only the buckets of their keys are written, and repeating it changes nothing."""
+    orders = table(spark, folder, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"), money("o_totalprice").alias("price"))
+    silver = BucketTable(spark, new_folder(spark, "silver"))
+    silver.upsert(orders, ["o_orderkey"])
+    changed = orders.filter("o_orderkey % 100 = 7").withColumn("price", (F.col("price") * 2).cast("decimal(18,2)"))
+    for _ in range(2):
+        write_stage(changed, silver, "upsert", key=["o_orderkey"])
+    silver.drop_old(1)
+    return _shown(silver.read())
+
+
 @query("stage_append", _DELIVERIES + """SELECT day, count(*) AS n_rows, CAST(sum(price) AS DOUBLE) AS price
        FROM (SELECT * FROM target UNION ALL SELECT * FROM source) GROUP BY day""")
 def stage_append(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 from tierline.operators.checks import Rule
 from tierline.operators.lineage import edges_from_events
 from tierline.operators.monitor import monitor_view, step_status
-from tierline.operators.quarantine import corrections_from, list_quarantine, quarantine_json, quarantine_summary, read_quarantine, resubmit
+from tierline.operators.quarantine import corrections_from, list_quarantine, mark_resolved, quarantine_json, quarantine_summary, read_quarantine, resubmit
 from tierline.plans.gold import GoldBuild, latest_rates, fx_view
 from tierline.plans.ingest import AnomalyPolicy, Feed, run_batch
 from tierline.sources.files import NoMatchingFiles
@@ -262,3 +263,65 @@ def test_first_append_without_valid_rows(spark, house, tmp_path, refs):
     land(tmp_path / "in", "P_20260302.csv", "k,c\n3,USD\n")
     run_batch(spark, PLAIN, src, house, now=NOW, references=refs)
     assert [r.k for r in house.stage("plain").read().collect()] == ["3"]
+
+
+RATES = replace(FX, write_mode="append", business_key=(), gold=(), stop_after="stage")
+
+
+def test_truncate_load_takes_the_last_promoted_file(spark, house, tmp_path, refs):
+    feed = replace(RATES, write_mode="truncate_load", business_key=())
+    land(tmp_path / "in", "FX_RATES_202609200900.csv", fx_file(["20260920", "USD", "EUR", "0.9", "x"]))
+    src = land(tmp_path / "in", "FX_RATES_202609201000.csv", fx_file(["20260920", "USD", "EUR", "bad", "x"]))
+    run_batch(spark, feed, src, house, now=NOW, references=refs)
+    assert house.stage("fx_rates").read().count() == 0
+
+
+def test_batches_of_one_day_are_compared_in_the_order_they_ran(spark, house, tmp_path, refs):
+    feed = replace(RATES, anomaly=AnomalyPolicy(("row_count",), threshold=1.5), business_key=())
+    for i, (name, rows) in enumerate(zip("edcba", (3, 4, 5, 3, 40))):
+        body = fx_file(*[["20260920", "USD", "EUR", f"{k}.5", f"s{i}"] for k in range(1, rows + 1)])
+        src = land(tmp_path / f"in{i}", f"FX_RATES_20260920100{i}.csv", body)
+        run_batch(spark, feed, src, house, now=NOW, batch_id=name, references=refs)
+        assert house.control("alerts").count() == (1 if name == "a" else 0)
+    history = house.control("profile_history").orderBy("run_number").collect()
+    assert [(r.run_number, r.batch_id) for r in history] == list(enumerate("edcba", 1))
+    # A repeated batch keeps its place.
+    run_batch(spark, feed, f"file:{tmp_path}/in2", house, now=NOW, batch_id="c", references=refs)
+    assert {r.batch_id: r.run_number for r in house.control("profile_history").collect()}["c"] == 3
+
+
+def test_files_of_one_name_are_records_of_their_own(spark, house, tmp_path, refs):
+    bad = fx_file(["20260920", "USD", "EUR", "bad", "x"])
+    places = [land(tmp_path / f"q{i}", "FX_RATES_202609201000.csv", bad + "\n" * i) for i in (1, 2)]
+    places.append(land(tmp_path / "q3", "FX_RATES_202609201100.csv", bad))
+    run_batch(spark, RATES, places, house, now=NOW, batch_id="b", references=refs)
+    ids = sorted(r.quarantine_id for r in list_quarantine(house.control("quarantine")).collect())
+    assert len(ids) == 3 and ids[2] == "FX_RATES_202609201100.csv.b"
+    mark_resolved(house.resolved(), pipeline_name="fx_rates", quarantine_id=ids[0], now=NOW)
+    assert sorted(r.quarantine_id for r in list_quarantine(house.control("quarantine"), house.resolved().read()).collect()) == ids[1:]
+
+
+def test_a_file_that_cannot_be_read_fails_alone(spark, house, tmp_path):
+    feed = Feed(
+        name="j", fmt="json", file_pattern="J_{date}.json", order_by="filename_timestamp", ts_format="%Y%m%d", rules=(), business_key=("id",),
+        write_mode="upsert", on_earlier_failure="stop", buckets=4,
+    )
+    good = '[{"id": "%s", "v": "x"}]'
+    land(tmp_path / "in", "J_20260101.json", good % 1)
+    land(tmp_path / "in", "J_20260102.json", '[{"id": "2", "v": "x"')
+    src = land(tmp_path / "in", "J_20260103.json", good % 3)
+    runs = {r.file_path[-13:-5]: r for r in run_batch(spark, feed, src, house, now=NOW, batch_id="a").runs.collect()}
+    assert [runs[f"2026010{d}"].status for d in (1, 2, 3)] == ["succeeded", "failed", "skipped"]
+    assert runs["20260102"].failure_reasons and house.stage("j").read().count() == 1
+    # Mended, it runs with what waited for it.
+    (tmp_path / "in" / "J_20260102.json").write_text(good % 2)
+    runs = {r.file_path[-13:-5]: r for r in run_batch(spark, feed, src, house, now=NOW, batch_id="b").runs.collect()}
+    assert [runs[f"2026010{d}"].status for d in (1, 2, 3)] == ["skipped", "succeeded", "succeeded"]
+    assert sorted(r.id for r in house.stage("j").read().collect()) == ["1", "2", "3"]
+    land(tmp_path / "in", "J_20260104.json", "[{")
+    land(tmp_path / "in", "J_20260105.json", good % 5)
+    runs = run_batch(spark, replace(feed, on_earlier_failure="continue"), src, house, now=NOW, batch_id="c").runs
+    assert {(r.status, r.file_path[-6]) for r in runs.collect()} >= {("failed", "4"), ("succeeded", "5")}
+    land(tmp_path / "alone", "J_20260106.json", "[{")
+    with pytest.raises(Exception):
+        run_batch(spark, feed, f"file:{tmp_path}/alone", house, now=NOW)

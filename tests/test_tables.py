@@ -4,13 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tierline.operators import quarantine
+from tierline.operators.bucket_table import BucketTable, Scd2Table
 from tierline.operators.bronze import checksum_dedup, file_checksums, land_bronze, read_batch, run_dedup
 from tierline.operators.export import export_table
 from tierline.operators.gates import control_gates, line_counts
 from tierline.operators.reference import CURRENCIES, ensure_currencies
 from tierline.operators.scd2 import current_versions, scd2_changes, scd2_merge
 from tierline.operators.stage import insert_missing, merge_upsert, upsert_partitions, write_stage
-from tierline.operators.tables import SnapshotTable
+from tierline.operators.tables import LogTable, SnapshotTable
 from tierline.sources import list_files, read_csv
 from tierline.functions.spread import materialize, scratch_folders
 
@@ -228,3 +229,57 @@ def test_replaced_partitioned_table_stays_partitioned(spark, tmp_path):
     table.replace(merge_upsert(table.read(), rows(("a", 1, 9)), ["k", "day"]))
     upsert_partitions(rows(("c", None, 3), ("d", 1, 4)), table.current(), ["k", "day"], ["day"])
     assert sorted((r.k, r.day, r.v) for r in table.read().collect() if r.k != "x") == [("a", 1, 9), ("b", None, 2), ("c", None, 3), ("d", 1, 4)]
+
+
+def test_upserts_touch_only_the_buckets_of_their_keys(spark, tmp_path):
+    table = BucketTable(spark, f"file:{tmp_path}/t", buckets=8)
+    assert table.read() is None and not table.exists()
+    rows = spark.range(200).selectExpr("cast(id AS int) AS k", "concat('v', id) AS v").unionByName(spark.createDataFrame([(None, "a"), (None, "b")], "k int, v string"))
+    table.upsert(rows, ["k"])
+    first = table.manifest()
+    # The key comes as a long: it is hashed as the table's type.
+    change = spark.createDataFrame([(7, "old", 1), (7, "new", 2), (1000, "x", 1)], "k long, v string, at int")
+    table.upsert(change, ["k"], order=[change["at"].desc()])
+    second = table.manifest()
+    assert second.version == 2 and 1 <= sum(first.folders[b] != second.folders[b] for b in first.folders) <= 2
+    want = {i: f"v{i}" for i in range(200)} | {7: "new", 1000: "x"}
+    got = [tuple(r) for r in table.read().collect()]
+    assert dict(r for r in got if r[0] is not None) == want and len(got) == len(want) + 2
+    assert table.read(1).count() == 202
+    # Nothing to write: no version. A write that never committed is invisible and is swept.
+    table.upsert(change.limit(0), ["k"])
+    rows.write.parquet(f"file:{tmp_path}/t/data/lost")
+    assert table.versions() == [1, 2] and table.read().count() == 203
+    table.drop_old(1)
+    assert table.versions() == [2] and table.read().count() == 203 and not (tmp_path / "t/data/lost").exists()
+    with pytest.raises(ValueError):
+        table.upsert(change, ["v"])
+    with pytest.raises(RuntimeError):
+        table._commit(second)
+
+
+def test_history_without_changes_writes_nothing(spark, tmp_path):
+    table = Scd2Table(spark, f"file:{tmp_path}/h", buckets=4)
+    states = [[(1, "a"), (2, "b")], [(1, "a"), (2, "c"), (3, "d")], [(3, "d")], [(2, "e"), (1, None)]]
+    plain = None
+    for day, rows in enumerate(states, 1):
+        snapshot, now = spark.createDataFrame(rows, "k int, v string"), f"2026-01-0{day} 00:00:00"
+        table.merge(snapshot, ["k"], ["v"], now)
+        plain = scd2_merge(plain, snapshot, ["k"], ["v"], now)
+        assert sorted(map(str, table.read().collect())) == sorted(map(str, plain.collect()))
+    assert table.versions() == [1, 2, 3] and len(table.manifest().added) == 2
+    files = {p for p in (tmp_path / "h").rglob("*.parquet")}
+    table.merge(spark.createDataFrame(states[-1], "k int, v string"), ["k"], ["v"], "2026-01-09 00:00:00")
+    assert {p for p in (tmp_path / "h").rglob("*.parquet")} == files
+    table.drop_old(1)
+    assert table.read().count() == plain.count()
+
+
+def test_logs_keep_their_schema(spark, tmp_path):
+    log = LogTable(spark, f"file:{tmp_path}/log")
+    assert log.read() is None
+    log.write(spark.createDataFrame([], "a int"), "007", "x")
+    assert log.read().count() == 0 and log.read().columns == ["a", "batch_id"]
+    log.write(spark.createDataFrame([(1,)], "a int"), "007", "x")
+    log.write(spark.createDataFrame([(2, "s")], "a int, b string"), "8", "y")
+    assert sorted(tuple(r) for r in log.read().select("a", "b", "batch_id").collect()) == [(1, None, "007"), (2, "s", "8")]

@@ -12,6 +12,12 @@ from tierline.operators.tables import SnapshotTable
 
 METHODS = ("zscore", "pct_change")
 _KEYS = ["pipeline_name", "process_id", "run_date"]
+#: The number a batch takes when it adds to the history; ids need not grow with time.
+RUN_NUMBER = "run_number"
+
+
+def _run_order(history: DataFrame) -> list[str]:
+    return ["run_date", *([RUN_NUMBER] if RUN_NUMBER in history.columns else []), "process_id"]
 
 
 def append_profile_history(
@@ -31,7 +37,7 @@ def trailing_profiles(history: DataFrame, current: DataFrame, *, window: int = 2
     if window < 2:
         raise ValueError("a baseline needs a window of at least 2 runs")
     others = history.join(current.select("process_id").distinct(), "process_id", "left_anti")
-    return top_per_key(others, ["pipeline_name"], [F.desc("run_date"), F.desc("process_id")], window)
+    return top_per_key(others, ["pipeline_name"], [F.desc(c) for c in _run_order(history)], window)
 
 
 def _score(method: str, value: Column, n: Column, mean: Column, stdev: Column, low: Column, high: Column) -> Column:
@@ -110,9 +116,10 @@ def score_history(
             f"__n{i}": F.count(v), f"__mean{i}": F.avg(v), f"__sd{i}": F.stddev_samp(v),
             f"__low{i}": F.min(v), f"__high{i}": F.max(v),
         }
-    wide = history.select(*_KEYS, *[metric_value(m).alias(f"__v{i}") for i, m in enumerate(metrics)])
+    order = _run_order(history)
+    wide = history.select(*_KEYS, *order[1:-1], *[metric_value(m).alias(f"__v{i}") for i, m in enumerate(metrics)])
     framed = trailing_frame(
-        wide, ["pipeline_name"], ["run_date", "process_id"], F.trunc("run_date", "month"), window, measures,
+        wide, ["pipeline_name"], order, F.trunc("run_date", "month"), window, measures,
         block_rows=block_rows,
     )
     entries = F.array(

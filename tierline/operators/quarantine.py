@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.functions.names import FILE_NAME, FILE_PATH, ROW_INDEX, col, data_columns
+from tierline.operators.bucket_table import BucketTable
 from tierline.operators.checks import FAILED, REASONS, Rule, apply_casts, check_rows, original_row
-from tierline.operators.stage import merge_upsert
+from tierline.operators.stage import upsert_table
 from tierline.operators.tables import SnapshotTable, replace_batch
 
 _BINARY_BYTES = 512 * 1024 * 1024
@@ -19,10 +20,18 @@ _CHUNK_BYTES = 1024 * 1024
 
 
 def quarantine_rows(bad: DataFrame, *, pipeline_name: str, batch_id: str, now: str) -> DataFrame:
-    """Failing rows as quarantine records: original text, reasons, position and time."""
-    return bad.select(
+    """Failing rows as quarantine records: original text, reasons, position and time.
+
+    A record is a file. Files of one name in several folders get the digest of their path in their ids.
+    """
+    shared = (
+        bad.groupBy(FILE_NAME).agg(F.min(FILE_PATH).alias("__first"), F.max(FILE_PATH).alias("__last"))
+        .filter(F.col("__first") != F.col("__last")).select(col(FILE_NAME), F.lit(True).alias("__shared"))
+    )
+    apart = F.when(F.col("__shared"), F.concat(F.lit("."), F.left(F.md5(FILE_PATH), F.lit(12)))).otherwise("")
+    return bad.join(shared, FILE_NAME, "left").select(
         F.lit(pipeline_name).alias("pipeline_name"),
-        F.concat(F.col(FILE_NAME), F.lit("." + batch_id)).alias("quarantine_id"),
+        F.concat(F.col(FILE_NAME), apart, F.lit("." + batch_id)).alias("quarantine_id"),
         FILE_NAME,
         FILE_PATH,
         F.lit(batch_id).alias("batch_id"),
@@ -197,7 +206,7 @@ def resubmit(
     corrections: DataFrame,
     rules: list[Rule],
     key: list[str],
-    stage: SnapshotTable,
+    stage: SnapshotTable | BucketTable,
     resolved: SnapshotTable,
     *,
     pipeline_name: str,
@@ -221,7 +230,7 @@ def resubmit(
     if current is not None:
         extra = [c for c in current.columns if c not in valid.columns]
         valid = valid.select(*[col(c) for c in valid.columns], *[F.lit(None).cast(current.schema[c].dataType).alias(c) for c in extra])
-    stage.replace(merge_upsert(current, valid, key))
+    upsert_table(stage, valid, key)
     mark_resolved(resolved, pipeline_name=pipeline_name, quarantine_id=quarantine_id, now=now)
     if refresh_gold is None:
         return Resubmission(True, None, "stage")

@@ -40,6 +40,15 @@ def insert_missing(target: DataFrame | None, seed: DataFrame, key: list[str]) ->
     return once if target is None else once.join(target.select(*[col(k) for k in key]).distinct(), key, "left_anti")
 
 
+def upsert_table(table, df: DataFrame, key: list[str], *, order: list[Column] | None = None) -> None:
+    """Upsert into a table that knows how (by bucket), else into a new snapshot of the whole table."""
+    own = getattr(table, "upsert", None)
+    if own is not None:
+        own(df, key, order=order)
+    else:
+        table.replace(merge_upsert(table.read(), df, key, order=order))
+
+
 def write_stage(
     df: DataFrame, table: SnapshotTable, mode: str, *, key: list[str] | None = None, order: list[Column] | None = None,
     batch_id: str | None = None,
@@ -55,7 +64,7 @@ def write_stage(
     elif mode == "upsert":
         if not key:
             raise ValueError("upsert needs a business key")
-        table.replace(merge_upsert(table.read(), df, key, order=order))
+        upsert_table(table, df, key, order=order)
     else:
         raise ValueError(f"unsupported write mode {mode!r}")
     return table.read()

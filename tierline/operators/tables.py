@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 _PREFIX = "snapshot="
 _SCHEMA = "schema.json"
@@ -139,6 +140,67 @@ def replace_batch(df: DataFrame, path: str, batch_column: str, batch_id: str, **
     )
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file beside a table, such as a schema or a manifest; None where there is none."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(jpath):
+        return None
+    stream = fs.open(jpath)
+    try:
+        return str(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small file under a passing name and renames it, so that no reader sees a part of it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    ready, draft = hadoop.Path(path), hadoop.Path(f"{path}.{uuid.uuid4().hex}")
+    fs = ready.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(draft, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    if fs.exists(ready):
+        fs.delete(ready, False)
+    if not fs.rename(draft, ready):
+        raise RuntimeError(f"{path} was written by somebody else")
+
+
+class LogTable:
+    """An append log partitioned by batch and part, whose schema is kept beside it.
+
+    So a log without rows is read as one without rows, batch ids stay texts whatever they look
+    like, and columns that a later write adds are NULL in earlier rows.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def write(self, df: DataFrame, batch_id: str, part: str) -> None:
+        """Adds the rows of one part of a batch; the same part again replaces them."""
+        fields = {f.name: f for f in self._known()}
+        new = [f for f in df.schema.fields if f.name not in fields and f.name not in ("batch_id", "part")]
+        if new or not fields:
+            schema = StructType([*fields.values(), *[StructField(f.name, f.dataType) for f in new]])
+            write_text(self.spark, f"{self.path}/_{_SCHEMA}", schema.json())
+        replace_batch(df, self.path, "batch_id", batch_id, part=part)
+
+    def _known(self) -> list[StructField]:
+        text = read_text(self.spark, f"{self.path}/_{_SCHEMA}")
+        return [] if text is None else StructType.fromJson(json.loads(text)).fields
+
+    def read(self) -> DataFrame | None:
+        """All rows with their ``batch_id``; None before the first write."""
+        if not path_exists(self.spark, self.path):
+            return None
+        known = self._known()
+        if not known:
+            return self.spark.read.parquet(self.path).drop("part")
+        ids = [StructField(name, StringType()) for name in ("batch_id", "part")]
+        return self.spark.read.schema(StructType([*known, *ids])).parquet(self.path).drop("part")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return bool(jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierline.functions.spread import HOT_ROWS, attach_by_key, top_per_key
+from tierline.operators.bucket_table import Scd2Table
 from tierline.operators.scd2 import scd2_merge
 from tierline.operators.tables import SnapshotTable
 from tierline.sources.tables import staging_view
@@ -192,8 +193,8 @@ def standard_builds(*, now: str, as_of: str) -> dict[str, GoldBuild]:
     return {b.name: b for b in builds}
 
 
-def run_gold_build(build: GoldBuild, inputs: Mapping[str, DataFrame], table: SnapshotTable | None, *, now: str) -> DataFrame:
-    """Computes a mart from its inputs and stores it as its materialization says."""
+def run_gold_build(build: GoldBuild, inputs: Mapping[str, DataFrame], table: SnapshotTable | Scd2Table | None, *, now: str) -> DataFrame:
+    """Computes a mart from its inputs and stores it as its materialization says; a history only takes its changes."""
     missing = [d for d in build.depends_on if d not in inputs]
     if missing:
         raise ValueError(f"{build.name} needs {missing}")
@@ -203,6 +204,8 @@ def run_gold_build(build: GoldBuild, inputs: Mapping[str, DataFrame], table: Sna
         return result
     if table is None:
         raise ValueError(f"{build.name} needs a table to be written to")
+    if build.materialized == "scd2" and isinstance(table, Scd2Table):
+        return table.merge(result, list(build.key), list(build.tracked), now)
     if build.materialized == "scd2":
         return table.replace(scd2_merge(table.read(), result, list(build.key), list(build.tracked), now))
     if build.materialized == "table":

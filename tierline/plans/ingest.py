@@ -14,17 +14,18 @@ from pyspark.sql import functions as F
 from tierline.functions.names import FILE_CHECKSUM, FILE_NAME, FILE_PATH, METADATA, col, data_columns
 from tierline.functions.spread import attach_by_key, is_small, materialize, scratch_folders, top_per_key
 from tierline.operators import alerts as alert_ops
-from tierline.operators.anomaly import anomaly_messages, anomaly_reasons, score_history
+from tierline.operators.anomaly import RUN_NUMBER, anomaly_messages, anomaly_reasons, score_history
 from tierline.operators.bronze import checksum_dedup, file_checksums, land_bronze, landed_checksums, read_batch
+from tierline.operators.bucket_table import BUCKETS, BucketTable, Scd2Table
 from tierline.operators.checks import FAILED, Rule, check_rows, distinct_reasons, split_batch
 from tierline.operators.gates import Bounds, control_gates, line_counts
 from tierline.operators.lineage import raw_to_stage_edges
-from tierline.operators.monitor import layers_to_run
+from tierline.operators.monitor import batch_outcomes, layers_to_run
 from tierline.operators.profile import compute_profile
 from tierline.operators.quarantine import quarantine_files, quarantine_rows
 from tierline.operators.rows import with_row_index
 from tierline.operators.stage import latest_per_key, upsert_partitions, write_stage
-from tierline.operators.tables import SnapshotTable, path_exists, replace_batch
+from tierline.operators.tables import LogTable, SnapshotTable, path_exists
 from tierline.plans.gold import GoldBuild, run_gold_build
 from tierline.sources.files import file_sort_key, list_files, require_matches, select_files
 from tierline.sources.registry import read_records
@@ -64,18 +65,25 @@ class Feed:
     write_mode: str = "append"
     # Upserts then rewrite only the touched partitions of the silver table.
     partition_by: tuple[str, ...] = ()
+    # Upserts then rewrite only the touched ones of so many hash buckets of the silver table.
+    buckets: int = 0
     metadata: tuple[str, ...] = METADATA
     # Only has an effect with the checksum among the metadata.
     skip_known_content: bool = True
     anomaly: AnomalyPolicy | None = None
     gold: tuple[GoldBuild, ...] = ()
     stop_after: str = "stage"
-
+    # Files behind one that cannot be read: they run ("continue") or wait for the next batch ("stop").
+    on_earlier_failure: str = "continue"
 
     def __post_init__(self) -> None:
         if self.skip_known_content and FILE_CHECKSUM not in self.metadata:
             object.__setattr__(self, "skip_known_content", False)
         layers_to_run(self.stop_after)
+        if self.on_earlier_failure not in ("continue", "stop"):
+            raise ValueError(f"{self.name}: unknown policy {self.on_earlier_failure!r}")
+        if self.buckets and (self.write_mode != "upsert" or self.partition_by):
+            raise ValueError(f"{self.name}: buckets are for upserts, and instead of partitions")
         if self.write_mode == "upsert" and not self.business_key:
             raise ValueError(f"{self.name}: upsert needs a business key")
 
@@ -90,11 +98,16 @@ class Warehouse:
     def bronze(self, feed: str) -> str:
         return f"{self.root}/bronze/{feed}"
 
-    def stage(self, feed: str) -> SnapshotTable:
-        return SnapshotTable(self.spark, f"{self.root}/silver/{feed}")
+    def stage(self, feed: str, buckets: int = 0) -> SnapshotTable | BucketTable:
+        """The silver table of a feed; in ``buckets`` if it has been written so or is to be."""
+        plain = SnapshotTable(self.spark, f"{self.root}/silver/{feed}")
+        dealt = BucketTable(self.spark, f"{self.root}/silver/{feed}", buckets=buckets or BUCKETS)
+        return dealt if dealt.exists() or (buckets and not plain.exists()) else plain
 
-    def gold(self, name: str) -> SnapshotTable:
-        return SnapshotTable(self.spark, f"{self.root}/gold/{name}")
+    def gold(self, name: str, materialized: str = "table") -> SnapshotTable | Scd2Table:
+        """A mart; a history that was not begun as snapshots takes only its changes."""
+        plain, history = SnapshotTable(self.spark, f"{self.root}/gold/{name}"), Scd2Table(self.spark, f"{self.root}/gold/{name}")
+        return history if history.exists() or (materialized == "scd2" and not plain.exists()) else plain
 
     def resolved(self) -> SnapshotTable:
         return SnapshotTable(self.spark, f"{self.root}/control/quarantine_resolved")
@@ -104,12 +117,10 @@ class Warehouse:
 
     def log(self, df: DataFrame, name: str, batch_id: str, part: str) -> None:
         """Adds rows of a batch to a control table; the same part again replaces them."""
-        replace_batch(df, self.folder(name), "batch_id", batch_id, part=part)
+        LogTable(self.spark, self.folder(name)).write(df, batch_id, part)
 
     def control(self, name: str) -> DataFrame | None:
-        if not path_exists(self.spark, self.folder(name)):
-            return None
-        return self.spark.read.parquet(self.folder(name)).drop("part")
+        return LogTable(self.spark, self.folder(name)).read()
 
 
 @dataclass(frozen=True)
@@ -199,23 +210,22 @@ def _with_order(rows: DataFrame, manifest: DataFrame) -> DataFrame:
     return attach_by_key(rows, narrow, [FILE_PATH], ["sort_key"], rows="length", hot_rows=1024**3)
 
 
-def _write_stage(feed: Feed, valid: DataFrame, manifest: DataFrame, table: SnapshotTable, batch_id: str) -> None:
+def _write_stage(feed: Feed, valid: DataFrame, manifest: DataFrame, table: SnapshotTable | BucketTable, batch_id: str) -> None:
+    """``manifest`` holds the promoted files."""
     names = [col(c) for c in data_columns(valid.columns)]
     if feed.write_mode == "append":
         write_stage(valid.select(*names), table, "append", batch_id=batch_id)
         return
-    placed = _with_order(valid, manifest)
     if feed.write_mode == "truncate_load":
         # Each file replaces the table, so the last promoted one is what remains.
-        last = top_per_key(
-            placed.select(FILE_PATH, "sort_key").distinct().withColumn("__all", F.lit(0)),
-            ["__all"], [F.desc("sort_key"), F.desc(FILE_PATH)],
-        )
+        # It may have no valid row, then none remains.
+        last = manifest.orderBy(F.desc("sort_key"), F.desc(FILE_PATH)).limit(1)
         # One row: the path of that file.
-        kept = placed.join(F.broadcast(last.select(FILE_PATH)), FILE_PATH, "left_semi")
+        kept = valid.join(F.broadcast(last.select(FILE_PATH)), FILE_PATH, "left_semi")
         write_stage(kept.select(*names), table, "truncate_load")
         return
     # The latest file wins where several carry a key.
+    placed = _with_order(valid, manifest)
     order = [F.desc("sort_key"), F.desc(FILE_PATH)]
     newest = latest_per_key(placed, list(feed.business_key), order).select(*names)
     if feed.partition_by:
@@ -228,28 +238,40 @@ def _write_stage(feed: Feed, valid: DataFrame, manifest: DataFrame, table: Snaps
         write_stage(newest, table, "upsert", key=list(feed.business_key))
 
 
+def _run_number(history: DataFrame | None, feed: Feed, batch_id: str) -> int:
+    """The place of a batch among those of its feed; a repeated batch keeps its own."""
+    if history is None:
+        return 1
+    own = history.filter(F.col("pipeline_name") == feed.name)
+    found = own.agg(F.max(F.when(F.col("batch_id") == batch_id, F.col(RUN_NUMBER))).alias("kept"), F.max(RUN_NUMBER).alias("last")).first()
+    return found.kept if found.kept is not None else (found.last or 0) + 1
+
+
 def _anomalies(feed: Feed, valid: DataFrame, files: DataFrame, house: Warehouse, now: str, batch_id: str) -> DataFrame | None:
     """Verdicts of the batch's files, each against the runs before it; history is extended."""
     policy = feed.anomaly
     if policy is None:
         return None
+    history = house.control("profile_history")
+    if history is not None and RUN_NUMBER not in history.columns:
+        history = history.withColumn(RUN_NUMBER, F.lit(0).cast("long"))
+    number = _run_number(history, feed, batch_id)
     profiles = materialize(
         compute_profile(valid, list(policy.metrics), by=[FILE_PATH])
         .join(files.select(FILE_PATH, "run_id"), FILE_PATH, "inner")
         .select(
             F.col("run_id").alias("process_id"), F.lit(feed.name).alias("pipeline_name"),
-            F.to_date(F.lit(now)).alias("run_date"), "row_count", "metrics",
+            F.to_date(F.lit(now)).alias("run_date"), "row_count", "metrics", F.lit(number).cast("long").alias(RUN_NUMBER),
         ),
         "profiles",
     )
-    history = house.control("profile_history")
     known = profiles
     if history is not None:
         own = history.filter(F.col("pipeline_name") == feed.name).join(
             profiles.select("process_id"), "process_id", "left_anti"
         ).select(*profiles.columns)
         known = profiles.unionByName(
-            top_per_key(own, ["pipeline_name"], [F.desc("run_date"), F.desc("process_id")], policy.window)
+            top_per_key(own, ["pipeline_name"], [F.desc("run_date"), F.desc(RUN_NUMBER), F.desc("process_id")], policy.window)
         )
     verdicts = score_history(
         known, list(policy.metrics), method=policy.method, threshold=policy.threshold, window=policy.window
@@ -277,7 +299,9 @@ def run_batch(
     Content that reached the asked layer before is skipped and reported with its existing run
     id. Content that only landed, because its batch failed or stopped there, is not landed again:
     its whole batch is finished from bronze, under its own ids. Repeating a batch id replaces its
-    own rows. A failing step is recorded as ``failed`` and raised.
+    own rows. Files that cannot be read are ``failed`` by themselves; with ``on_earlier_failure="stop"`` those
+    behind the first of them are ``skipped`` and run with the next batch. Any other failing step, or a batch without
+    a readable file, is recorded as ``failed`` and raised.
     """
     layers = layers_to_run(stop_after or feed.stop_after)
     with scratch_folders(spark):
@@ -386,6 +410,36 @@ def _run_batch(
         return _run_layers(spark, feed, new, hashed, house, steps, layers, now, batch_id, references, gold_inputs, resumed)
 
 
+def _land(spark: SparkSession, feed: Feed, files: DataFrame, house: Warehouse, now: str, batch_id: str) -> DataFrame:
+    filled = [r.path for r in files.filter("length > 0").select("path").collect()]
+    if not filled:
+        raise ValueError(f"{feed.name}: the files hold no data")
+    rows = read_records(spark, feed.fmt, filled, **feed.reader)
+    # Logged first: files count as landed once the batch is in bronze too, and can then be resumed from there.
+    house.log(files.select(F.lit(feed.name).alias("pipeline_name"), *_LANDED), "landed_files", batch_id, "all")
+    return land_bronze(rows, files, house.bronze(feed.name), batch_id=batch_id, now=now, metadata=feed.metadata)
+
+
+def unreadable_files(spark: SparkSession, feed: Feed, files: DataFrame) -> dict[str, str]:
+    """Files that the feed's reader fails on, with the first line of the error.
+
+    Only called when a batch could not be read. Halves of the list are tried until the files
+    are found, so k bad ones among n take about k * log2(n) reads.
+    """
+    found: dict[str, str] = {}
+    open_lists = [[r.path for r in files.filter("length > 0").orderBy("path").select("path").collect()]]
+    while open_lists:
+        paths = open_lists.pop()
+        try:
+            read_records(spark, feed.fmt, paths, **feed.reader).write.format("noop").mode("overwrite").save()
+        except Exception as problem:
+            if len(paths) == 1:
+                found[paths[0]] = (str(problem).strip() or type(problem).__name__).splitlines()[0]
+            else:
+                open_lists += [paths[: len(paths) // 2], paths[len(paths) // 2 :]]
+    return found
+
+
 def _run_layers(
     spark: SparkSession, feed: Feed, new: DataFrame, hashed: DataFrame, house: Warehouse, steps: _Steps,
     layers: tuple[str, ...], now: str, batch_id: str,
@@ -433,18 +487,33 @@ def _run_layers(
 
     # Bronze
     steps.current, steps.running = "raw", passed
-    passed_files = passed.select("path", "length").collect()
-    if not passed_files:
+    if passed.isEmpty():
         return finish(rejected)
-    filled = [r.path for r in passed_files if r.length > 0]
-    if not filled:
-        raise ValueError(f"{feed.name}: the files hold no data")
-    rows = read_records(spark, feed.fmt, filled, **feed.reader)
-    # Logged first: files count as landed once the batch is in bronze too, and can then be resumed from there.
-    house.log(
-        passed.select(F.lit(feed.name).alias("pipeline_name"), *_LANDED), "landed_files", batch_id, "all"
-    )
-    bronze = land_bronze(rows, passed, house.bronze(feed.name), batch_id=batch_id, now=now, metadata=feed.metadata)
+    stopped: list[DataFrame] = []
+    try:
+        bronze = _land(spark, feed, passed, house, now, batch_id)
+    except Exception as problem:
+        broken = unreadable_files(spark, feed, passed)
+        if not broken or passed.count() == len(broken):
+            raise problem
+        # The other files of the batch run, unless they have to wait for the broken one.
+        errors = spark.createDataFrame(list(broken.items()), "path string, error string")
+        state = F.when(F.col("error").isNotNull(), "failed").otherwise("ready")
+        marked = passed.join(errors, "path", "left").withColumn("status", state).withColumn("batch_id", F.lit(batch_id))
+        marked = materialize(batch_outcomes(materialize(marked, "marked"), feed.on_earlier_failure), "outcomes")
+        failed, waiting = marked.filter("outcome = 'failed'"), marked.filter("outcome = 'skipped'")
+        passed = marked.filter("outcome = 'ready'").select(*passed.columns)
+        none = F.lit(None)
+        steps.write("raw-failed", steps.event(failed, "raw", raw_name, F.lit("failed"), none, none))
+        steps.lineage(failed, "raw", F.lit("FAIL"), F.col(FILE_PATH), raw_name)
+        stopped = [
+            _run_rows(failed, F.lit("failed"), no_layer, none, F.lit(0), F.array("error")),
+            _run_rows(waiting, F.lit("skipped"), no_layer, none, F.lit(0), F.array(F.lit("an earlier file of the batch failed"))),
+        ]
+        if passed.isEmpty():
+            return finish(rejected, *stopped)
+        steps.running = passed
+        bronze = _land(spark, feed, passed, house, now, batch_id)
     landed = passed.join(bronze.groupBy(FILE_PATH).agg(F.count(F.lit(1)).alias("rows_in")), FILE_PATH, "left")
     landed = landed.withColumn("rows_in", F.coalesce("rows_in", F.lit(0)))
     complete = steps.event(landed, "raw", raw_name, F.lit("complete"), F.col("rows_in"), F.col("rows_in"))
@@ -452,10 +521,10 @@ def _run_layers(
     steps.lineage(passed, "raw", F.lit("COMPLETE"), F.col(FILE_PATH), raw_name)
     if "stage" not in layers:
         return finish(
-            rejected, _run_rows(landed, F.lit("succeeded"), F.lit("raw"), F.col("rows_in"), F.col("rows_in"), no_reasons)
+            rejected, *stopped, _run_rows(landed, F.lit("succeeded"), F.lit("raw"), F.col("rows_in"), F.col("rows_in"), no_reasons)
         )
 
-    return finish(rejected, *_silver_and_gold(spark, feed, passed, bronze, house, steps, layers, now, references, gold_inputs))
+    return finish(rejected, *stopped, *_silver_and_gold(spark, feed, passed, bronze, house, steps, layers, now, references, gold_inputs))
 
 
 def _known_rows(
@@ -506,7 +575,7 @@ def _build_gold(
     for build in feed.gold:
         gold_name = f"gold.{build.name}"
         began = steps.begin(files, "gold", gold_name)
-        run_gold_build(build, inputs, house.gold(build.name), now=now)
+        run_gold_build(build, inputs, house.gold(build.name, build.materialized), now=now)
         ended = steps.event(files, "gold", gold_name, F.lit("complete"), F.col("rows_out"), F.col("rows_out"))
         steps.write(gold_name, began, ended)
         steps.lineage(files, "gold", F.lit("COMPLETE"), F.lit(f"silver.{feed.name}"), gold_name)
@@ -556,7 +625,7 @@ def _silver_and_gold(
     promoted, blocked = outcome.filter(~F.col("blocked")), outcome.filter("blocked")
     # A blocked file leaves the silver table alone, also where it would replace it.
     if not promoted.isEmpty():
-        _write_stage(feed, valid, passed, house.stage(feed.name), batch_id)
+        _write_stage(feed, valid, promoted, house.stage(feed.name, feed.buckets), batch_id)
 
     # Anomalies
     promoted = promoted.withColumn("held", F.lit(False))
