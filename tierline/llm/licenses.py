@@ -4,8 +4,9 @@ Every line of every whole text is a possible header, and so is every run of cons
 at most ``RUN`` times the terms of the longest template, wherever it starts; lines without terms
 do not count, so a comment or paragraph of that length is such a run. Lines, runs and whole texts
 are compared with templates by TF-IDF cosine: inverse document frequencies of the templates' terms
-are counted over all files, a term of no template weighs as one that no file holds. A run that lacks
-a number of a template (a version) is none of it. A line or run of ``HEADER`` similarity or more
+are counted over all files, a term of no template weighs as one that no file holds. A line, run or
+text that lacks a number of a template (a version) is none of it. Whole licence texts are told by their title, which
+is a run of lines; of two licences with one wording (BSD with two and three clauses) the template's one is reported. A line or run of ``HEADER`` similarity or more
 gives its file a licence of its own; a file is a licence file of its directory if
 its name says so and it has a licence of its own, or if its whole text reaches ``WHOLE``. A file
 without a licence of its own takes that of the nearest directory above it (or its own) that has a
@@ -38,17 +39,25 @@ WHOLE = 0.5
 RUN = 2
 FILE_NAME = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
 
-# Short notices by SPDX id.
+# Short notices and titles of whole licence texts by SPDX id.
 TEMPLATES = (
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License."),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License, version 2."),
+    ("GPL-2.0", "GNU General Public License Version 2, June 1991"),
+    ("GPL-3.0", "GNU General Public License Version 3, 29 June 2007"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("LGPL-2.1", "GNU Lesser General Public License Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
 
@@ -76,7 +85,7 @@ class Templates:
         self.numbers = [set(_terms(" ".join(re.findall(r"\b[0-9]+\b", t)))) for _, t in templates]
         self.longest = max((sum(c.values()) for c in counts), default=0)
 
-    def best(self, terms: Counter, *, numbers: bool = False) -> tuple[float, str] | None:
+    def best(self, terms: Counter, *, numbers: bool = True) -> tuple[float, str] | None:
         """Largest cosine and its licence; with ``numbers`` only of templates whose numbers are all among the terms."""
         weights = {t: n * self.idf.get(t, self.unseen) for t, n in terms.items()}
         norm = math.sqrt(sum(w * w for w in weights.values()))
@@ -182,7 +191,7 @@ def own_licenses(files: DataFrame, model: Templates, *, header: float = HEADER)
                         # Best first: no later run can be better. The slack keeps ties.
                         if best is not None and runs[2][x] < best[0] - 1e-8:
                             break
-                        got = model.best(Counter(words.hash[runs[0][x] : runs[1][x]].tolist()), numbers=True)
+                        got = model.best(Counter(words.hash[runs[0][x] : runs[1][x]].tolist()))
                         if got and got[0] >= header and (best is None or (-round(got[0], 9), got[1]) < (-round(best[0], 9), best[1])):
                             best, line_no = got, int(line[runs[0][x] - a])
                 out.append((best and best[1], best and best[0], line_no, whole and whole[1], whole and whole[0]))
