@@ -121,19 +121,21 @@ def write_token_file(documents: DataFrame, folder: str, vocabulary: str, *, end:
         docs: list = []
         sizes: list[int] = []
         held: list[np.ndarray] = []
+        total = 0
 
         def flush() -> pa.RecordBatch:
             control, data = encode_numbers(shared.value[np.concatenate(held)])
-            row = [[shard], [number], [docs], [sizes], [sum(sizes)], [control], [data]]
+            row = [[shard], [number], [docs], [sizes], [total], [control], [data]]
             kinds = (pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.binary(), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], names=["shard", "block", "docs", "sizes", "n", "control", "data"])
 
         for batch in batches:
             for doc, n, ids in zip(*(c.to_pylist() for c in batch.columns)):
                 docs.append(doc), sizes.append(n), held.append(unpack(ids, n))
-                if sum(sizes) >= block:
+                total += n
+                if total >= block:
                     yield flush()
-                    number, docs, sizes, held = number + 1, [], [], []
+                    number, docs, sizes, held, total = number + 1, [], [], [], 0
         if docs:
             yield flush()
 
