@@ -364,16 +364,20 @@ def kept_bytes(text: bytes, cuts: list[dict]) -> bytes:
 
 @query("op10_suffix_dedup")
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digests, and as a further column the text that is left (a character cut in two shows as U+FFFD)."""
+
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             texts, cuts = part.column(1).cast(pa.large_binary()).to_pylist(), part.column(2).to_pylist()
+            left = [kept_bytes(t, c) for t, c in zip(texts, cuts)]
             removed = [sum(c["end"] - c["start"] for c in x) for x in cuts]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array(removed, pa.int64()),
-                 pa.array([len(x) for x in cuts], pa.int64()), pa.array([hashlib.sha256(kept_bytes(t, c)).hexdigest() for t, c in zip(texts, cuts)], pa.string())],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+                 pa.array([len(x) for x in cuts], pa.int64()), pa.array([hashlib.sha256(t).hexdigest() for t in left], pa.string()),
+                 pa.array([t.decode("utf-8", "replace") for t in left], pa.string())],
+                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"],
             )
 
     return repeated_spans(read(spark, sf_dir, "documents")).mapInArrow(
-        digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+        digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string"
     )
