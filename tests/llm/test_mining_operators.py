@@ -1,6 +1,8 @@
 """Spelling variants, phrases and main texts against brute-force versions on small tables with odd rows."""
 
+import os
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -8,7 +10,9 @@ import pyarrow as pa
 import pytest
 from test_text_operators import BASE, SCHEMA
 
-from tierline.llm import collocations, html_text, spelling
+from tierline.llm import collocations, html_text, licenses, near_dedup, spelling, token_files
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
 
 HOT = "kolossal " * 400
 TEXTS = [None, "", " \n\t", "Straße strasse STRASSE über Ober", "a" * 3000, BASE * 3, BASE * 3, BASE.replace("quick", "quikc"), HOT, HOT.replace("o", "a", 40),
@@ -171,3 +175,29 @@ def test_main_text(spark):
     assert sorted((r.page_id, r.url or "", r.text) for r in found.collect()) == sorted((i % 4, "" if i == 2 else "u", w) for i, (_, w) in enumerate(PAGES * 2) for i in [i % len(PAGES)])
     assert found.columns == ["page_id", "url", "text", "container", "score"]
     assert html_text.extract(table.limit(0)).count() == 0
+
+
+COMMON = "/usr/share/common-licenses"
+WHOLE_TEXTS = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0"}
+
+
+@pytest.mark.skipif(not os.path.isdir(COMMON), reason="no licence texts on this machine")
+def test_whole_licence_texts(spark):
+    files = [(f"{name}/LICENSE", open(f"{COMMON}/{name}", encoding="utf-8").read()) for name in WHOLE_TEXTS]
+    files += [(f"{name}/src/a.py", "code") for name in WHOLE_TEXTS]
+    found = licenses.license_scan(spark.createDataFrame(files, "path string, text string")).collect()
+    assert {(r.path.split("/")[0], r.license, r.origin) for r in found} == {(n, w, o) for n, w in WHOLE_TEXTS.items() for o in ("own", "inherited")}
+
+
+def test_reused_and_missing_ids_lose_no_link(spark):
+    words = lambda k, n=60: " ".join(f"{k}{i}" for i in range(n))
+    rows = [(1, words("a")), (1, words("b")), (2, words("a") + " x"), (3, words("b") + " x"), (4, words("c")), (None, words("c")), (5, None), (5, "")]
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id or 0, r.component_id) for r in found.collect()) == [(0, 4), (1, 1), (1, 1), (2, 1), (3, 1), (4, 4), (5, 5), (5, 5)]
+
+
+def test_many_empty_texts_are_written_in_seconds(spark, tmp_path):
+    empty = spark.range(40000).selectExpr("id AS doc_id", "cast(null AS string) AS text").coalesce(1)
+    began = time.time()
+    token_files.write_token_file(empty, f"file:{tmp_path}/t", public_tokenizers.path("word_bpe_49k.json"))
+    assert token_files.read_token_file(spark, f"file:{tmp_path}/t").count() == 40000 and time.time() - began < 60
