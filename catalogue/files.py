@@ -17,6 +17,7 @@ from tierline.operators.alerts import gate_alerts
 from tierline.operators.bronze import checksum_dedup, file_checksums, land_bronze, run_dedup
 from tierline.operators.checks import Rule
 from tierline.operators.gates import control_gates, line_counts
+from tierline.operators.lineage import column_edges_from_events
 from tierline.operators.quarantine import corrections_from, list_quarantine, resubmit
 from tierline.operators.rows import with_row_index
 from tierline.plans.ingest import Feed, Warehouse, run_batch
@@ -490,3 +491,18 @@ def resubmit_table(spark: SparkSession, folder: str) -> DataFrame:
     if not done.accepted and not corrected.isEmpty():
         raise ValueError(f"corrections were not accepted: {done}")
     return staged(house)
+
+
+@query(
+    "ingest_lineage_columns",
+    """SELECT DISTINCT 'bronze.orders' AS source_table, c AS source_column, 'silver.orders' AS target_table, c AS target_column, f AS function
+       FROM orders, (VALUES ('order_id', 'checks=[not_null, is_numeric]'), ('price', 'cast_to=decimal; checks=[not_null, is_numeric, {''less_than'': 450000}]'),
+                            ('ordered_on', 'cast_to=date; checks=[not_null, valid_date]')) AS v(c, f)""",
+)
+def ingest_lineage_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """The events of a run say which columns came from where and how."""
+    house = Warehouse(spark, new_folder(spark, "house"))
+    run_batch(spark, ORDER_FEED, order_files(spark, folder), house, now=NOW, batch_id="b1")
+    return column_edges_from_events(house.control("lineage_events")).select(
+        "source_table", "source_column", "target_table", "target_column", "function"
+    ).distinct()

@@ -11,6 +11,7 @@ from tierline.sources import (
     list_files, match_file_pattern, read_csv, read_delimited, read_fixed_width, read_json_records, read_records,
     read_xml_records, require_matches, sample_table, select_files, staging_view, unmatched_files,
 )
+from tierline.sources.registry import read_records
 from tierline.sources.files import NoMatchingFiles, file_sort_key, pattern_regex
 
 
@@ -172,3 +173,10 @@ def test_sample_and_view(spark):
     sample = sample_table(df, 10, seed=1)
     assert sample.columns == ["a"] and sample.count() == 10 and sample.distinct().count() == 10
     assert staging_view(df, {"a": "b"}).columns == ["b"]
+
+
+def test_reserved_column_names_are_refused(spark, tmp_path):
+    for header in ("_dq_x,v", "batch_id,v", "file_name,v"):
+        (tmp_path / "r.csv").write_text(header + "\n1,2\n")
+        with pytest.raises(Exception, match="reserved|uplicate|mbiguous"):
+            read_records(spark, "csv", f"file:{tmp_path}/r.csv").collect()

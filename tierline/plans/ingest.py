@@ -131,6 +131,11 @@ class BatchResult:
     runs: DataFrame
 
 
+def _structs(rows: list[tuple], names: tuple[str, ...]) -> Column:
+    made = F.array(*[F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(names, row)]) for row in rows])
+    return made.cast("array<struct<" + ",".join(f"`{n}`:string" for n in names) + ">>")
+
+
 class _Steps:
     """Step and lineage events of all files of a batch."""
 
@@ -159,13 +164,18 @@ class _Steps:
     def write(self, part: str, *events: DataFrame) -> None:
         self.house.log(reduce(DataFrame.unionByName, events), "step_events", self.batch_id, self.part + part)
 
-    def lineage(self, files: DataFrame, step: str, state: Column, source: Column, target: str) -> None:
-        """START of a step and how it ended."""
+    def lineage(
+        self, files: DataFrame, step: str, state: Column, source: Column, target: str, *,
+        fields: list[tuple[str, str, str]] = (), columns: list[tuple[str, str, str, str, str]] = (),
+    ) -> None:
+        """START of a step and how it ended, with the columns of its tables and where they come from, where they are given."""
         ended = F.explode(F.array(F.lit("START"), state)).alias("event_type")
         self.lineage_rows.append(
             files.select(
                 ended, self.at.alias("event_time"), "run_id", F.lit(f"{self.feed.name}.{step}").alias("job"),
                 F.array(source).alias("inputs"), F.array(F.lit(target)).alias("outputs"),
+                _structs(fields, ("dataset", "column", "type")).alias("schema_fields"),
+                _structs(columns, ("output", "output_column", "input", "input_column", "description")).alias("column_lineage"),
             )
         )
 
@@ -648,8 +658,16 @@ def _silver_and_gold(
         ),
     )
     steps.lineage(blocked, "stage", F.lit("FAIL"), F.lit(raw_name), stage_name)
-    steps.lineage(promoted, "stage", F.when(held, "FAIL").otherwise("COMPLETE"), F.lit(raw_name), stage_name)
-    house.log(raw_to_stage_edges(spark, rules, list(feed.business_key), raw_name, stage_name), "lineage_edges", batch_id, "all")
+    # One row a column of the feed.
+    edges = raw_to_stage_edges(spark, rules, list(feed.business_key), raw_name, stage_name).collect()
+    if edges:
+        house.log(spark.createDataFrame(edges), "lineage_edges", batch_id, "all")
+    fields = [(raw_name, c, "string") for c in data_columns(bronze.columns)]
+    fields += [(stage_name, f.name, f.dataType.simpleString()) for f in valid.schema.fields if f.name in set(data_columns(valid.columns))]
+    known = [(stage_name, e.target_column, raw_name, e.source_column, e.transformation) for e in edges]
+    steps.lineage(
+        promoted, "stage", F.when(held, "FAIL").otherwise("COMPLETE"), F.lit(raw_name), stage_name, fields=fields, columns=known
+    )
 
     # Gold
     to_gold = promoted.filter(~held)
