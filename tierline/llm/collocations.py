@@ -16,9 +16,9 @@ counts are per language (null: ``und``), which is part of the fingerprint.
 3. Every cut of a candidate is scored from the counts of its parts, which are frequent as well.
 
 Rows are counted in each slice of a task before they are shuffled, so a hot word or phrase sends one
-row a slice. Counts of parts are joined by key, those of the few most frequent parts by a broadcast. Null and empty texts have no words; repeated
-rows count as often as they occur; ties go to the shorter first part and to the phrase that comes first
-in byte order. A pointer of rows that share an id (or have none) names the id only. ``doc_id``,
+row a slice. Counts of parts are joined by key, those of the few most frequent parts by a broadcast.
+Null and empty texts have no words; repeated rows count as often as they occur; ties go to the shorter
+first part and to the phrase that comes first in byte order. A pointer of rows that share an id (or have none) names the id only. ``doc_id``,
 ``text`` and ``lang`` are read, other columns may have any name. Empty tables give no rows.
 """
 
@@ -28,7 +28,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
