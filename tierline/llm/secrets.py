@@ -3,8 +3,11 @@
 Fixed forms (``assign``, ``access``, ``hex``) are found by patterns. Other long tokens are
 scored with two character Markov models, one of random strings and one of ordinary
 identifiers: the sum over the token of log P(next | this; random) - log P(next | this; identifier).
-A token above ``MARGIN`` per step becomes a span of kind ``markov``; it never touches a span
-of a fixed form. The models are counts of character pairs in labelled samples.
+A token above ``MARGIN`` per step becomes a span of kind ``markov``. Where a fixed form covers
+a part of a token, what is left on either side is scored by itself, so a span never overlaps
+one of a fixed form and a secret beside one is not lost. Tokens and parts below
+``CANDIDATE_LENGTH`` characters are not scored. The models are counts of character pairs in
+labelled samples.
 
 DataFrame functions only. A pattern's matches and what lies between them (``split`` by the same
 pattern) give the positions, in code points, by a running sum; patterns see every whole text, the
@@ -30,7 +33,8 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "markov")
 
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+CANDIDATE_LENGTH = 20
+CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{CANDIDATE_LENGTH},}}"
 ASSIGN_VALUE = 8
 MARGIN = 0.5
 #: Documents (those with the smallest hash of their id) whose words are the labelled identifiers.
@@ -136,6 +140,27 @@ def labelled_samples(documents: DataFrame, limit: int = TRAINING_DOCUMENTS, gene
     return random.unionByName(words)
 
 
+def _beside(tokens: Column, base: Column) -> Column:
+    """The tokens without what the base spans cover, in parts of ``CANDIDATE_LENGTH`` characters or more."""
+
+    def parts(t: Column) -> Column:
+        inside = F.array_sort(F.filter(base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+        part = lambda start, end: F.array(F.struct(start.alias("start"), end.alias("end")))
+        long_enough = lambda start, end: end - start >= CANDIDATE_LENGTH
+        first = F.struct(F.array().cast("array<struct<start:int,end:int>>").alias("out"), t["start"].alias("at"))
+
+        def step(acc: Column, b: Column) -> Column:
+            out = F.when(long_enough(acc["at"], b["start"]), F.concat(acc["out"], part(acc["at"], b["start"]))).otherwise(acc["out"])
+            return F.struct(out.alias("out"), F.greatest(acc["at"], b["end"]).alias("at"))
+
+        left = F.aggregate(inside, first, step, lambda a: F.when(long_enough(a["at"], t["end"]), F.concat(a["out"], part(a["at"], t["end"]))).otherwise(a["out"]))
+        return F.transform(left, lambda g: F.struct(
+            g["start"].alias("start"), t["kind"].alias("kind"), g["end"].alias("end"), F.substring(t["value"], g["start"] - t["start"] + 1, g["end"] - g["start"]).alias("value")
+        ))
+
+    return F.flatten(F.transform(tokens, parts))
+
+
 def with_spans(documents: DataFrame, model: Markov, *, margin: float = MARGIN, into: str = "secrets") -> DataFrame:
     """``documents`` with ``into``: all spans by start, then kind (a number into ``KINDS``)."""
     text = text_of()
@@ -146,8 +171,7 @@ def with_spans(documents: DataFrame, model: Markov, *, margin: float = MARGIN, i
     )
     tokens = _matches(text, CANDIDATE, 3)
     staged = documents.withColumn("__base", base).withColumn("__tokens", F.coalesce(tokens, F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")))
-    apart = F.filter("__tokens", lambda t: ~F.exists("__base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    odd = F.filter(apart, lambda t: model.score(t["value"]) > margin)
+    odd = F.filter(_beside(F.col("__tokens"), F.col("__base")), lambda t: model.score(t["value"]) > margin)
     found = F.when(F.size("__tokens") > 0, F.concat("__base", _plain(odd))).otherwise(F.col("__base"))
     return staged.withColumn(into, F.array_sort(found)).drop("__base", "__tokens")
 
