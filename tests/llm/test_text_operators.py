@@ -64,6 +64,34 @@ def test_contamination(spark):
     assert {r.doc_id for r in kept.collect()} == {d for d, (n, h, _) in want.items() if not (h and 20 * h >= n)}
 
 
+def test_contamination_ties_and_frequent_grams(spark):
+    """Few words, so grams tie within windows and occur in nearly all items; spans differ by one word before and behind."""
+    draw = np.random.default_rng(5)
+    items = [" ".join(draw.choice(["a", "b"], n)) for n in (3, 12, 13, 14, 21, 40)] + ["a " * 30, "so it goes like this " + BASE, "so it goes like that " + BASE[:60]]
+    items += [f"so it goes like this {i} " + " ".join(draw.choice(["x", "y", "z"], 12)) for i in range(30)]
+    texts = [" ".join(draw.choice(["a", "b"], 80)) for _ in range(8)] + ["a " * n for n in (12, 13, 100)]
+    texts += [f"q {t} r" for t in items] + [" ".join(t.split()[1:]) for t in items] + [" ".join(t.split()[:12]) for t in items] + [" ".join(t.split()[2:15]) for t in items]
+    windows = defaultdict(set)
+    for i, t in enumerate(items):
+        w = t.lower().split()
+        n = min(13, len(w))
+        for s in range(len(w) - n + 1):
+            windows[tuple(w[s : s + n])].add(str(i))
+    want = {}
+    for d, t in enumerate(texts):
+        w, hit, found = t.lower().split(), set(), set()
+        for n in {len(k) for k in windows}:
+            for s in range(len(w) - n + 1):
+                if tuple(w[s : s + n]) in windows:
+                    hit |= set(range(s, s + n))
+                    found |= windows[tuple(w[s : s + n])]
+        want[d] = (len(w), len(hit), sorted(found))
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit, r.item_ids) for r in decontamination.contamination(documents(spark, texts), bench).collect()}
+    assert got == want
+    assert [decontamination.bitmap_bits(n) for n in (0, 1, 1 << 19, (1 << 19) + 1, 1 << 40)] == [1 << 23, 1 << 23, 1 << 23, 1 << 24, 1 << 28]
+
+
 def brute_components(texts, shingle, percent):
     sets = []
     for t in texts:

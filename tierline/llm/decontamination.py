@@ -1,11 +1,17 @@
 """Benchmark decontamination by winnowing.
 
-Every window of ``WINDOW`` words of a benchmark item has a fingerprint: the minimum
-hash of the ``GRAM``-word grams in it. Documents are fingerprinted in the same way,
-so a shared window always has the same fingerprint on both sides. Fingerprints
-and window hashes of the benchmark, as bitmaps of fixed size, thin the windows of the
-documents before the shuffle; what passes is joined by fingerprint, window hash and the
-words themselves, so hits are exact. An item of fewer words is one window.
+Of the ``GRAM``-word grams in each window of ``WINDOW`` words the one with the least hash is
+selected (of equal ones the last). The selection depends on the window's words alone, so a
+window that a document shares with a benchmark item selects the same gram on both sides: all
+shared windows are found from selected grams. Selected grams of both sides are joined by hash,
+words and the hash of a window that selects them (a gram that is frequent in both tables meets
+only contexts it shares a window with), and each match is extended word by word to the left and
+right. A span of a whole window or more is a hit; as words are compared, hits are exact. An item of
+fewer words is one window, with grams of at most its length.
+
+Two bitmaps of the benchmark, of selected grams and of windows, thin the documents before the
+shuffle. They are sized by the number of windows; beyond ``BITMAP_MOST`` bits more is shuffled,
+with the same result.
 
 Null and empty texts have no words. Repeated documents each get a row; repeated
 items count once. Only ``doc_id, text`` and ``item_id, text`` are read, so further columns
@@ -18,92 +24,116 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.functions.names import col
 from tierline.functions.spread import materialize
 from tierline.llm.common import ROW, numbered, query, read
-from tierline.llm.hashing import Words, mix, signed, slices, sliding_min
+from tierline.llm.hashing import Words, mix, slices, sliding_min
 
 WINDOW = 13
 GRAM = 5
-BITMAP_BITS = 1 << 23
+#: Bits of a bitmap for each window of the benchmark, and the least and most bits of one.
+BITS_PER_WINDOW = 16
+BITMAP_LEAST, BITMAP_MOST = 1 << 23, 1 << 28
 _BUCKET_BITS = 32768  # of Spark's bitmap functions
 
 _KEPT = np.zeros(256, bool)
 _KEPT[0x30:0x3A] = _KEPT[0x41:0x5B] = _KEPT[0x61:0x7B] = _KEPT[0x80:] = True
-
-
-def _window_hashes(words: Words, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprint and hash of the window of ``length`` words at each word."""
-    gram = min(gram, length)
-    return sliding_min(words.grams(gram), length - gram + 1), mix(words.grams(length) ^ np.uint64(0x5851F42D4C957F2D))
-
-
-def _spell(words: Words, first: int, length: int) -> str:
-    raw = words.data.tobytes() if not hasattr(words, "raw") else words.raw
-    words.raw = raw
-    return " ".join(raw[words.start[i] : words.end[i]].decode("utf-8", "replace").translate(_LOWER) for i in range(first, first + length))
-
-
 _LOWER = {i: i + 32 for i in range(65, 91)}
 
-WINDOWS_SCHEMA = "item_id long, n int, fingerprint long, window long, words string"
 
-
-def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """One row per item and window: its length in words, fingerprint, hash and words."""
+class _Windows:
+    """Windows of ``length`` words: their hashes, and the gram that each selects."""
+
+    def __init__(self, words: Words, length: int, gram: int) -> None:
+        self.words, self.length, self.gram = words, length, min(gram, length)
+        self.width = length - self.gram + 1
+        self.grams = words.grams(self.gram)
+        self.least = sliding_min(self.grams, self.width)
+        self.hashes = mix(words.grams(length) ^ np.uint64(0x5851F42D4C957F2D))
+
+    def selected(self, first: np.ndarray) -> np.ndarray:
+        """Position of the last least gram of the windows at ``first``; grows with them."""
+        at = first.copy()
+        for i in range(1, self.width):
+            at = np.where(self.grams[first + i] == self.least[first], first + i, at)
+        return at
+
+    def seeds(self, first: np.ndarray) -> Iterator[tuple[int, dict]]:
+        """Row and seed for each gram that the windows at ``first`` (ascending) select: where it is, what is around it and who selects it."""
+        if not len(first):
+            return
+        at, begin = np.unique(self.selected(first), return_index=True)
+        rows = np.searchsorted(self.words.rows, at, side="right") - 1
+        for p, row, own in zip(at.tolist(), rows.tolist(), np.split(self.hashes[first].view(np.int64), begin[1:])):
+            low, high = int(self.words.rows[row]), int(self.words.rows[row + 1])
+            end = p + self.gram
+            yield row, {
+                "at": p - low, "n": self.length, "print": int(self.grams[p].view(np.int64)), "gram": " ".join(self._spell(p, end)),
+                "left": self._spell(max(low, end - self.length), p)[::-1], "right": self._spell(end, min(high, p + self.length)), "windows": own.tolist(),
+            }
+
+    def _spell(self, first: int, end: int) -> list[str]:
+        words = self.words
+        return [words.data[words.start[i] : words.end[i]].tobytes().decode("utf-8", "replace").translate(_LOWER) for i in range(first, end)]
+
+
+_SEED_FIELDS = "n int, print long, gram string, left array<string>, right array<string>, windows array<long>"
+_SEED = [
+    ("n", pa.int32()), ("print", pa.int64()), ("gram", pa.string()), ("left", pa.list_(pa.string())), ("right", pa.list_(pa.string())),
+    ("windows", pa.list_(pa.int64())),
+]
+
+
+def benchmark_seeds(benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """One row per item and selected gram with its words, the words around it (nearest first) and the windows that select it."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             words = Words(part.column(1), _KEPT)
-            ids = part.column(0).to_pylist()
-            out: list[tuple] = []
-            tables = {}
-            for i, n in enumerate(words.counts()):
-                if not n:
-                    continue
-                length = min(int(n), window)
-                if length not in tables:
-                    tables[length] = _window_hashes(words, length, gram)
-                prints, hashes = tables[length]
-                for first in range(words.rows[i], words.rows[i + 1] - length + 1):
-                    out.append((ids[i], length, prints[first].view(np.int64), hashes[first].view(np.int64), _spell(words, first, length)))
-            columns = list(zip(*out)) if out else [[]] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string()))],
-                names=["item_id", "n", "fingerprint", "window", "words"],
-            )
+            ids, counts = part.column(0).to_pylist(), words.counts()
+            found: list[dict] = []
+            for length in sorted({min(int(n), window) for n in counts if n}):
+                rows = np.flatnonzero(np.minimum(counts, window) == length)
+                first = np.concatenate([np.arange(words.rows[i], words.rows[i + 1] - length + 1) for i in rows])
+                found += [{"item_id": ids[row], **seed} for row, seed in _Windows(words, length, gram).seeds(first)]
+            fields = [("item_id", pa.int64()), *_SEED]
+            yield pa.RecordBatch.from_arrays([pa.array([r[name] for r in found], kind) for name, kind in fields], names=[name for name, _ in fields])
 
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    return items.mapInArrow(cut, WINDOWS_SCHEMA).distinct()
+    return items.mapInArrow(cut, f"item_id long, {_SEED_FIELDS}").distinct()
 
 
-def _bitmap(windows: DataFrame, column: str) -> np.ndarray:
-    """Which of ``BITMAP_BITS`` values of the column's low bits occur; 1 MB whatever the benchmark's size."""
-    low = F.pmod(F.col(column), F.lit(BITMAP_BITS))
+def _bitmap(values: DataFrame, bits: int) -> np.ndarray:
+    """Which low bits of the column ``value`` occur; at most ``BITMAP_MOST`` bits reach the driver."""
+    low = F.pmod(F.col("value"), F.lit(bits))
     rows = (
-        windows.select(F.floor(low / _BUCKET_BITS).alias("bucket"), (low % _BUCKET_BITS).alias("bit"))
+        values.select(F.floor(low / _BUCKET_BITS).alias("bucket"), (low % _BUCKET_BITS).alias("bit"))
         .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
     )
-    out = np.zeros(BITMAP_BITS // 8, np.uint8)
+    out = np.zeros(bits // 8, np.uint8)
     for r in rows:
         out[r["bucket"] * _BUCKET_BITS // 8 :][: _BUCKET_BITS // 8] = np.frombuffer(r["bits"], np.uint8)
     return out
 
 
+def bitmap_bits(windows: int) -> int:
+    """A power of two with ``BITS_PER_WINDOW`` bits a window, within the least and the most."""
+    return min(max(1 << (BITS_PER_WINDOW * windows - 1).bit_length(), BITMAP_LEAST), BITMAP_MOST) if windows else BITMAP_LEAST
+
+
 def _has(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
-    low = values & np.uint64(BITMAP_BITS - 1)
+    low = values & np.uint64(len(bits) * 8 - 1)
     return (bits[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-SCAN_SCHEMA = "doc_id long, n_words long, found array<struct<start:int,n:int,fingerprint:long,window:long,words:string>>"
-_FOUND = pa.struct([("start", pa.int32()), ("n", pa.int32()), ("fingerprint", pa.int64()), ("window", pa.int64()), ("words", pa.string())])
+SCAN_SCHEMA = f"doc_id long, n_words long, found array<struct<at: int, {', '.join(f.replace(' ', ': ', 1) for f in _SEED_FIELDS.split(', '))}>>"
 
 
 def scan_documents(documents: DataFrame, lengths: list[int], prints: np.ndarray, hashes: np.ndarray, gram: int = GRAM) -> DataFrame:
-    """Per document the number of words and the windows whose fingerprint and hash the bitmaps hold."""
+    """Per document the number of words and the grams selected by windows that the bitmaps hold."""
     spark = documents.sparkSession
     shared = spark.sparkContext.broadcast((prints, hashes))
 
@@ -114,48 +144,64 @@ def scan_documents(documents: DataFrame, lengths: list[int], prints: np.ndarray,
             row_of = np.repeat(np.arange(part.num_rows), words.counts())
             found: list[list[dict]] = [[] for _ in range(part.num_rows)]
             for n in lengths:
-                fingerprint, window = _window_hashes(words, n, gram)
-                if not len(window):
-                    continue
-                near = np.flatnonzero(_has(known_prints, fingerprint))
+                windows = _Windows(words, n, gram)
+                near = np.flatnonzero(_has(known_prints, windows.least))
                 near = near[row_of[near] == row_of[near + n - 1]]
-                for first in near[_has(known_hashes, window[near])]:
-                    row = row_of[first]
-                    found[row].append(
-                        {"start": int(first - words.rows[row]), "n": n, "fingerprint": int(fingerprint[first].view(np.int64)),
-                         "window": int(window[first].view(np.int64)), "words": _spell(words, int(first), n)}
-                    )
+                for row, seed in windows.seeds(near[_has(known_hashes, windows.hashes[near])]):
+                    found[row].append(seed)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(words.counts(), pa.int64()), pa.array(found, pa.list_(_FOUND))], names=["doc_id", "n_words", "found"]
+                [part.column(0), pa.array(words.counts(), pa.int64()), pa.array(found, pa.list_(pa.struct([("at", pa.int32()), *_SEED])))],
+                names=["doc_id", "n_words", "found"],
             )
 
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return docs.mapInArrow(scan, SCAN_SCHEMA)
 
 
+def _common(a: str, b: str) -> Column:
+    """How many words two lists share from their beginning on."""
+    same = F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False)))
+    return (F.array_position(F.concat(same, F.array(F.lit(False))), False) - 1).cast("int")
+
+
 def contamination(documents: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, n_items and item_ids (sorted as strings)."""
-    windows = materialize(benchmark_windows(benchmark, window, gram), "windows")
-    lengths = sorted(r[0] for r in windows.select("n").distinct().collect())  # at most ``window`` numbers
-    scanned = scan_documents(documents, lengths, _bitmap(windows, "fingerprint"), _bitmap(windows, "window"), gram)
+    seeds = materialize(benchmark_seeds(benchmark, window, gram), "seeds")
+    around = ["n", "print", "gram", "left", "right", "windows"]
+    contexts = materialize(seeds.select(*around).distinct().withColumn("context", F.monotonically_increasing_id()), "contexts")
+    members = seeds.join(contexts, around).select("context", "item_id")
+
+    lengths = sorted(r[0] for r in contexts.select("n").distinct().collect())  # at most ``window`` numbers
+    bits = bitmap_bits(contexts.agg(F.sum(F.size("windows"))).first()[0] or 0)
+    prints = _bitmap(contexts.select(F.col("print").alias("value")), bits)
+    hashes = _bitmap(contexts.select(F.explode("windows").alias("value")), bits)
+    scanned = scan_documents(documents, lengths, prints, hashes, gram)
     scanned = materialize(scanned.withColumn("row", F.monotonically_increasing_id()), "scanned")
 
     seen = scanned.filter(F.size("found") > 0).select("row", F.inline("found"))
-    key = ["n", "fingerprint", "window", "words"]
-    hits = materialize(seen.join(windows.select(*key).distinct(), key, "left_semi"), "hits")
-    # Windows of a document in order; a fold adds what each adds beyond the end of those before it.
-    ordered = hits.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("start", "n"))).alias("runs"))
+    seen = seen.select("row", "at", "n", "print", "gram", "left", "right", F.explode("windows").alias("window"))
+    known = contexts.select(
+        "context", "n", "print", "gram", F.col("left").alias("item_left"), F.col("right").alias("item_right"), F.explode("windows").alias("window")
+    )
+    words = F.least(F.lit(gram), F.col("n"))
+    spans = seen.join(known, ["n", "print", "gram", "window"]).select(
+        "row", "context", "n", (F.col("at") - _common("left", "item_left")).alias("start"),
+        (F.col("at") + words + _common("right", "item_right")).alias("end"),
+    )
+    hits = materialize(spans.filter(F.col("end") - F.col("start") >= F.col("n")).select("row", "context", "start", "end").distinct(), "hits")
+    # Spans of a document in order; a fold adds what each adds beyond the end of those before it.
+    ordered = hits.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("runs"))
     covered = F.aggregate(
         "runs", F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("hit")),
-        lambda a, w: F.struct(
-            F.greatest(a["end"], w["start"] + w["n"]).alias("end"),
-            (a["hit"] + F.greatest(F.lit(0), w["start"] + w["n"] - F.greatest(a["end"], w["start"]))).cast("long").alias("hit"),
+        lambda a, s: F.struct(
+            F.greatest(a["end"], s["end"]).alias("end"),
+            (a["hit"] + F.greatest(F.lit(0), s["end"] - F.greatest(a["end"], s["start"]))).cast("long").alias("hit"),
         ),
         lambda a: a["hit"],
     )
     hit = ordered.select("row", covered.alias("n_hit"))
     items = (
-        hits.select("row", *key).distinct().join(windows, key).select("row", F.col("item_id").cast("string").alias("item")).distinct()
+        hits.select("row", "context").distinct().join(members, "context").select("row", F.col("item_id").cast("string").alias("item")).distinct()
         .groupBy("row").agg(F.sort_array(F.collect_list("item")).alias("item_ids"))
     )
     return scanned.select("row", "doc_id", "n_words").join(hit.join(items, "row"), "row", "left").select(
