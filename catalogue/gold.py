@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from catalogue.registry import landed, money, query, table
 from tierline.functions.spread import new_folder
-from tierline.operators.bucket_table import Scd2Table
+from tierline.operators.bucket_table import BucketTable, Scd2Table
+from tierline.operators.incremental import KeyMart, SumMart
 from tierline.operators.scd2 import current_versions, scd2_changes, scd2_merge
 from tierline.operators.tables import SnapshotTable
 from tierline.plans.gold import (
@@ -186,29 +187,74 @@ def gold_rollup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query(
-    "gold_fx",
-    """WITH d AS (SELECT user_id, event_type, CASE WHEN hour(ts) < 12 THEN 'am' ELSE 'pm' END AS source_type, CAST(ts AS DATE) AS fx_date,
+_FX = """WITH d AS (SELECT user_id, event_type, CASE WHEN hour(ts) < 12 THEN 'am' ELSE 'pm' END AS source_type, CAST(ts AS DATE) AS fx_date,
                          CAST(sum(CAST(value AS DECIMAL(10,2))) AS DECIMAL(18,8)) AS rate FROM events GROUP BY 1, 2, 3, 4),
        r AS (SELECT *, lag(rate) OVER (PARTITION BY user_id, event_type, source_type ORDER BY fx_date) AS prior_rate,
                     row_number() OVER (PARTITION BY user_id, event_type, source_type ORDER BY fx_date DESC) AS recency FROM d)
        SELECT user_id AS from_ccy, event_type AS to_ccy, source_type, fx_date AS latest_fx_date, CAST(rate AS DOUBLE) AS latest_rate,
               CAST(prior_rate AS DOUBLE) AS prior_rate,
               CASE WHEN prior_rate IS NULL OR prior_rate = 0 THEN NULL ELSE round(CAST(rate - prior_rate AS DOUBLE) / CAST(prior_rate AS DOUBLE) * 100, 4) END AS change_pct,
-              round(1 / CAST(rate AS DOUBLE), 8) AS inverse_rate FROM r WHERE recency = 1""",
-)
-def gold_fx(spark: SparkSession, folder: str) -> DataFrame:
+              round(1 / CAST(rate AS DOUBLE), 8) AS inverse_rate FROM r WHERE recency = 1"""
+
+
+def exchange_rates(spark: SparkSession, folder: str) -> DataFrame:
     half = F.when(F.hour("ts") < 12, "am").otherwise("pm")
-    stage = table(spark, folder, "events").groupBy(
+    return table(spark, folder, "events").groupBy(
         F.col("user_id").alias("fromCCY"), F.col("event_type").alias("toCCY"), half.alias("sourceType"), F.to_date("ts").alias("fxDate")
     ).agg(F.sum(F.col("value").cast("decimal(10,2)")).cast("decimal(18,8)").alias("fxRate"))
-    rates = latest_rates(fx_view(stage), now=NOW)
+
+
+def _rates_as_doubles(rates: DataFrame) -> DataFrame:
     return rates.select(
         "from_ccy", "to_ccy", "source_type", "latest_fx_date",
         *[F.col(c).cast("double").alias(c) for c in ("latest_rate", "prior_rate", "change_pct", "inverse_rate")],
     )
 
 
+@query("gold_fx", _FX)
+def gold_fx(spark: SparkSession, folder: str) -> DataFrame:
+    return _rates_as_doubles(latest_rates(fx_view(exchange_rates(spark, folder)), now=NOW))
+
+
+# Marts that follow silver by its changes -----------------------------------------
+
+@query("gold_incremental", _AUM)
+def gold_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily assets over three batches: some rows come with a wrong amount, some under a wrong day, and are corrected later."""
+    right = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", F.to_date("o_orderdate").alias("as_of_date"), money("o_totalprice").alias("total_net_assets_usd"))
+    amount, day = F.col("o_orderstatus") == "F", F.col("o_orderstatus") == "P"
+    wrong = right.withColumns({
+        "total_net_assets_usd": F.when(amount, F.col("total_net_assets_usd") + 1).otherwise(F.col("total_net_assets_usd")),
+        "as_of_date": F.when(day, F.date_add("as_of_date", 4000)).otherwise(F.col("as_of_date")),
+    })
+    silver = BucketTable(spark, new_folder(spark, "silver"))
+    mart = SumMart(silver, BucketTable(spark, new_folder(spark, "mart")), ["as_of_date"], {"total_net_assets_usd": "total_net_assets_usd"}, count="positions")
+    for batch in (wrong, right.filter(amount), right.filter(day)):
+        silver.upsert(batch, ["o_orderkey"])
+        out = mart.update()
+    return daily_aum(out).select(
+        "as_of_date", F.col("company_aum").cast("double").alias("company_aum"),
+        F.round("daily_aum_change_pct", 9).alias("daily_aum_change_pct"),
+    )
+
+
+@query("gold_incremental_fx", _FX)
+def gold_incremental_fx(spark: SparkSession, folder: str) -> DataFrame:
+    """Latest rates of which those before noon come wrong at first; the second update computes their pairs alone."""
+    right = landed(exchange_rates(spark, folder))
+    early = F.col("sourceType") == "am"
+    wrong = right.withColumn("fxRate", F.when(early, (F.col("fxRate") + 1).cast("decimal(18,8)")).otherwise(F.col("fxRate")))
+    silver = BucketTable(spark, new_folder(spark, "silver"))
+    mart = KeyMart(
+        silver, BucketTable(spark, new_folder(spark, "mart")), {"fromCCY": "from_ccy", "toCCY": "to_ccy", "sourceType": "source_type"},
+        lambda rows: latest_rates(fx_view(rows), now=NOW),
+    )
+    for batch in (wrong, right.filter(early)):
+        silver.upsert(batch, ["fromCCY", "toCCY", "sourceType", "fxDate"])
+        out = mart.update()
+    return _rates_as_doubles(out)
+
+
 # History over two states of the customers' order totals ------------------------
 
 _SNAPSHOTS = """WITH s1 AS (SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total, count(*) AS orders

@@ -38,6 +38,8 @@ class Manifest:
     schema: dict
     folders: dict[int, str] = field(default_factory=dict)
     added: list[str] = field(default_factory=list)
+    #: What else became true with this version, such as the version of another table that it was made from.
+    note: dict = field(default_factory=dict)
 
     def to_json(self) -> str:
         return json.dumps(self.__dict__)
@@ -95,6 +97,18 @@ class BucketTable:
         manifest = self.manifest(version)
         return None if manifest is None else self._load(manifest, [*manifest.folders.values(), *manifest.added])
 
+    def changes(self, since: int, until: int, sign: str) -> DataFrame:
+        """Rows of the buckets that differ between two versions: those of ``since`` with -1 in ``sign``, those of ``until`` with 1.
+
+        Version 0 is the empty table. Rows that did not change come with both signs and cancel out in sums; buckets that
+        no write between the versions touched are not read.
+        """
+        new = self.manifest(until)
+        old = self.manifest(since) if since else Manifest(0, new.key, new.buckets, new.schema)
+        now, then = {*new.folders.values(), *new.added}, {*old.folders.values(), *old.added}
+        gone = self._load(old, sorted(then - now)).withColumn(sign, F.lit(-1))
+        return gone.unionByName(self._load(new, sorted(now - then)).withColumn(sign, F.lit(1)))
+
     def _bucket(self, key: list[str], buckets: int) -> Column:
         return F.pmod(F.xxhash64(*[col(k) for k in key]), F.lit(buckets)).cast("int")
 
@@ -112,12 +126,13 @@ class BucketTable:
         before = self.manifest()
         with scratch_folders(self.spark):
             incoming = latest_per_key(source, key, order) if order else source
-            self._upsert(before, incoming, key, [])
+            self.upsert_from(before, incoming, key, [])
         return self.read()
 
-    def _upsert(self, before: Manifest | None, incoming: DataFrame, key: list[str], added: list[str]) -> None:
+    def upsert_from(self, before: Manifest | None, incoming: DataFrame, key: list[str], added: list[str], note: dict | None = None) -> None:
+        """The upsert on top of a version that was read; it fails if another write came since. ``added`` are folders to be named as they are."""
         if before is None:
-            manifest = Manifest(1, list(key), self.buckets, json.loads(incoming.schema.json()))
+            manifest = Manifest(1, list(key), self.buckets, json.loads(incoming.schema.json()), note=note or {})
             folder, filled = self._write_buckets(incoming, key, self.buckets)
             self._commit(Manifest(**{**manifest.__dict__, "folders": {b: f"{folder}/{_BUCKET}={b}" for b in filled}, "added": added}))
             return
@@ -128,12 +143,14 @@ class BucketTable:
         incoming = materialize(incoming.select(*[col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]), "incoming")
         touched = sorted(r[0] for r in incoming.select(self._bucket(key, before.buckets)).distinct().collect())
         if not touched:
+            if note is not None:
+                self._commit(Manifest(**{**before.__dict__, "version": before.version + 1, "note": note}))
             return
         old = [before.folders[b] for b in touched if b in before.folders]
         merged = merge_upsert(self._load(before, old), incoming, key)
         folder, filled = self._write_buckets(merged, key, before.buckets)
         folders = {**before.folders, **{b: f"{folder}/{_BUCKET}={b}" for b in filled}}
-        self._commit(Manifest(before.version + 1, before.key, before.buckets, before.schema, folders, [*before.added, *added]))
+        self._commit(Manifest(before.version + 1, before.key, before.buckets, before.schema, folders, [*before.added, *added], before.note if note is None else note))
 
     def drop_old(self, keep: int = 2) -> None:
         """Removes all but the newest ``keep`` versions and the folders that none of them names."""
@@ -174,7 +191,7 @@ class Scd2Table(BucketTable):
         before = self.manifest()
         with scratch_folders(self.spark):
             if before is None:
-                self._upsert(None, scd2_changes(None, snapshot, key, tracked, now), key, [])
+                self.upsert_from(None, scd2_changes(None, snapshot, key, tracked, now), key, [])
                 return self.read()
             changes = materialize(scd2_changes(self.active(), snapshot, key, tracked, now), "changes")
             closed = changes.filter(~F.col("active_flag"))
@@ -183,5 +200,5 @@ class Scd2Table(BucketTable):
                 added = [f"closed/{uuid.uuid4().hex}"]
                 schema = StructType.fromJson(before.schema)
                 closed.select(*[col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]).write.parquet(f"{self.root}/{added[0]}")
-            self._upsert(before, changes.filter("active_flag"), key, added)
+            self.upsert_from(before, changes.filter("active_flag"), key, added)
         return self.read()
