@@ -7,6 +7,7 @@ back through the library and compare with the table itself.
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -473,6 +474,51 @@ def ingest_outcomes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+class _Died(BaseException):
+    """Ends a run as the loss of its driver would: nothing is recorded or cleaned up."""
+
+
+class _DyingWarehouse(Warehouse):
+    def log(self, df: DataFrame, name: str, batch_id: str, part: str) -> None:
+        if name == "runs":
+            raise _Died
+        super().log(df, name, batch_id, part)
+
+
+@query(
+    "ingest_commit",
+    """SELECT phase, layer, count(*) FILTER (WHERE (phase = 'finished' OR o_orderkey % 2 = 0) AND
+              (layer IN ('bronze', 'runs') OR (layer = 'silver') = (CAST(o_totalprice AS DECIMAL(18,2)) < 450000))) AS n
+       FROM orders, (VALUES ('died'), ('finished')) AS p(phase), (VALUES ('bronze'), ('silver'), ('quarantine'), ('runs')) AS l(layer) GROUP BY 1, 2""",
+)
+def ingest_commit(spark: SparkSession, folder: str) -> DataFrame:
+    """A run dies behind its last table, in front of its last log: no layer shows any of it. The next run finishes it."""
+    root, cells = new_folder(spark, "house"), order_cells(spark, folder)
+    house, feed = Warehouse(spark, root), replace(ORDER_FEED, buckets=16)
+    places = [new_folder(spark, "feed") for _ in range(2)]
+    for half, place in enumerate(places):
+        cells.filter(F.col("order_id").cast("long") % 2 == half).write.option("header", True).csv(place)
+    run_batch(spark, feed, places[0], house, now=NOW, batch_id="b1")
+    try:
+        run_batch(spark, feed, places[1], _DyingWarehouse(spark, root), now=NOW, batch_id="b2")
+    except _Died:
+        pass
+    counted = []
+    for phase in ("died", "finished"):
+        if phase == "finished":
+            run_batch(spark, feed, places, house, now=NOW, batch_id="b3")
+        # A run that a later batch finished is told by both.
+        runs = house.control("runs").filter("status = 'succeeded'").groupBy("run_id").agg(F.max("rows_in").alias("rows_in"))
+        layers = {"bronze": house.landed("orders"), "silver": house.stage("orders").read(), "quarantine": house.control("quarantine")}
+        one = F.lit(1).cast("long")
+        rows = [df.agg(F.sum(one).alias("n")).select(F.lit(name).alias("layer"), "n") for name, df in layers.items()]
+        rows.append(runs.agg(F.sum("rows_in").alias("n")).select(F.lit("runs").alias("layer"), "n"))
+        seen = reduce(DataFrame.unionByName, rows).select(F.lit(phase).alias("phase"), "layer", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
+        # As it is seen now; the next run changes it.
+        counted.append(materialize(seen, "seen"))
+    return counted[0].unionByName(counted[1])
+
+
 @query(
     "resubmit_table",
     """SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer,

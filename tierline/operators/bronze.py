@@ -22,7 +22,7 @@ from tierline.functions.names import (
     data_columns,
 )
 from tierline.functions.spread import attach_by_key, is_small, top_per_key
-from tierline.operators.tables import path_exists, replace_batch
+from tierline.operators.tables import partition_folders, path_exists, replace_batch
 from tierline.sources.scan import Paths
 
 # A file up to this size is hashed as one value; larger ones are digested by line, in their order.
@@ -190,13 +190,12 @@ def landed_checksums(spark: SparkSession, path: str, file_log: DataFrame | None,
     """
     if not path_exists(spark, path):
         return None
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    names = [s.getPath().getName() for s in root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)]
-    present = {n.split("=", 1)[1] for n in names if n.startswith(BATCH_ID + "=")}
+    present = set(partition_folders(spark, path, BATCH_ID))
     logged: set[str] = set()
     found = None
     if file_log is not None:
-        others = file_log.filter(F.col(BATCH_ID) != batch_id)
+        # A batch that stopped between its log and bronze has landed nothing.
+        others = file_log.filter((F.col(BATCH_ID) != batch_id) & F.col(BATCH_ID).isin(sorted(present)))
         # One id per batch, as many as there are partition folders.
         logged = {r[0] for r in others.select(BATCH_ID).distinct().collect()}
         found = others.select(FILE_CHECKSUM)

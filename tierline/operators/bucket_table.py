@@ -51,12 +51,16 @@ class Manifest:
 
 
 class BucketTable:
-    """A table of unique keys (rows without a full key are kept side by side) with upserts by bucket."""
+    """A table of unique keys (rows without a full key are kept side by side) with upserts by bucket.
 
-    def __init__(self, spark: SparkSession, root: str, *, buckets: int = BUCKETS):
+    With ``upto`` it is the table at an older version, which can only be read.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, *, buckets: int = BUCKETS, upto: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets
+        self.upto = upto
 
     def _path(self, path: str):
         jpath = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -67,7 +71,8 @@ class BucketTable:
         if not fs.exists(folder):
             return []
         names = [s.getPath().getName() for s in fs.listStatus(folder)]
-        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+        found = sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+        return found if self.upto is None else [v for v in found if v <= self.upto]
 
     def _file(self, version: int) -> str:
         return f"{self.root}/{_MANIFESTS}/{version:08d}.json"
@@ -82,6 +87,16 @@ class BucketTable:
     def exists(self) -> bool:
         return bool(self.versions())
 
+    def _require_newest(self) -> None:
+        if self.upto is not None:
+            raise RuntimeError(f"{self.root} is held at version {self.upto} by a batch that is not committed")
+
+    def restore(self, version: int) -> None:
+        """Takes back the versions after ``version``; their folders go with ``drop_old``."""
+        for later in reversed([v for v in self.versions() if v > version]):
+            fs, path = self._path(self._file(later))
+            fs.delete(path, False)
+
     def _commit(self, new: Manifest) -> None:
         if path_exists(self.spark, self._file(new.version)):
             raise RuntimeError(f"{self.root}: version {new.version} was written by somebody else")
@@ -131,6 +146,7 @@ class BucketTable:
 
     def upsert_from(self, before: Manifest | None, incoming: DataFrame, key: list[str], added: list[str], note: dict | None = None) -> None:
         """The upsert on top of a version that was read; it fails if another write came since. ``added`` are folders to be named as they are."""
+        self._require_newest()
         if before is None:
             manifest = Manifest(1, list(key), self.buckets, json.loads(incoming.schema.json()), note=note or {})
             folder, filled = self._write_buckets(incoming, key, self.buckets)
@@ -154,6 +170,7 @@ class BucketTable:
 
     def drop_old(self, keep: int = 2) -> None:
         """Removes all but the newest ``keep`` versions and the folders that none of them names."""
+        self._require_newest()
         found = self.versions()
         kept = [self.manifest(v) for v in found[-keep:]]
         named = {f for m in kept for f in [*m.folders.values(), *m.added]}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
@@ -17,6 +18,8 @@ from tierline.operators import alerts as alert_ops
 from tierline.operators.anomaly import RUN_NUMBER, anomaly_messages, anomaly_reasons, score_history
 from tierline.operators.bronze import checksum_dedup, file_checksums, land_bronze, landed_checksums, read_batch
 from tierline.operators.bucket_table import BUCKETS, BucketTable, Scd2Table
+from tierline.operators.commits import FAILED as FAILED_BATCH
+from tierline.operators.commits import UNDONE, BatchJournal
 from tierline.operators.checks import FAILED, Rule, check_rows, distinct_reasons, split_batch
 from tierline.operators.gates import Bounds, control_gates, line_counts
 from tierline.operators.lineage import raw_to_stage_edges
@@ -25,7 +28,7 @@ from tierline.operators.profile import compute_profile
 from tierline.operators.quarantine import quarantine_files, quarantine_rows
 from tierline.operators.rows import with_row_index
 from tierline.operators.stage import latest_per_key, upsert_partitions, write_stage
-from tierline.operators.tables import LogTable, SnapshotTable, path_exists
+from tierline.operators.tables import LogTable, SnapshotTable, partition_folders, read_batches
 from tierline.plans.gold import GoldBuild, run_gold_build
 from tierline.sources.files import file_sort_key, list_files, require_matches, select_files
 from tierline.sources.registry import read_records
@@ -34,6 +37,9 @@ _ANY: Bounds = (0, 2**62)
 # What the log of landed files keeps of a file.
 _LANDED = (FILE_PATH, FILE_NAME, FILE_CHECKSUM, "length", "sort_key", "run_id")
 _LAYERS = ("raw", "stage", "gold")
+# Logs that show what a failed batch did, and those that must not hold anything of it.
+_TELL_OF_FAILURES = ("step_events", "lineage_events", "alerts")
+_TAKEN_BACK = ("runs", "quarantine", "run_reasons", "profile_history", "lineage_edges")
 
 
 @dataclass(frozen=True)
@@ -89,24 +95,54 @@ class Feed:
 
 
 class Warehouse:
-    """Where the tables of all feeds live, as folders below one root."""
+    """Where the tables of all feeds live, as folders below one root.
+
+    Rows of batches that are not committed are not seen, and silver tables and marts that such a batch writes to
+    are read as they were before it (see ``operators/commits.py``). Silver tables with ``partition_by`` are the exception:
+    their partitions are replaced in place. Whoever reads several tables while a batch commits may see some before and some after it.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.journal = BatchJournal(spark, f"{self.root}/control/_batches")
+        self._sees_all = False
+
+    def writing(self) -> Warehouse:
+        """The same warehouse as batches see it themselves: with all that is not committed."""
+        inner = copy.copy(self)
+        inner._sees_all = True
+        return inner
 
     def bronze(self, feed: str) -> str:
         return f"{self.root}/bronze/{feed}"
 
+    def landed(self, feed: str) -> DataFrame | None:
+        """The bronze rows of a feed; None before the first batch."""
+        return read_batches(self.spark, self.bronze(feed), "batch_id", self._hidden())
+
+    def rejected_files(self) -> DataFrame | None:
+        """Files that a gate stopped, with their bytes; None where there are none. Large ones are kept as chunks beside them."""
+        return read_batches(self.spark, self.folder("quarantined_files") + "/files", "batch_id", self._hidden())
+
+    def _hidden(self, *, but_failed: bool = False) -> frozenset[str]:
+        return frozenset() if self._sees_all else self.journal.hidden(but_failed=but_failed)
+
+    def _kinds(self, place: str, keyed: type[BucketTable], **options: int) -> tuple[SnapshotTable, BucketTable]:
+        """A table as snapshots and by buckets, each held where an open batch writes to it."""
+        held = [] if self._sees_all else self.journal.held_at(place)
+        root, ids = f"{self.root}/{place}", frozenset(h.batch_id for h in held)
+        plain = SnapshotTable(self.spark, root, upto=min((h.snapshot for h in held), default=None), without=ids)
+        return plain, keyed(self.spark, root, upto=min((h.manifest for h in held), default=None), **options)
+
     def stage(self, feed: str, buckets: int = 0) -> SnapshotTable | BucketTable:
         """The silver table of a feed; in ``buckets`` if it has been written so or is to be."""
-        plain = SnapshotTable(self.spark, f"{self.root}/silver/{feed}")
-        dealt = BucketTable(self.spark, f"{self.root}/silver/{feed}", buckets=buckets or BUCKETS)
+        plain, dealt = self._kinds(f"silver/{feed}", BucketTable, buckets=buckets or BUCKETS)
         return dealt if dealt.exists() or (buckets and not plain.exists()) else plain
 
     def gold(self, name: str, materialized: str = "table") -> SnapshotTable | Scd2Table:
         """A mart; a history that was not begun as snapshots takes only its changes."""
-        plain, history = SnapshotTable(self.spark, f"{self.root}/gold/{name}"), Scd2Table(self.spark, f"{self.root}/gold/{name}")
+        plain, history = self._kinds(f"gold/{name}", Scd2Table)
         return history if history.exists() or (materialized == "scd2" and not plain.exists()) else plain
 
     def resolved(self) -> SnapshotTable:
@@ -120,7 +156,32 @@ class Warehouse:
         LogTable(self.spark, self.folder(name)).write(df, batch_id, part)
 
     def control(self, name: str) -> DataFrame | None:
-        return LogTable(self.spark, self.folder(name)).read()
+        return LogTable(self.spark, self.folder(name)).read(self._hidden(but_failed=name in _TELL_OF_FAILURES))
+
+    def begin(self, batch_id: str, feed: str, places: list[str]) -> None:
+        """Marks a batch that is going to write to the tables in ``places``."""
+        versions = {}
+        for place in places:
+            plain, keyed = self.writing()._kinds(place, BucketTable)
+            versions[place] = tuple(max(t.versions(), default=0) for t in (plain, keyed))
+        self.journal.begin(batch_id, feed, versions)
+
+    def undo(self, batch_id: str, state: str = UNDONE) -> None:
+        """Takes back what an open batch wrote; only what it landed stays, so that it can be finished."""
+        for held in self.journal.held(batch_id):
+            plain, keyed = self.writing()._kinds(held.place, BucketTable)
+            plain.restore(held.snapshot, batch_id)
+            keyed.restore(held.manifest)
+        for name in _TAKEN_BACK:
+            LogTable(self.spark, self.folder(name)).remove(batch_id)
+        self.journal.close(batch_id, state)
+
+    def recover(self) -> list[str]:
+        """Takes back all open batches, for when none is running; returns their ids."""
+        found = self.journal.open_batches()
+        for batch_id in found:
+            self.undo(batch_id)
+        return found
 
 
 @dataclass(frozen=True)
@@ -311,12 +372,14 @@ def run_batch(
     its whole batch is finished from bronze, under its own ids. Repeating a batch id replaces its
     own rows. Files that cannot be read are ``failed`` by themselves; with ``on_earlier_failure="stop"`` those
     behind the first of them are ``skipped`` and run with the next batch. Any other failing step, or a batch without
-    a readable file, is recorded as ``failed`` and raised.
+    a readable file, is recorded as ``failed`` and raised. All that a batch writes becomes visible at its
+    end, also for a batch that died and is finished later; what a dead batch of the feed left is taken back first, so
+    a feed may have one run at a time.
     """
     layers = layers_to_run(stop_after or feed.stop_after)
     with scratch_folders(spark):
         return _run_batch(
-            spark, feed, path, house, layers, now=now, batch_id=batch_id or uuid.uuid4().hex, references=references,
+            spark, feed, path, house.writing(), layers, now=now, batch_id=batch_id or uuid.uuid4().hex, references=references,
             gold_inputs=gold_inputs, strict_names=strict_names,
         )
 
@@ -329,10 +392,11 @@ def _run_rows(files: DataFrame, status: Column, layer: Column, rows_in: Column,
 
 
 def _own_runs(house: Warehouse, feed: Feed, batch_id: str) -> DataFrame | None:
-    """Run rows of this feed from other batches, without the notes about skipped files."""
+    """Run rows of this feed from other committed batches, without the notes about skipped files."""
     log = house.control("runs")
     if log is None:
         return None
+    log = log.filter(~F.col("batch_id").isin(sorted(house.journal.hidden())))
     return log.filter((F.col("pipeline_name") == feed.name) & (F.col("batch_id") != batch_id) & (F.col("status") != "skipped"))
 
 
@@ -344,20 +408,24 @@ def _judged(runs: DataFrame, layers: tuple[str, ...]) -> DataFrame:
 
 
 def _unfinished(house: Warehouse, feed: Feed, hashed: DataFrame, layers: tuple[str, ...], batch_id: str) -> list[str]:
-    """Other batches whose content is listed again and has landed, but is in no silver table yet.
+    """Other batches whose content is listed again and has landed, but is in no silver table or not committed yet.
 
     One id per batch that failed or stopped early; batches that went through are sorted out before.
     """
     log = house.control("landed_files")
-    if log is None or layers[-1] == "raw":
+    if log is None:
         return []
     landed = log.filter((F.col("pipeline_name") == feed.name) & (F.col("batch_id") != batch_id))
     landed = landed.join(hashed.select(FILE_CHECKSUM).distinct(), FILE_CHECKSUM, "left_semi")
     runs = _own_runs(house, feed, batch_id)
-    if runs is not None:
+    if layers[-1] == "raw":
+        # What landed is enough, if it was committed.
+        landed = landed.filter(F.col("batch_id").isin(sorted(house.journal.hidden())))
+    elif runs is not None:
         landed = landed.join(_judged(runs, layers[:2]).select(FILE_CHECKSUM).distinct(), FILE_CHECKSUM, "left_anti")
     found = landed.groupBy("batch_id").agg(F.min("sort_key").alias("at")).orderBy("at", "batch_id").collect()
-    return [r.batch_id for r in found if path_exists(house.spark, f"{house.bronze(feed.name)}/batch_id={r.batch_id}")]
+    present = partition_folders(house.spark, house.bronze(feed.name), "batch_id")
+    return [r.batch_id for r in found if r.batch_id in present]
 
 
 def _resume(
@@ -369,10 +437,13 @@ def _resume(
     files = materialize(log.select(*_LANDED), "files")
     steps = _Steps(house, feed, batch_id, files, F.lit(now).cast("timestamp"), part="resumed")
     steps.current = "stage"
-    with steps.recorded():
-        steps.write("stage-begin", steps.begin(files, "stage", f"silver.{feed.name}"))
+    with _one_commit(house, feed, layers, batch_id), steps.recorded():
         bronze = read_batch(spark, house.bronze(feed.name), batch_id)
-        done = reduce(DataFrame.unionByName, _silver_and_gold(spark, feed, files, bronze, house, steps, layers, now, references, gold_inputs))
+        if "stage" in layers:
+            steps.write("stage-begin", steps.begin(files, "stage", f"silver.{feed.name}"))
+            done = reduce(DataFrame.unionByName, _silver_and_gold(spark, feed, files, bronze, house, steps, layers, now, references, gold_inputs))
+        else:
+            done = _raw_runs(_counted(files, bronze))
         done = done.select("*", F.lit(feed.name).alias("pipeline_name"), F.lit(now).cast("timestamp").alias("started_at"))
         earlier = house.control("runs")
         if earlier is not None:
@@ -383,12 +454,39 @@ def _resume(
         steps.write_lineage()
 
 
+@contextmanager
+def _one_commit(house: Warehouse, feed: Feed, layers: tuple[str, ...], batch_id: str) -> Iterator[None]:
+    """Makes the writes inside visible together at the end; an exception takes them back, but not what was landed."""
+    places = [f"silver/{feed.name}"] if "stage" in layers else []
+    places += [f"gold/{b.name}" for b in feed.gold if b.materialized != "view"] if "gold" in layers else []
+    house.begin(batch_id, feed.name, places)
+    try:
+        yield
+    except Exception:
+        house.undo(batch_id, FAILED_BATCH)
+        raise
+    house.journal.commit(batch_id)
+
+
+def _counted(files: DataFrame, bronze: DataFrame) -> DataFrame:
+    """Files with the number of their bronze rows."""
+    counted = files.join(bronze.groupBy(FILE_PATH).agg(F.count(F.lit(1)).alias("rows_in")), FILE_PATH, "left")
+    return counted.withColumn("rows_in", F.coalesce("rows_in", F.lit(0)))
+
+
+def _raw_runs(landed: DataFrame) -> DataFrame:
+    rows = F.col("rows_in")
+    return _run_rows(landed, F.lit("succeeded"), F.lit("raw"), rows, rows, F.array().cast("array<string>"))
+
+
 def _run_batch(
     spark: SparkSession, feed: Feed, path: str | list[str], house: Warehouse, layers: tuple[str, ...], *, now: str, batch_id: str,
     references: Mapping[str, tuple[DataFrame, str]] | None, gold_inputs: Mapping[str, DataFrame] | None, strict_names: bool,
 ) -> BatchResult:
 
     found = discover(spark, feed, path, strict=strict_names)
+    for dead in house.journal.open_batches(feed.name):
+        house.undo(dead)
     if feed.skip_known_content or FILE_CHECKSUM in feed.metadata:
         sums = file_checksums(spark, [r.path for r in found.select("path").collect()])
         empty = F.when(F.col("length") == 0, F.sha2(F.lit(""), 256))
@@ -416,7 +514,7 @@ def _run_batch(
     )
     new = materialize(new.withColumn("run_id", run_id), "files")
     steps = _Steps(house, feed, batch_id, new, F.lit(now).cast("timestamp"))
-    with steps.recorded():
+    with _one_commit(house, feed, layers, batch_id), steps.recorded():
         return _run_layers(spark, feed, new, hashed, house, steps, layers, now, batch_id, references, gold_inputs, resumed)
 
 
@@ -457,7 +555,6 @@ def _run_layers(
 ) -> BatchResult:
     at = F.lit(now).cast("timestamp")
     raw_name, stage_name = f"bronze.{feed.name}", f"silver.{feed.name}"
-    no_reasons = F.array().cast("array<string>")
     no_layer = F.lit(None).cast("string")
 
     def finish(*runs: DataFrame) -> BatchResult:
@@ -524,15 +621,12 @@ def _run_layers(
             return finish(rejected, *stopped)
         steps.running = passed
         bronze = _land(spark, feed, passed, house, now, batch_id)
-    landed = passed.join(bronze.groupBy(FILE_PATH).agg(F.count(F.lit(1)).alias("rows_in")), FILE_PATH, "left")
-    landed = landed.withColumn("rows_in", F.coalesce("rows_in", F.lit(0)))
+    landed = _counted(passed, bronze)
     complete = steps.event(landed, "raw", raw_name, F.lit("complete"), F.col("rows_in"), F.col("rows_in"))
     steps.write("raw", complete, *([steps.begin(passed, "stage", stage_name)] if "stage" in layers else []))
     steps.lineage(passed, "raw", F.lit("COMPLETE"), F.col(FILE_PATH), raw_name)
     if "stage" not in layers:
-        return finish(
-            rejected, *stopped, _run_rows(landed, F.lit("succeeded"), F.lit("raw"), F.col("rows_in"), F.col("rows_in"), no_reasons)
-        )
+        return finish(rejected, *stopped, _raw_runs(landed))
 
     return finish(rejected, *stopped, *_silver_and_gold(spark, feed, passed, bronze, house, steps, layers, now, references, gold_inputs))
 
