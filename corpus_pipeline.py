@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.functions.names import col
 from tierline.functions.spread import materialize
 from tierline.llm import decontamination, language, near_dedup, packing, secrets
 
@@ -24,7 +23,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Rejects documents without letters and those that no language dominates, each row by its own text."""
     model = language.train(docs.filter(~F.coalesce(language.held_out(F.col("doc_id")), F.lit(False))))
     # The row goes through the model with its text, so that no id has to find it again.
-    found = language.identify(docs, model, key=F.struct(*[col(c) for c in docs.columns]))
+    found = language.identify(docs, model, whole_rows=True)
     return found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE)).select("doc_id.*")
 
 

@@ -3,14 +3,16 @@
 import hashlib
 import re
 import struct
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from itertools import groupby
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tierline.llm import bit_sliced, chat, decontamination, language, licenses, near_dedup, packing, secrets, suffixes, token_files
+from tierline.llm import bit_sliced, chat, decontamination, language, licenses, near_dedup, packing, secrets, suffixes, token_files, tokens
 from tierline.llm.common import read
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -314,6 +316,21 @@ def test_rare_language_is_predicted(spark):
     assert got == {0: "fi", 1: "en", 2: "ru", 3: "fi"}
 
 
+def test_labelling_holds_little_memory():
+    """Two and a half million words in whole rows: a worker needs a small multiple of one batch of words, not of all."""
+    text = "the weather and this thought that with das wetter und dieser gedanke nicht mit " * 120
+    log = np.zeros((4, language.BUCKETS), np.float32)
+    model = language.Model(("a", "b", "c", "d"), log, np.ones((len(language.SCRIPT_NAMES), 4), bool))
+    rows = pa.StructArray.from_arrays([pa.array(range(400)), pa.array([text] * 400)], names=["doc_id", "text"])
+    batches = (pa.RecordBatch.from_arrays([rows], names=["doc_id"]) for _ in range(4))
+    tracemalloc.start()
+    n = sum(batch.num_rows for batch in language.label(batches, model))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 1600
+    assert peak < 120 << 20
+
+
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(1)
     counts = np.array([4, 0, 6, 1])

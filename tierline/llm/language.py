@@ -25,12 +25,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierline.functions.names import col
 from tierline.llm.common import query, read
 from tierline.llm.hashing import slices, text_bytes
 
 BUCKETS = 1 << 16
 SWITCH = 12.0
-BATCH_WORDS = 2_000_000
+#: Words labelled in one pass, and bytes of text cut into words at once: what a worker holds besides the model.
+BATCH_WORDS = 1_000_000
+SLICE_BYTES = 512 << 10
 UNKNOWN = "und"
 #: Share of a language's words from which it counts as written in a script.
 SCRIPT_SHARE = 0.001
@@ -116,7 +119,7 @@ def train(documents: DataFrame) -> Model:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE_BYTES):
             words = Letters(part.column(1))
             langs = part.column(0).to_pylist()
             for i, lang in enumerate(langs):
@@ -150,7 +153,7 @@ def train(documents: DataFrame) -> Model:
 
 def viterbi(scores: np.ndarray, counts: np.ndarray, penalty: float) -> np.ndarray:
     """Best label of every word; rows of ``scores`` are the words of the texts one after the other, ``counts`` words each."""
-    labels = np.zeros(len(scores), np.int64)
+    labels = np.zeros(len(scores), np.int32)
     order = np.argsort(-counts, kind="stable")
     sizes = counts[order]
     starts = (np.cumsum(counts) - counts)[order]
@@ -160,7 +163,7 @@ def viterbi(scores: np.ndarray, counts: np.ndarray, penalty: float) -> np.ndarra
         return labels
     active = np.searchsorted(-sizes, -np.arange(1, sizes[0] + 1), side="right")
     stay = np.ones(scores.shape, bool)
-    jump = np.zeros(len(scores), np.int64)
+    jump = np.zeros(len(scores), np.int32)
     value = scores[starts].astype(np.float64)
     last = np.zeros(len(order), np.int64)
     for t in range(1, int(sizes[0])):
@@ -192,64 +195,76 @@ PREDICTED = (
 _SPAN = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
 
 
-def identify(documents: DataFrame, model: Model, *, penalty: float = SWITCH, key: Column | None = None) -> DataFrame:
-    """Per row: doc_id (or ``key``, e.g. the whole row), lang_pred, score and the labelled spans (code points)."""
+def _finish(held: list, languages: tuple[str, ...], penalty: float) -> pa.RecordBatch:
+    counts = np.concatenate([h[1] for h in held])
+    labels = viterbi(np.concatenate([h[2] for h in held]), counts, penalty)
+    start, end = np.concatenate([h[3] for h in held]), np.concatenate([h[4] for h in held])
+    bounds = np.concatenate([[0], np.cumsum(counts)])
+    row = np.repeat(np.arange(len(counts)), counts)
+    letters = np.zeros((len(counts), len(languages)))
+    np.add.at(letters, (row, labels), end - start)
+    new = np.ones(len(labels), bool)
+    new[1:] = (labels[1:] != labels[:-1]) | (row[1:] != row[:-1])
+    heads = np.flatnonzero(new)
+    tails = np.append(heads[1:], len(labels)) - 1 if len(heads) else heads
+    spans = pa.StructArray.from_arrays(
+        [pa.array(start[heads], pa.int32()), pa.array(end[tails], pa.int32()), pa.array(languages, pa.string()).take(pa.array(labels[heads]))], names=["start", "end", "lang"]
+    )
+    lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(heads, bounds), pa.int32()), spans)
+    best = letters.argmax(axis=1)
+    total = letters.sum(axis=1)
+    share = letters[np.arange(len(best)), best] / np.maximum(total, 1)
+    names = [languages[b] if t else UNKNOWN for b, t in zip(best, total)]
+    return pa.RecordBatch.from_arrays(
+        [pa.concat_arrays([h[0] for h in held]), pa.array(names, pa.string()), pa.array(share, pa.float64()), lists.cast(_SPAN)],
+        names=["doc_id", "lang_pred", "score", "spans"],
+    )
+
+
+def _with_text(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Rows that come whole bring their text; a second copy beside them would only fill the worker."""
+    if batch.num_columns > 1:
+        return batch
+    text = batch.column(0).field("text")
+    return pa.RecordBatch.from_arrays([batch.column(0), text if pa.types.is_string(text.type) else text.cast(pa.string())], names=["doc_id", "text"])
+
+
+def label(batches: Iterator[pa.RecordBatch], model: Model, penalty: float = SWITCH) -> Iterator[pa.RecordBatch]:
+    """Batches of doc_id and text, or of whole rows as structs, with the columns of ``PREDICTED`` instead of the text."""
+    held, size = [], 0
+    for part in slices(map(_with_text, batches), "text", SLICE_BYTES):
+        ids = part.column(0)
+        if not model.languages:
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array([UNKNOWN] * len(ids)), pa.array([0.0] * len(ids)), pa.array([[]] * len(ids), _SPAN)], names=["doc_id", "lang_pred", "score", "spans"]
+            )
+            continue
+        words = Letters(part.column(1))
+        scores = np.zeros((len(words.start), len(model.languages)), np.float32)
+        for k in range(len(model.languages)):
+            sums = np.concatenate([[0.0], np.cumsum(np.where(words.inside, model.log[k][words.bucket], 0.0), dtype=np.float64)])
+            scores[:, k] = sums[words.end] - sums[words.start]
+        scores[~model.allowed[words.script]] = -1e6
+        row = np.repeat(np.arange(len(ids)), np.diff(words.rows))
+        base = words.offsets[row]
+        held.append((ids, np.diff(words.rows), scores, (words.start - base).astype(np.int32), (words.end - base).astype(np.int32)))
+        size += len(scores)
+        if size >= BATCH_WORDS:
+            done, held, size = _finish(held, model.languages, penalty), [], 0
+            yield done
+    if held:
+        yield _finish(held, model.languages, penalty)
+
+
+def identify(documents: DataFrame, model: Model, *, penalty: float = SWITCH, key: Column | None = None, whole_rows: bool = False) -> DataFrame:
+    """Per row: doc_id (or ``key``, or with ``whole_rows`` the row as a struct), lang_pred, score and the labelled spans (code points)."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
-
-    def finish(held: list) -> pa.RecordBatch:
-        languages = shared.value.languages
-        counts = np.concatenate([h[1] for h in held])
-        labels = viterbi(np.concatenate([h[2] for h in held]), counts, penalty)
-        start, end = np.concatenate([h[3] for h in held]), np.concatenate([h[4] for h in held])
-        bounds = np.concatenate([[0], np.cumsum(counts)])
-        row = np.repeat(np.arange(len(counts)), counts)
-        letters = np.zeros((len(counts), len(languages)))
-        np.add.at(letters, (row, labels), end - start)
-        new = np.ones(len(labels), bool)
-        new[1:] = (labels[1:] != labels[:-1]) | (row[1:] != row[:-1])
-        heads = np.flatnonzero(new)
-        tails = np.append(heads[1:], len(labels)) - 1 if len(heads) else heads
-        spans = pa.StructArray.from_arrays(
-            [pa.array(start[heads], pa.int32()), pa.array(end[tails], pa.int32()), pa.array(languages, pa.string()).take(pa.array(labels[heads]))], names=["start", "end", "lang"]
-        )
-        lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(heads, bounds), pa.int32()), spans)
-        best = letters.argmax(axis=1)
-        total = letters.sum(axis=1)
-        share = letters[np.arange(len(best)), best] / np.maximum(total, 1)
-        names = [languages[b] if t else UNKNOWN for b, t in zip(best, total)]
-        return pa.RecordBatch.from_arrays(
-            [pa.concat_arrays([h[0] for h in held]), pa.array(names, pa.string()), pa.array(share, pa.float64()), lists.cast(_SPAN)],
-            names=["doc_id", "lang_pred", "score", "spans"],
-        )
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, held, size = shared.value, [], 0
-        for part in slices(batches, "text"):
-            ids = part.column(0)
-            if not model.languages:
-                yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array([UNKNOWN] * len(ids)), pa.array([0.0] * len(ids)), pa.array([[]] * len(ids), _SPAN)], names=["doc_id", "lang_pred", "score", "spans"]
-                )
-                continue
-            words = Letters(part.column(1))
-            scores = np.zeros((len(words.start), len(model.languages)), np.float32)
-            for k in range(len(model.languages)):
-                sums = np.concatenate([[0.0], np.cumsum(np.where(words.inside, model.log[k][words.bucket], 0.0), dtype=np.float64)])
-                scores[:, k] = sums[words.end] - sums[words.start]
-            scores[~model.allowed[words.script]] = -1e6
-            row = np.repeat(np.arange(len(ids)), np.diff(words.rows))
-            base = words.offsets[row]
-            held.append((ids, np.diff(words.rows), scores, words.start - base, words.end - base))
-            size += len(scores)
-            if size >= BATCH_WORDS:
-                yield finish(held)
-                held, size = [], 0
-        if held:
-            yield finish(held)
-
-    key = F.col("doc_id").cast("long") if key is None else key
-    docs = documents.select(key.alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(work, T.StructType([docs.schema[0], *PREDICTED]))
+    if whole_rows:
+        docs = documents.select(F.struct(*[col(c) for c in documents.columns]).alias("doc_id"))
+    else:
+        key = F.col("doc_id").cast("long") if key is None else key
+        docs = documents.select(key.alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return docs.mapInArrow(lambda batches: label(batches, shared.value, penalty), T.StructType([docs.schema[0], *PREDICTED]))
 
 
 def held_out(doc_id: Column) -> Column:
