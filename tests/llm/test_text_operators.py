@@ -261,6 +261,45 @@ def test_token_file_round_trip(spark, tmp_path):
     assert token_files.read_token_file(spark, empty).count() == 0
 
 
+def test_pieces_are_cut_beside_latin_letters(monkeypatch):
+    """Accented words beside punctuation and in capitals are looked up as words; the ids are those of the whole texts."""
+    rng = np.random.default_rng(5)
+    parts = [*"aßÄéÇÿ×÷ªµŁİΣς1.,!?'<|~", "\u0301", "\u0338", "\u00a0", "\u0085", "\u001c", " ", "  ", "\n", "漢", "Ж", "ǅ", "'s", "'ll", "🙂"]
+    texts = ["".join(rng.choice(parts, 40)) for _ in range(3000)]
+    texts += [f"{a}haus{b}{c}" for a in ("Ä", "é", "", "x") for b in ("ß", "ñ", "Ü") for c in ("!!", ".***", ",", "7")]
+    encoder = tokens.Encoder(vocabulary())
+    for cache in (300_000, 40):
+        monkeypatch.setattr(tokens, "CACHE", cache)
+        for a in range(0, len(texts), 600):
+            ids, bounds = encoder.encode(pa.array(texts[a : a + 600]))
+            assert [ids[x:y].tolist() + [1] for x, y in zip(bounds, bounds[1:])] == ids_of(texts[a : a + 600], 1)
+        assert len(encoder.known) <= cache
+
+    encoder, whole = tokens.Encoder(vocabulary()), []
+
+    class Library:
+        def __init__(self, library):
+            self.library = library
+
+        def encode(self, text, **options):
+            whole.append(text)
+            return self.library.encode(text, **options)
+
+    encoder.library = Library(encoder.library)
+    encoder.encode(pa.array(texts[3000:]))
+    assert sorted(whole) == ["!!", ",", ".***", "7"]
+
+
+def test_ids_of_two_and_four_bytes():
+    ids, bounds = np.array([1, 70000, 5, 65535, 2], np.uint32), np.array([0, 2, 3, 3, 5])
+    for top in (5, 1):
+        some, at = ids[5 - top :], np.maximum(bounds - (5 - top), 0)
+        packed = token_files._pack(some, at)
+        n = np.diff(at)
+        assert token_files.unpack_all(packed, n).tolist() == some.tolist()
+        assert [token_files.unpack(x, k).tolist() for x, k in zip(packed.to_pylist(), n)] == [some[a:b].tolist() for a, b in zip(at, at[1:])]
+
+
 def test_number_codes():
     numbers = np.array([0, 1, 255, 256, 65535, 65536, 2**24 - 1, 2**24, 2**32 - 1], np.uint32)
     for n in range(len(numbers) + 1):

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tierline.functions.spread import materialize, new_folder
 from tierline.llm.common import partitions_for, query, read
-from tierline.llm.hashing import slices
+from tierline.llm.hashing import slices, text_bytes
 from tierline.llm.tokens import encoder, with_end
 
 END = 1
@@ -55,8 +55,13 @@ def decode_numbers(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
-def _pack(ids: np.ndarray) -> bytes:
-    return ids.astype("<u4" if len(ids) and ids.max() > 0xFFFF else "<u2").tobytes()
+def _pack(ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The ids of each row as little-endian integers of 2 or 4 bytes."""
+    if ids.max(initial=0) <= 0xFFFF and bounds[-1] < 1 << 30:
+        at = pa.py_buffer((2 * bounds).astype(np.int32))
+        return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, at, pa.py_buffer(ids.astype("<u2"))])
+    rows = (ids[a:b] for a, b in zip(bounds, bounds[1:]))
+    return pa.array([x.astype("<u4" if len(x) and x.max() > 0xFFFF else "<u2").tobytes() for x in rows], pa.binary())
 
 
 TOKENS = "doc_id long, n long, ids binary"
@@ -69,9 +74,8 @@ def tokenized(documents: DataFrame, vocabulary: str, end: int) -> DataFrame:
         to_ids = encoder(vocabulary)
         for part in slices(batches, "text", 4 << 20):
             ids, bounds = with_end(*to_ids.encode(part.column(1)), end)
-            packed = [_pack(ids[a:b]) for a, b in zip(bounds, bounds[1:])]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(np.diff(bounds), pa.int64()), pa.array(packed, pa.binary())], names=["doc_id", "n", "ids"]
+                [part.column(0), pa.array(np.diff(bounds), pa.int64()), _pack(ids, bounds)], names=["doc_id", "n", "ids"]
             )
 
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -82,14 +86,24 @@ def unpack(ids: bytes, n: int) -> np.ndarray:
     return np.frombuffer(ids, "<u2" if len(ids) == 2 * n else "<u4")
 
 
+def unpack_all(ids: pa.Array, n: np.ndarray) -> np.ndarray:
+    """The ids of all rows one after the other."""
+    data, at = text_bytes(ids)
+    wide = np.diff(at) != 2 * n
+    if not wide.any():
+        return data.view("<u2")
+    return np.concatenate([data[a:b].view("<u4" if w else "<u2") for a, b, w in zip(at, at[1:], wide)])
+
+
 def frequencies(tokens: DataFrame) -> DataFrame:
     """id and how often it occurs; each task sends at most one row for each id of the vocabulary."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            for n, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                got = np.bincount(unpack(ids, n))
+            ids = unpack_all(batch.column(1), batch.column(0).to_numpy())
+            for a in range(0, len(ids), 1 << 20):  # counting makes 8 bytes of each id
+                got = np.bincount(ids[a : a + (1 << 20)])
                 if len(got) > len(total):
                     total = np.pad(total, (0, len(got) - len(total)))
                 total[: len(got)] += got
@@ -130,9 +144,17 @@ def write_token_file(documents: DataFrame, folder: str, vocabulary: str, *, end:
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], names=["shard", "block", "docs", "sizes", "n", "control", "data"])
 
         for batch in batches:
-            for doc, n, ids in zip(*(c.to_pylist() for c in batch.columns)):
-                docs.append(doc), sizes.append(n), held.append(unpack(ids, n))
-                total += n
+            n = batch.column(1).to_numpy()
+            ids, ends, first = unpack_all(batch.column(2), n), np.cumsum(n), 0
+            while first < len(n):
+                before = ends[first - 1] if first else 0
+                # Up to the document that fills the block.
+                last = min(int(np.searchsorted(ends, before + block - total)) + 1, len(n))
+                docs += batch.column(0)[first:last].to_pylist()
+                sizes += n[first:last].tolist()
+                held.append(ids[before : ends[last - 1]])
+                total += int(ends[last - 1] - before)
+                first = last
                 if total >= block:
                     yield flush()
                     number, docs, sizes, held, total = number + 1, [], [], [], 0
