@@ -100,6 +100,38 @@ def test_checksums_and_dedup(spark, tmp_path):
     assert [r.file_name for r in todo.collect()] == ["a.csv"] and known.first().run_id == "r1"
 
 
+def test_files_are_hashed_as_they_are_read(spark, tmp_path):
+    """Beyond 16 MB no file becomes one value, however small the splits are; its digest is that of its bytes."""
+    import hashlib
+
+    line = b'{"order_id": "1", "customer": "2", "price": "3.00", "ordered_on": "20260101", "priority": "5-LOW"}\n'
+    raw = {"a.json": line * 180_000, "b.json": b"\xef\xbb\xbf" + line * 180_000 + b"\xff\r\n\n\x00", "c.json": line}
+    for name, content in raw.items():
+        (tmp_path / name).write_bytes(content)
+    limit = "spark.sql.sources.binaryFile.maxLength"
+    try:
+        spark.conf.set(limit, 16 * 1024 * 1024)
+        sums = {r.file_path[-6:]: r.file_checksum for r in file_checksums(spark, f"file:{tmp_path}").collect()}
+    finally:
+        spark.conf.unset(limit)
+    assert sums == {name: hashlib.sha256(content).hexdigest() for name, content in raw.items()}
+
+
+def test_digests_of_streamed_files(spark, tmp_path):
+    """Terminators, byte order marks, bytes that are no text, packed files and names that look like patterns."""
+    import gzip
+    import hashlib
+
+    line = "".join(f"line {i}\n" for i in range(20)).encode()
+    mark = b"\xef\xbb\xbf"
+    raw = [line, line[:-1], line.replace(b"\n", b"\r\n"), mark + line, mark + line[:-1], mark + mark + line, line + b"\n\n", b"\n", b"x", b"\r", b"\xff\xfe\n\r\r\n\x00", line * 2000]
+    names = {f"f{i:02}.csv": c for i, c in enumerate(raw)} | {"p.csv.gz": gzip.compress(line), "q{1}[a]*.csv": line, "r s%20.csv": line[:-1]}
+    for name, content in names.items():
+        (tmp_path / name).write_bytes(content)
+    found = file_checksums(spark, f"file:{tmp_path}", value_bytes=0).join(list_files(spark, f"file:{tmp_path}"), "file_path")
+    assert {r.file_name: r.file_checksum for r in found.collect()} == {name: hashlib.sha256(c).hexdigest() for name, c in names.items()}
+
+
 @pytest.mark.parametrize("split", [64, 1 << 20])
 def test_large_files_keep_their_order_and_bytes(spark, tmp_path, monkeypatch, split):
     """Contents that differ only in line order, terminators or a byte order mark; files in splits and whole."""

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,8 +27,10 @@ from tierline.functions.spread import attach_by_key, is_small, top_per_key
 from tierline.operators.tables import partition_folders, path_exists, replace_batch
 from tierline.sources.scan import Paths
 
-# A file up to this size is hashed as one value; larger ones are digested by line, in their order.
+# A file up to this size gets the SHA-256 of its bytes; larger ones are digested by line, in their order.
 WHOLE_FILE_BYTES = 256 * 1024 * 1024
+# Up to this size the bytes are one value, of which a task holds several copies; beyond it they are hashed as they are read.
+_VALUE_BYTES = 16 * 1024 * 1024
 # A prime and a base of the polynomial over the lines' hashes.
 _PRIME = (1 << 255) - 19
 _BASE = int.from_bytes(hashlib.sha256(b"lines").digest(), "big") % _PRIME
@@ -77,12 +81,65 @@ def line_digests(lines: DataFrame) -> DataFrame:
     return of_file.mapInArrow(join, f"{FILE_PATH} string, checksum string")
 
 
+def streamed_digests(spark: SparkSession, paths: list[str], most: int) -> DataFrame:
+    """``file_path, file_checksum``: SHA-256 of the bytes of these files of at most ``most`` bytes, none of them packed.
+
+    One task reads a file as lines, in their order, and holds one batch of them. The length of the
+    file tells what the reader took away: the last terminator and a byte order mark (3 bytes).
+    """
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, read, plain, marked = None, 0, hashlib.sha256(), hashlib.sha256()
+        done: list[tuple] = []
+
+        def close() -> None:
+            rest = key[1] - read
+            if rest not in (-1, 0, 2, 3):
+                raise ValueError(f"{key[0]} was not read as a whole: {read} of {key[1]} bytes")
+            found = plain if rest <= 0 else marked
+            if rest in (0, 3):
+                found.update(b"\n")
+            done.append((key[0], found.hexdigest()))
+
+        for batch in batches:
+            first = 0
+            for end in pc.run_end_encode(batch.column(0)).run_ends.to_pylist():
+                of = batch.column(0)[first].as_py(), batch.column(1)[first].as_py()
+                lines = pa.ListArray.from_arrays(pa.array([first, end], pa.int32()), batch.column(2))
+                text = pc.binary_join(lines, b"\n")[0].as_buffer()
+                first = end
+                if key != of:
+                    if key is not None:
+                        close()
+                    key, read, plain, marked = of, 0, hashlib.sha256(), hashlib.sha256(b"\xef\xbb\xbf")
+                else:
+                    plain.update(b"\n")
+                    marked.update(b"\n")
+                plain.update(text)
+                marked.update(text)
+                read += text.size + 1
+        if key is not None:
+            close()
+        columns = list(zip(*done)) if done else [[]] * 2
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()) for c in columns], names=[FILE_PATH, FILE_CHECKSUM])
+
+    # How files are cut is a setting of the session that reads them: here none is, and each is a task.
+    uncut = spark.newSession()
+    for name in ("maxPartitionBytes", "openCostInBytes"):
+        uncut.conf.set(f"spark.sql.files.{name}", str(most))
+    lines = uncut.read.option("lineSep", "\n").text(paths).select(
+        F.col("_metadata.file_path").alias(FILE_PATH), F.col("_metadata.file_size").alias("length"), F.col("value").cast("binary").alias("value")
+    )
+    return lines.mapInArrow(digest, f"{FILE_PATH} string, {FILE_CHECKSUM} string")
+
+
 def file_checksums(
-    spark: SparkSession, path: Paths, *, whole_file_bytes: int = WHOLE_FILE_BYTES
+    spark: SparkSession, path: Paths, *, whole_file_bytes: int = WHOLE_FILE_BYTES, value_bytes: int = _VALUE_BYTES
 ) -> DataFrame:
     """``file_path, file_checksum``: SHA-256 of the bytes.
 
-    A file above ``whole_file_bytes`` does not fit one task's memory safely; it is
+    A file above ``value_bytes`` is hashed as it is read, unless it is packed, which Spark's line
+    reader would unpack. A file above ``whole_file_bytes`` would keep one task busy for too long; it is
     digested by its lines in their order across its splits instead, marked with
     ``lines:``. Lines end at ``\\n`` only, and the length of the file enters too, which
     tells the last terminator and a byte order mark. Copies have the same length, so
@@ -90,17 +147,30 @@ def file_checksums(
     """
     scan = spark.read.format("binaryFile").load(path)
     file_path = F.col("_metadata.file_path").alias(FILE_PATH)
-    whole = scan.filter(F.col("length") <= whole_file_bytes).select(
-        file_path, F.sha2("content", 256).alias(FILE_CHECKSUM)
-    )
-    large = scan.filter(F.col("length") > whole_file_bytes).select(file_path, "path", "length")
-    big = [r.path for r in large.select("path").collect()]
+    value_bytes = min(value_bytes, whole_file_bytes)
+
+    def as_values(files: DataFrame) -> DataFrame:
+        return files.select(file_path, F.sha2("content", 256).alias(FILE_CHECKSUM))
+
+    whole = as_values(scan.filter(F.col("length") <= value_bytes))
+    over = scan.filter(F.col("length") > value_bytes).select("path", "length").collect()
+    # Names may hold what would be read as a pattern.
+    big, middle = ([re.sub(r"([\\{}\[\]*?])", r"\\\1", r.path) for r in over if (r.length > whole_file_bytes) == kind] for kind in (True, False))
+    if middle:
+        jvm = spark._jvm
+        codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration())
+        packed = [p for p in middle if codecs.getCodec(jvm.org.apache.hadoop.fs.Path(p)) is not None]
+        if packed:
+            whole = whole.unionByName(as_values(spark.read.format("binaryFile").load(packed)))
+        if plain := sorted({*middle} - {*packed}):
+            whole = whole.unionByName(streamed_digests(spark, plain, whole_file_bytes))
     if not big:
         return whole
+    large = scan.filter(F.col("length") > whole_file_bytes).select(file_path, "length")
     lines = spark.read.option("lineSep", "\n").text(big).select(file_path, F.col("_metadata.file_block_start").alias("block"), "value")
     digest = F.sha2(F.concat_ws(":", "length", "checksum"), 256)
     return whole.unionByName(
-        line_digests(lines).join(large.drop("path"), FILE_PATH).select(FILE_PATH, F.concat(F.lit("lines:"), digest).alias(FILE_CHECKSUM))
+        line_digests(lines).join(large, FILE_PATH).select(FILE_PATH, F.concat(F.lit("lines:"), digest).alias(FILE_CHECKSUM))
     )
 
 
